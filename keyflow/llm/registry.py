@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from keyflow.llm import archives, decontaminate, licenses, pieces, quality, secrets, tokens
+from keyflow.llm import archives, decontaminate, licenses, lines, ngrams, pieces, quality, secrets, tokens
 
-MODULES = [licenses, quality, secrets, decontaminate, archives, tokens, pieces]
+MODULES = [licenses, lines, pieces, tokens, quality, secrets, decontaminate, ngrams, archives]
 
 
 def queries() -> dict:
