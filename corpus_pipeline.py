@@ -13,7 +13,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the default policy."""
-    return quality.ledger(docs.withColumn("raw", F.col("text")), "raw", "lang", "source", "n_chars").where(quality.passes(quality.DEFAULT_POLICY)).select("doc_id", F.col("raw").alias("text"), "lang", "source", "n_chars")
+    rows = quality.kept(docs.withColumn("raw", F.col("text")), quality.DEFAULT_POLICY, "raw", "lang", "source", "n_chars")
+    return rows.select("doc_id", F.col("raw").alias("text"), "lang", "source", "n_chars")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,6 +92,15 @@ def passes(policy: Policy, bits: str = "fail_bits") -> Column:
     return F.col(bits).bitwiseAND(F.lit(policy.mask)) == 0
 
 
+def kept(docs: DataFrame, policy: Policy, *keep: str) -> DataFrame:
+    """Rows of the ledger that pass the policy.
+
+    The row number keeps Spark from pushing the filter below the measurements, where each rule would compute its own.
+    """
+    rows = ledger(docs, *keep).withColumn("__row", F.monotonically_increasing_id())
+    return rows.where(passes(policy) & (F.col("__row") >= 0)).drop("__row")
+
+
 def apply_policies(rows: DataFrame, policies: list[Policy]) -> DataFrame:
     """The ledger with a boolean ``<name>_v<version>`` for each policy."""
     return rows.withColumns({f"{p.name}_v{p.version}": passes(p) for p in policies})
