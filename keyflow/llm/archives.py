@@ -81,7 +81,7 @@ def warc_date(digits: str) -> str:
 
 
 def warc_kind(uri: str, body: bytes) -> str:
-    return "response" if re.match(r"https?:|unknown:", uri) and body.startswith(b"HTTP/") else "resource"
+    return "response" if body.startswith(b"HTTP/") and not re.match(r"(dns|ftp|whois):", uri) else "resource"
 
 
 def record_id(uri: str, date: str, digest: str, page: int | None) -> str:
