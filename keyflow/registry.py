@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from keyflow.plans.queries import ORACLES, QUERIES, flagship
 
-
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+__all__ = ["flagship", "oracle_sql", "queries"]
 
 
 def queries() -> dict:
-    return {name: q for m in MODULES for name, q in m.QUERIES.items()}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
+    return dict(ORACLES)
