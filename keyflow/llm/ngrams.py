@@ -4,10 +4,11 @@ A document's n-grams are put in one global order and the order is cut into ``FRA
 n-grams' hashes. Fragments of two documents are intersected separately and the partial overlaps summed for each pair,
 so no task needs two whole documents.
 
-Pairs to look at come from the first fragments. There the order is by document frequency, rarest first, then by hash,
-and all other n-grams follow by hash; under any such order two documents that meet the threshold share one of the
-first ``n - ceil(threshold * n) + 1`` n-grams of each, and the length and positional bounds hold. Frequencies are
-counted over all documents, but only for the n-grams of the first fragments, a quarter of all.
+Under any order two documents that meet the threshold share one of the first ``n - ceil(threshold * n) + 1`` n-grams
+of each. A coarse order finds the documents that have such a partner: the first fragments, a quarter of all n-grams,
+by document frequency over all documents, rarest first, and behind them the others by hash. Only these documents'
+whole sets are kept; their n-grams are ordered by frequency once more, all of them, and in that order the prefix,
+length and positional bounds say which pairs are looked at.
 
 Texts with equal words are one class, of which the smallest doc_id takes part. Null texts and texts without words have
 empty sets and link with nothing; fewer than ``N`` words are one n-gram. n-grams are compared by 63-bit hashes. A doc_id
@@ -122,18 +123,31 @@ def need(x: str, y: str, percent: int) -> Column:
     return F.ceil(percent * (F.col(f"{x}.size") + F.col(f"{y}.size")) / F.lit(100.0 + percent) - 1e-9)
 
 
-def prefix_index(rows: DataFrame, percent: int) -> DataFrame:
-    """rows (node, size, first, rest) as (bucket, node, size, at): n-grams of the prefix that others have too, with places."""
-    front = rows.select("node", F.explode_outer("first").alias("bucket")).where("bucket is not null")
+def ranked(front: DataFrame, sizes: DataFrame) -> DataFrame:
+    """front (node, bucket) by document frequency: (bucket, node, size, at) of n-grams that other nodes have too.
+
+    sizes: node, size, n_first, how many rows of front the node has. n-grams that no other node has come first; nothing
+    needs to know which they are.
+    """
     often = front.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     order = W.partitionBy("node").orderBy("df", "bucket")
-    ranked = front.join(often, "bucket").select("node", "bucket", F.row_number().over(order).alias("rank"), F.count(F.lit(1)).over(W.partitionBy("node")).alias("n_shared"))
-    sizes = rows.select("node", "size", F.size("first").alias("n_first"))
-    # n-grams that no other document has come first; nothing needs to know which they are
-    placed = ranked.join(sizes, "node").select("bucket", "node", "size", (F.col("n_first") - F.col("n_shared") + F.col("rank") - 1).alias("at"))
+    found = front.join(often, "bucket").select("node", "bucket", F.row_number().over(order).alias("rank"), F.count(F.lit(1)).over(W.partitionBy("node")).alias("n_shared"))
+    return found.join(sizes, "node").select("bucket", "node", "size", (F.col("n_first") - F.col("n_shared") + F.col("rank") - 1).alias("at"))
+
+
+def in_prefix(percent: int) -> Column:
+    return F.col("at") < F.col("size") - F.ceil(percent * F.col("size") / 100.0 - 1e-9) + 1
+
+
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Nodes of rows (node, size, first, rest) that share an n-gram of their prefixes with another, in the coarse order."""
+    front = rows.select("node", F.explode_outer("first").alias("bucket")).where("bucket is not null")
+    placed = ranked(front, rows.select("node", "size", F.size("first").alias("n_first")))
     after = rows.where(F.size("rest") > 0).select("node", "size", F.size("first").alias("n_first"), F.posexplode("rest").alias("i", "bucket"))
     placed = placed.unionByName(after.select("bucket", "node", "size", (F.col("n_first") + F.col("i")).cast("long").alias("at")))
-    return placed.where(F.col("at") < F.col("size") - F.ceil(percent * F.col("size") / 100.0 - 1e-9) + 1)
+    index = written(placed.where(in_prefix(percent)).select("bucket", "node"), "index")
+    some = index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
+    return index.join(some, "bucket", "left_semi").select("node").distinct()
 
 
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -142,28 +156,26 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     nodes = found.where("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"))
     own = nodes.groupBy("node").agg(F.min("key").alias("key"))
     rows = found.select(F.col("doc_id").alias("node"), "key", "size", "first", "rest").join(own, ["node", "key"], "left_semi")
-    index = written(prefix_index(rows, percent), "index")
+    some = written(candidates(rows, percent), "candidates")
+    texts = semi(docs.select("doc_id", "text"), some.withColumnRenamed("node", "doc_id"), "doc_id")
+    parts = written(segments(texts, n).dropDuplicates(["node", "fragment"]), "segments")
+    sizes = parts.groupBy("node").agg(F.sum(F.size("grams")).alias("size"))
+    front = parts.select("node", F.explode_outer("grams").alias("bucket"))
+    index = written(ranked(front, sizes.withColumn("n_first", F.col("size"))).where(in_prefix(percent)), "index")
 
     def fits(x: str, y: str) -> Column:
         left = F.least(F.col(f"{x}.size") - F.col(f"{x}.at"), F.col(f"{y}.size") - F.col(f"{y}.at"))
         return (100 * F.least(f"{x}.size", f"{y}.size") >= percent * F.greatest(f"{x}.size", f"{y}.size")) & (left >= need(x, y, percent))
 
-    def verifier(ids: DataFrame):
-        some = semi(docs.select("doc_id", "text"), ids.withColumnRenamed("node", "doc_id"), "doc_id")
-        parts = written(segments(some, n).dropDuplicates(["node", "fragment"]), "segments")
-
-        def verify(pairs: DataFrame) -> DataFrame:
-            x = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
-            y = parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
-            partial = pairs.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"))
-            total = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
-            sizes = parts.groupBy("node").agg(F.sum(F.size("grams")).alias("size"))
-            total = total.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("n_a")), "a").join(sizes.select(F.col("node").alias("b"), F.col("size").alias("n_b")), "b")
-            return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
-
-        return verify
+    def verify(pairs: DataFrame) -> DataFrame:
+        x = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
+        y = parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
+        partial = pairs.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"))
+        total = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
+        total = total.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("n_a")), "a").join(sizes.select(F.col("node").alias("b"), F.col("size").alias("n_b")), "b")
+        return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
-    links = written(linked(index, ["at", "node"], fits, verifier), "links")
+    links = written(linked(index, ["at", "node"], fits, lambda _: verify), "links")
     told = found.select("doc_id", "key", F.col("size").cast("long").alias("n_shingles")).join(nodes, "key", "left")
     if not is_empty(links):
         told = told.join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
