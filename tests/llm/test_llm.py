@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keyflow.llm import archives, decontaminate, graph, licenses, lines, ngrams, pieces, quality, registry, secrets, tokens
+from keyflow.llm import archives, decontaminate, graph, licenses, lines, ngrams, pieces, preferences, quality, registry, secrets, tokens
 from tools.compare import compare
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -36,7 +36,7 @@ def none(odd):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         c.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     return c
 
@@ -244,3 +244,15 @@ def test_pipeline(spark):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == corpus_pipeline.COLUMNS
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, DATA).collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_preferences_odd(spark):
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "a"), (1, 0, "user", "hi"), (1, 1, "assistant", "b"), (1, 2, None, None), (2, 0, "user", "x"), (None, 0, "user", "y"), (4, 0, "user", "s"), (5, 0, "user", "s")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("pair_id", F.lit(9))
+    got = {r["pair_id"]: tuple(r)[1:] for r in preferences.formatted(preferences.pairs(df)).collect()}
+    assert got == {
+        0: (1, "<|user|>\nhi<|end|>\n", "<|assistant|>\na<|end|>\n", "<|assistant|>\nb<|end|>\n<|unknown|>\n<|end|>\n", "14:0,9:1", "14:0,9:1,12:0,8:0"),
+        2: (0, "", "<|user|>\nx<|end|>\n", "", "9:0,9:0", ""),
+        4: (1, "<|user|>\ns<|end|>\n", "", "", "", ""),
+    }
+    assert preferences.formatted(preferences.pairs(df.where("false"))).count() == 0
