@@ -550,7 +550,7 @@ def failed(s, d):
     return R.schedule_retries(r, s.createDataFrame(STAGES, "retry int, timeout_ms long, jitter_ms long"), 100)
 
 
-@query("retry_schedule", "select event_id, retries > 2 as give_up, case when retries <= 2 then acquired_ms + 500 * (1 << retries) end as least_ms from (select event_id, epoch_ms(ts) as acquired_ms, least(row_number() over (partition by user_id order by ts, event_id) - 1, 3) as retries from events where event_type = 'error')")
+@query("retry_schedule", "select event_id, retries > 2 as give_up, case when retries <= 2 then acquired_ms + 500 * (1 << retries) end as least_ms from (select event_id, epoch_us(ts) // 1000 as acquired_ms, least(row_number() over (partition by user_id order by ts, event_id) - 1, 3) as retries from events where event_type = 'error')")
 def _(s, d):
     base = F.when(~F.col("give_up"), F.col("acquired_ms") + 500 * F.pow(F.lit(2), F.col("retries")).cast("long"))
     return failed(s, d).where(F.col("give_up") | F.col("due_ms").between(base, base + 100)).select("event_id", "give_up", base.alias("least_ms"))
@@ -561,7 +561,7 @@ def _(s, d):
     return R.dedupe_retries(failed(s, d), "event_id").groupBy("domain_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("retries_due", "select event_id from (select event_id, epoch_ms(ts) as a, row_number() over (partition by user_id order by ts, event_id) - 1 as retries from events where event_type = 'error') where retries = 0 and a < (select epoch_ms(max(ts)) from events) - 3600000")
+@query("retries_due", "select event_id from (select event_id, epoch_us(ts) // 1000 as a, row_number() over (partition by user_id order by ts, event_id) - 1 as retries from events where event_type = 'error') where retries = 0 and a < (select epoch_us(max(ts)) // 1000 from events) - 3600000")
 def _(s, d):
     now = t(s, d, "events").agg(F.unix_millis(F.max("ts").cast("timestamp"))).first()[0] - 3_600_000
     return R.retries_due(failed(s, d).where("retries = 0"), now + 600, 100).where(F.col("acquired_ms") < now).select("event_id")
