@@ -70,7 +70,9 @@ def stop_at_first(df: DataFrame, order: str, found: Callable[[DataFrame], None],
 
 
 class LastValue(StatefulProcessor):
-    """Gives each row the last value that earlier rows of its key had. Rows of a batch are put in order first."""
+    """Gives each row the last value that earlier rows of its key had. Rows of a batch are put in order first.
+
+    Rows arrive as pandas, where a NaN and a null are the same: both count as missing."""
 
     def __init__(self, order: str, column: str, kind: T.DataType, ttl_ms: int | None = None):
         self.order, self.column, self.kind, self.ttl_ms = order, column, kind, ttl_ms

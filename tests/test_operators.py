@@ -76,8 +76,7 @@ def test_routed_stream_equals_batch(spark, tmp_path):
 
 
 def test_stateful_stream_equals_batch(spark, tmp_path):
-    pdf = pd.DataFrame({"k": [str(i % 3) for i in range(30)], "at": range(30), "v": [i if i % 4 else None for i in range(30)]})
-    df = spark.createDataFrame(pdf, "k string, at long, v double")
+    df = spark.createDataFrame([(str(i % 3), i, float(i) if i % 4 else None) for i in range(30)], "k string, at long, v double")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     src = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     q = streams.copy_stream(streams.stateful(src, "k", "at", "v"), str(tmp_path / "out"), str(tmp_path / "cp"))
