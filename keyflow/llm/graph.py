@@ -44,37 +44,32 @@ def semi(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small(ids) else ids, on, "left_semi")
 
 
-def linked(index: DataFrame, rank: list[str], fits, verifier) -> DataFrame:
+def linked(index: DataFrame, fits, verifier) -> DataFrame:
     """All links (a, b) that the components of an exact similarity need, without pairs that they make needless.
 
-    index: bucket, node, and what ``rank`` and ``fits`` look at; similar nodes share a bucket. First every node of a
-    bucket is held against its leader, the first by ``rank``: no more pairs than rows. Links found make components.
-    Then only nodes of one bucket in different components are held against each other: within a component further
-    links change nothing. fits(x, y) is a filter over the aliases x and y; verifier(nodes) prepares what is needed to
-    compare any of these nodes and returns a function that keeps the linked ones of pairs (a, b).
+    index: bucket, node, and what ``fits`` looks at; similar nodes share a bucket. First every node of a bucket is held
+    against its leader, the smallest: no more pairs than rows. Links found make components. Then only nodes of one
+    bucket in different components are held against each other: within a component further links change nothing.
+    fits(x, y) is a filter over the aliases x and y; verifier(nodes) prepares what is needed to compare any of these
+    nodes and returns a function that keeps the linked ones of pairs (a, b).
     """
     # min and max instead of a distinct count: both combine before the shuffle and need no sort
-    some = index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
-    shared = written(index.join(some, "bucket", "left_semi").distinct(), "shared")
+    some = index.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("bucket", "lead")
+    shared = written(index.join(some, "bucket").distinct(), "shared")
     none = index.sparkSession.createDataFrame([], "a long, b long")
     if is_empty(shared):
         return none
     verify = verifier(shared.select("node").distinct())
-    of = [c for c in shared.columns if c not in ("bucket", *rank)]
-    lead = shared.groupBy("bucket").agg(F.min(F.struct(*rank, *of)).alias("lead")).select("bucket", "lead.*")
-
-    def pairs(x: DataFrame, y: DataFrame, more) -> DataFrame:
-        both = x.alias("x").join(y.alias("y"), "bucket").where(fits("x", "y") & more)
-        return both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-
-    star = written(pairs(shared, lead, F.col("x.node") != F.col("y.node")), "star")
+    star = written(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "star")
     links = written(verify(star), "star-links")
-    told = shared.withColumn("component", F.col("node"))
+    told = shared.drop("lead").withColumn("component", F.col("node"))
     if not is_empty(links):
-        told = shared.join(components(links).select(F.col("id").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    told = written(told, "told")
+        of = components(links).select(F.col("id").alias("node"), "component")
+        told = shared.drop("lead").join(F.broadcast(of) if small(of) else of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = told.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    rest = told.join(mixed, "bucket", "left_semi")
+    rest = written(told.join(mixed, "bucket", "left_semi"), "rest")
     more = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    others = written(pairs(rest, rest, more).join(star, ["a", "b"], "left_anti"), "other-pairs")
+    both = rest.alias("x").join(rest.alias("y"), "bucket").where(fits("x", "y") & more)
+    pairs = both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    others = written(pairs.join(star, ["a", "b"], "left_anti"), "other-pairs")
     return links if is_empty(others) else links.unionByName(verify(others))

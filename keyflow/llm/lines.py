@@ -143,7 +143,7 @@ def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
         return verify
 
-    links = written(linked(index, ["node"], lambda x, y: F.lit(True), verifier), "line-links")
+    links = written(linked(index, lambda x, y: F.lit(True), verifier), "line-links")
     own = lines.select("doc_id", "line", "key", "node")
     if is_empty(links):
         grouped = own.withColumn("group", F.col("key"))

@@ -1,14 +1,18 @@
 """Exact Jaccard join of documents on word n-grams, by vertical partitioning, down to connected components.
 
-A document's n-grams are put in one global order and the order is cut into ``FRAGMENTS`` fragments, ranges of the
-n-grams' hashes. Fragments of two documents are intersected separately and the partial overlaps summed for each pair,
-so no task needs two whole documents.
+All n-grams stand in one global order, that of their hashes, which is cut into fragments; every document is cut at the
+same places. It is used twice.
 
-Under any order two documents that meet the threshold share one of the first ``n - ceil(threshold * n) + 1`` n-grams
-of each. A coarse order finds the documents that have such a partner: the first fragments, a quarter of all n-grams,
-by document frequency over all documents, rarest first, and behind them the others by hash. Only these documents'
-whole sets are kept; their n-grams are ordered by frequency once more, all of them, and in that order the prefix,
-length and positional bounds say which pairs are looked at.
+Candidates: sets of sizes a and b that meet the threshold differ in at most D = (1 - t) / (1 + t) * (a + b) n-grams, and
+each of these spoils one fragment, so of m > D fragments m - D are equal. Fragments are ranked by size, then hash, which
+is the same rank in every document; of the m - D equal ones the highest stands among the D + 1 highest of both
+documents. So D + 1 fragments of a document are its signatures, and small ones, which unrelated documents may share, are
+left out first. m depends on the size's power of two; a document whose partners may be above the next power also has
+signatures of that level. Nothing has to be counted over the corpus, and frequent n-grams do no harm: they share a
+fragment with others.
+
+Overlaps: of the documents that share a signature the order is cut into ``FRAGMENTS`` fragments; fragments of two
+documents are intersected separately and the partial overlaps summed for each pair, so no task needs two whole documents.
 
 Texts with equal words are one class, of which the smallest doc_id takes part. Null texts and texts without words have
 empty sets and link with nothing; fewer than ``N`` words are one n-gram. n-grams are compared by 63-bit hashes. A doc_id
@@ -24,12 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from keyflow.llm.common import table, written
-from keyflow.llm.graph import components, is_empty, linked, semi
+from keyflow.llm.graph import components, is_empty, linked, semi, small
 
-N, PERCENT, FRAGMENTS, COUNTED = 4, 85, 8, 2
+N, PERCENT, FRAGMENTS = 4, 85, 8
 _BYTES = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -72,15 +75,40 @@ class Hasher:
         return np.unique((h >> np.uint64(1)).astype(np.int64))
 
 
-def prefix_length(n, percent: int):
-    """How many n-grams from the front of the order a partner has to share one of."""
-    return n - -(-percent * n // 100) + 1
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
+def differing(a: int, b: int, percent: int) -> int:
+    """How many n-grams may stand in just one of two sets of these sizes that meet the threshold."""
+    return (100 - percent) * (a + b) // (100 + percent)
 
 
-def features(docs: DataFrame, n: int = N, percent: int = PERCENT, counted: int = COUNTED) -> DataFrame:
-    """Per row of docs (doc_id, text): key of its words, size of its set, first (n-grams of the counted fragments), and
-    rest (the next ones, where those are fewer than the prefix)."""
-    limit = (1 << 63) // FRAGMENTS * counted
+def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes (63 bits) of the highest fragments of a set of n-gram hashes (ascending), for each level it has partners on."""
+    size, out = len(grams), []
+    if not size:
+        return np.zeros(0, np.int64)
+    most, mixed, top = size * 100 // percent, _mixed(grams.view(np.uint64)), grams.view(np.uint64) >> np.uint64(32)
+    for level in range(size.bit_length() - 1, most.bit_length()):
+        last = (2 << level) - 1
+        bound = differing(last, last, percent)
+        m, keep = bound + max(2, bound // 8), differing(size, min(last, most), percent) + 1
+        place = top * np.uint64(m) >> np.uint64(31)
+        starts = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
+        here, many, sums = place[starts], np.diff(np.append(starts, size)), np.add.reduceat(mixed, starts)
+        if len(here) < keep:  # empty fragments rank last
+            rest = np.setdiff1d(np.arange(m, dtype=np.uint64), here)
+            here, many, sums = np.concatenate([here, rest]), np.concatenate([many, np.zeros(len(rest), np.int64)]), np.concatenate([sums, np.zeros(len(rest), np.uint64)])
+        found = _mixed(sums ^ _mixed(here + np.uint64(level + 1 << 40))) >> np.uint64(1)
+        out.append(found[np.lexsort((found, -many))[:keep]])
+    return np.concatenate(out).astype(np.int64)
+
+
+def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """Per row of docs (doc_id, text): key of its words, size of its set, signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -90,14 +118,13 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT, counted: int =
                 for text in part.column(1).cast(pa.binary()).to_pylist():
                     data = normalized(text)
                     grams = hasher.grams(data, n)
-                    low = int(np.searchsorted(grams, limit))
-                    rows.append((hashlib.blake2b(data, digest_size=16).digest() if data else None, len(grams), grams[:low], grams[low : max(low, prefix_length(len(grams), percent))]))
+                    rows.append((hashlib.blake2b(data, digest_size=16).digest() if data else None, len(grams), signatures(grams, percent)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True))],
-                    ["doc_id", "key", "size", "first", "rest"],
+                    [part.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.list_(pa.int64())), strict=True))],
+                    ["doc_id", "key", "size", "signatures"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, size int, first array<long>, rest array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>")
 
 
 def segments(docs: DataFrame, n: int = N) -> DataFrame:
@@ -118,64 +145,40 @@ def segments(docs: DataFrame, n: int = N) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "node long, fragment int, grams array<long>")
 
 
-def need(x: str, y: str, percent: int) -> Column:
-    """The least overlap with which sets of these sizes meet the threshold."""
-    return F.ceil(percent * (F.col(f"{x}.size") + F.col(f"{y}.size")) / F.lit(100.0 + percent) - 1e-9)
-
-
-def ranked(front: DataFrame, sizes: DataFrame) -> DataFrame:
-    """front (node, bucket) by document frequency: (bucket, node, size, at) of n-grams that other nodes have too.
-
-    sizes: node, size, n_first, how many rows of front the node has. n-grams that no other node has come first; nothing
-    needs to know which they are.
-    """
-    often = front.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    order = W.partitionBy("node").orderBy("df", "bucket")
-    found = front.join(often, "bucket").select("node", "bucket", F.row_number().over(order).alias("rank"), F.count(F.lit(1)).over(W.partitionBy("node")).alias("n_shared"))
-    return found.join(sizes, "node").select("bucket", "node", "size", (F.col("n_first") - F.col("n_shared") + F.col("rank") - 1).alias("at"))
-
-
-def in_prefix(percent: int) -> Column:
-    return F.col("at") < F.col("size") - F.ceil(percent * F.col("size") / 100.0 - 1e-9) + 1
-
-
-def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Nodes of rows (node, size, first, rest) that share an n-gram of their prefixes with another, in the coarse order."""
-    front = rows.select("node", F.explode_outer("first").alias("bucket")).where("bucket is not null")
-    placed = ranked(front, rows.select("node", "size", F.size("first").alias("n_first")))
-    after = rows.where(F.size("rest") > 0).select("node", "size", F.size("first").alias("n_first"), F.posexplode("rest").alias("i", "bucket"))
-    placed = placed.unionByName(after.select("bucket", "node", "size", (F.col("n_first") + F.col("i")).cast("long").alias("at")))
-    index = written(placed.where(in_prefix(percent)).select("bucket", "node"), "index")
-    some = index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
-    return index.join(some, "bucket", "left_semi").select("node").distinct()
+def fits(x: str, y: str, percent: int) -> Column:
+    """Whether sets of these sizes can meet the threshold."""
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, the smallest doc_id reachable by links."""
     found = written(features(docs, n, percent), "features")
-    nodes = found.where("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("node"))
-    own = nodes.groupBy("node").agg(F.min("key").alias("key"))
-    rows = found.select(F.col("doc_id").alias("node"), "key", "size", "first", "rest").join(own, ["node", "key"], "left_semi")
-    some = written(candidates(rows, percent), "candidates")
-    texts = semi(docs.select("doc_id", "text"), some.withColumnRenamed("node", "doc_id"), "doc_id")
-    parts = written(segments(texts, n).dropDuplicates(["node", "fragment"]), "segments")
-    sizes = parts.groupBy("node").agg(F.sum(F.size("grams")).alias("size"))
-    front = parts.select("node", F.explode_outer("grams").alias("bucket"))
-    index = written(ranked(front, sizes.withColumn("n_first", F.col("size"))).where(in_prefix(percent)), "index")
-
-    def fits(x: str, y: str) -> Column:
-        left = F.least(F.col(f"{x}.size") - F.col(f"{x}.at"), F.col(f"{y}.size") - F.col(f"{y}.at"))
-        return (100 * F.least(f"{x}.size", f"{y}.size") >= percent * F.greatest(f"{x}.size", f"{y}.size")) & (left >= need(x, y, percent))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        x = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
-        y = parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
-        partial = pairs.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"))
-        total = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
-        total = total.join(sizes.select(F.col("node").alias("a"), F.col("size").alias("n_a")), "a").join(sizes.select(F.col("node").alias("b"), F.col("size").alias("n_b")), "b")
-        return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
-
-    links = written(linked(index, ["at", "node"], fits, lambda _: verify), "links")
+    usable = found.where("size > 0 and doc_id is not null")
+    nodes = usable.groupBy("key").agg(F.min("doc_id").alias("node"))
+    own = nodes.groupBy(F.col("node").alias("doc_id")).agg(F.min("key").alias("own"))
+    # texts that another row stands for: few, so that signatures need no shuffle to get rid of theirs
+    others = usable.select("doc_id", "key").join(own, "doc_id", "left").where("own is null or own <> key").select("doc_id", "key").distinct()
+    others = written(others, "others")
+    rows = usable.join(F.broadcast(others) if small(others) else others, ["doc_id", "key"], "left_anti")
+    index = rows.select(F.explode_outer("signatures").alias("bucket"), F.col("doc_id").alias("node"), "size").where("bucket is not null")
+
+    def verifier(ids: DataFrame):
+        texts = semi(docs.select("doc_id", "text"), ids.withColumnRenamed("node", "doc_id"), "doc_id")
+        parts = written(segments(texts, n).dropDuplicates(["node", "fragment"]), "segments")
+        sizes = written(parts.groupBy("node").agg(F.sum(F.size("grams")).alias("size")), "sizes")
+        n_a, n_b = (sizes.select(F.col("node").alias(k), F.col("size").alias(f"n_{k}")) for k in "ab")
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            pairs = pairs.join(n_a, "a").join(n_b, "b").where(fits("n_a", "n_b", percent))
+            x = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
+            y = parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
+            partial = pairs.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("common"))
+            total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+            return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+
+        return verify
+
+    links = written(linked(index, lambda x, y: fits(f"{x}.size", f"{y}.size", percent), verifier), "links")
     told = found.select("doc_id", "key", F.col("size").cast("long").alias("n_shingles")).join(nodes, "key", "left")
     if not is_empty(links):
         told = told.join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
