@@ -47,29 +47,45 @@ def semi(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 def linked(index: DataFrame, fits, verifier) -> DataFrame:
     """All links (a, b) that the components of an exact similarity need, without pairs that they make needless.
 
-    index: bucket, node, and what ``fits`` looks at; similar nodes share a bucket. First every node of a bucket is held
-    against its leader, the smallest: no more pairs than rows. Links found make components. Then only nodes of one
-    bucket in different components are held against each other: within a component further links change nothing.
+    index: bucket, node, and what ``fits`` looks at; similar nodes share a bucket. In a round every node of a bucket is
+    held against the bucket's leader: no more pairs than rows. The leader is the node whose buckets have most rows, so
+    that of a group of copies the one that the others were made from, or the least changed, leads nearly all buckets.
+    Links make components, and buckets with one component are done. Rounds with the next leaders go on while they
+    settle a good part of the pairs. Last, nodes of one bucket in different components are held against each other, all of
+    them: within a component further links change nothing.
     fits(x, y) is a filter over the aliases x and y; verifier(nodes) prepares what is needed to compare any of these
     nodes and returns a function that keeps the linked ones of pairs (a, b).
     """
+    n = F.count(F.lit(1)).alias("n")
     # min and max instead of a distinct count: both combine before the shuffle and need no sort
-    some = index.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("bucket", "lead")
-    shared = written(index.join(some, "bucket").distinct(), "shared")
-    none = index.sparkSession.createDataFrame([], "a long, b long")
-    if is_empty(shared):
-        return none
-    verify = verifier(shared.select("node").distinct())
-    star = written(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    links = written(verify(star), "star-links")
-    told = shared.drop("lead").withColumn("component", F.col("node"))
-    if not is_empty(links):
-        of = components(links).select(F.col("id").alias("node"), "component")
-        told = shared.drop("lead").join(F.broadcast(of) if small(of) else of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = told.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    rest = written(told.join(mixed, "bucket", "left_semi"), "rest")
+    some = index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), n).where("lo <> hi").select("bucket", "n")
+    rest = written(index.join(some, "bucket").distinct(), "shared")
+    links = held = index.sparkSession.createDataFrame([], "a long, b long")
+    if is_empty(rest):
+        return links
+    verify, open_pairs = verifier(rest.select("node").distinct()), None
+    rest = rest.withColumns({"component": F.col("node"), "led": F.lit(False)})
+    while True:
+        weight = rest.groupBy("node").agg(F.sum("n").alias("weight"))
+        weighed = rest.join(F.broadcast(weight) if small(weight) else weight, "node")
+        lead = weighed.groupBy("bucket").agg(F.max(F.struct(~F.col("led"), "weight", "node", "component")).alias("lead")).select("bucket", F.col("lead.node").alias("lead"), F.col("lead.component").alias("of"))
+        rest = written(rest.join(lead, "bucket"), "led")
+        star = rest.where("component <> of").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+        star = written(star.join(held, ["a", "b"], "left_anti"), "star")
+        new = written(verify(star), "star-links")
+        held = held.unionByName(star)
+        told = rest.withColumn("led", F.col("led") | (F.col("node") == F.col("lead"))).drop("n", "lead", "of")
+        if not is_empty(new):
+            links = written(links.unionByName(new), "links-so-far")
+            of = components(links).select(F.col("id").alias("node"), F.col("component").alias("now"))
+            told = told.join(F.broadcast(of) if small(of) else of, "node", "left").withColumn("component", F.coalesce("now", "component")).drop("now")
+        mixed = told.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), n).where("lo <> hi").select("bucket", "n")
+        rest = written(told.join(mixed, "bucket"), "rest")
+        rows, before, open_pairs = rest.count(), open_pairs, rest.agg(F.sum((F.col("n") - 1) / 2)).first()[0] or 0
+        if open_pairs <= 4 * rows or (before is not None and open_pairs > 0.8 * before):
+            break
     more = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
     both = rest.alias("x").join(rest.alias("y"), "bucket").where(fits("x", "y") & more)
     pairs = both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    others = written(pairs.join(star, ["a", "b"], "left_anti"), "other-pairs")
+    others = written(pairs.join(held, ["a", "b"], "left_anti"), "other-pairs")
     return links if is_empty(others) else links.unionByName(verify(others))

@@ -84,6 +84,19 @@ def test_ngrams_against_brute_force(spark, docs):
     assert got == brute_ngrams(rows)
 
 
+@pytest.mark.parametrize("percent", [60, 85])
+def test_sets_that_meet_the_threshold_share_a_signature(percent):
+    rng = np.random.default_rng(7)
+    for size in [*range(1, 40), 63, 64, 127, 128, 300, 1023, 1024]:
+        for _ in range(20):
+            x = np.unique(rng.integers(0, 1 << 63, size))
+            cut = x[rng.permutation(size)[: rng.integers(-(-size * percent // 100), size + 1)]]
+            y = np.unique(np.concatenate([cut, rng.integers(0, 1 << 63, rng.integers(0, size - len(cut) + 2))]))
+            common = len(np.intersect1d(x, y))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                assert np.intersect1d(ngrams.signatures(x, percent), ngrams.signatures(y, percent)).size
+
+
 def test_ngrams_odd(odd, none):
     got = sorted((r[0] or 0, r[1], r[2] or 0) for r in ngrams.classes(odd).collect())
     assert len(got) == len(ODD) and (8, 2, 5) in got and (1, 0, 1) in got and (4, 1, 4) in got
