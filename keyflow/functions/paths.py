@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from xml.parsers import expat
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MALFORMED = "malformed or invalid XML"
 
 
 def parse_xml(df: DataFrame, schema: str, raw: str = "raw_value", xsd: str | None = None) -> DataFrame:
@@ -16,13 +22,38 @@ def parse_xml(df: DataFrame, schema: str, raw: str = "raw_value", xsd: str | Non
         options["rowValidationXSDPath"] = xsd
     parsed = df.withColumn("__m", F.from_xml(raw, f"{schema}, __bad string", options))
     bad = F.col("__m.__bad").isNotNull() | F.col("__m").isNull() | F.lower(raw).rlike("<!(doctype|entity)")
-    return parsed.select("*", F.when(~bad, F.col("__m").dropFields("__bad")).alias("message"), F.when(bad, F.array(F.lit("malformed or invalid XML"))).otherwise(F.expr("cast(array() as array<string>)")).alias("errors")).drop("__m")
+    return parsed.select("*", F.when(~bad, F.col("__m").dropFields("__bad")).alias("message"), F.when(bad, F.array(F.lit(MALFORMED))).otherwise(F.expr("cast(array() as array<string>)")).alias("errors")).drop("__m")
+
+
+@F.arrow_udf(T.BooleanType())
+def well_formed(raw: pa.Array) -> pa.Array:
+    """Whether a text is one whole XML document without a document type. from_xml stops at the end of the root and does not see what follows."""
+
+    def refused(*_):
+        raise ValueError("document type")
+
+    def ok(text: str) -> bool:
+        parser = expat.ParserCreate("utf-8")
+        parser.StartDoctypeDeclHandler = refused
+        try:
+            parser.Parse(text.encode(), True)
+        except (expat.ExpatError, ValueError):
+            return False
+        return True
+
+    return pa.array([None if x is None else ok(x) for x in raw.to_pylist()], pa.bool_())
 
 
 def extract_id(raw: str, path: list[str]) -> Column:
-    """Struct (id, error): trimmed text of the first match of an element path in XML text, elements between allowed."""
-    found = F.trim(F.xpath_string(F.col(raw), F.lit("//" + "//".join(path))))
-    error = F.when(F.col(raw).isNull() | (F.trim(raw) == ""), "no xml").when(F.lit(not path), "no path").when(~F.xpath_boolean(F.col(raw), F.lit("//" + "//".join(path))), "not found").when(found == "", "empty")
+    """Struct (id, error): trimmed text of the first match of an element path in XML text, elements between allowed.
+
+    XPath fails the whole query on text that is not XML, so it is given none of it: such a row has an error of its own.
+    """
+    nothing = F.col(raw).isNull() | (F.trim(raw) == "")
+    good = well_formed(F.col(raw))
+    xml, at = F.when(good & ~nothing, F.col(raw)), F.lit("//" + "//".join(path) if path else "/*")
+    found = F.trim(F.xpath_string(xml, at))
+    error = F.when(nothing, "no xml").when(F.lit(not path), "no path").when(~good, MALFORMED).when(~F.xpath_boolean(xml, at), "not found").when(found == "", "empty")
     return F.struct(F.when(error.isNull(), found).alias("id"), error.alias("error"))
 
 

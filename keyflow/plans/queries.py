@@ -136,6 +136,13 @@ def _(s, d):
     return good.select("event_id", P.extract_id("raw_value", ["MPE", "id"]).alias("x"), P.extract_id("raw_value", ["MPE", "nope"]).alias("y")).select("event_id", "x.id", "x.error", F.col("y.error").alias("missing"))
 
 
+@query("xml_extract_id_all", "select event_id, case when event_id % 7 <> 0 then event_id::varchar end as id, case when event_id % 7 = 0 then 'malformed or invalid XML' end as error, case when event_id % 7 = 0 then 'malformed or invalid XML' else 'not found' end as missing from events")
+def _(s, d):
+    plain = xml(s, d).withColumn("raw_value", F.regexp_replace("raw_value", "(?<=[</])m:| xmlns:m=\"u\"", ""))
+    rows = plain.select("event_id", P.extract_id("raw_value", ["MPE", "id"]).alias("x"), P.extract_id("raw_value", ["MPE", "nope"]).alias("y"))
+    return rows.select("event_id", "x.id", "x.error", F.col("y.error").alias("missing"))
+
+
 @query("path_get", "select event_id, json_extract_string(props, '$.k') as k, null::varchar as none from events")
 def _(s, d):
     v = t(s, d, "events").withColumn("v", F.try_parse_json("props"))
@@ -673,6 +680,14 @@ def _(s, d):
     return late_rows(e, "ts", "event_id", "1 hour").select("event_id")
 
 
+@query("late_rows_all", "select event_id from (select event_id, ts, max(ts) over (order by event_id rows between unbounded preceding and 1 preceding) as seen from (select event_id, ts - case when event_id % 10 = 0 then interval 1 day else interval 0 second end as ts from events)) where ts < seen - interval 1 hour")
+def _(s, d):
+    from keyflow.streaming.streams import late_rows
+
+    e = t(s, d, "events").withColumn("ts", F.col("ts") - F.expr("if(event_id % 10 = 0, interval 1 day, interval 0 second)"))
+    return late_rows(e, "ts", "event_id", "1 hour").select("event_id")
+
+
 def flagship(s: SparkSession, d: str) -> DataFrame:
     """Records through the whole flow: normalize, parse, parameters, dispatch, enrich, state, rule, counts by kind and segment."""
     c = F.col

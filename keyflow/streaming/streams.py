@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,10 +27,25 @@ def watermark(df: DataFrame, ts: str | None = None, delay: str | None = None, fn
 
 
 def late_rows(df: DataFrame, ts: str, order: str, delay: str) -> DataFrame:
-    """Rows of a bounded table that a watermark of this delay would find late. The order is total, so one task reads the
-    column of times; a stream does the same in foreachBatch without a sort."""
-    seen = F.max(ts).over(W.orderBy(order).rowsBetween(W.unboundedPreceding, -1))
-    return df.withColumn("__seen", seen).where(F.col(ts) < F.col("__seen") - F.expr(f"interval {delay}")).drop("__seen")
+    """Rows of a bounded table that a watermark of this delay would find late.
+
+    The order is cut into ranges, one a shuffle partition. Each range has its own running maximum; to that comes the
+    greatest of the ranges before, from a table with one row a range. Rows are written once with their range, because
+    ranges are cut by a sample that differs each time. A stream does the same in foreachBatch without a sort.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="keyflow-")
+    path = f"{root.rstrip('/')}/late-rows-{uuid.uuid4().hex}"
+    # a number of partitions that is given stays as it is; without one small ranges are put together
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).withColumn("__range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    tops = rows.groupBy("__range").agg(F.max(ts).alias("__top"))
+    before = tops.select("__range", F.max("__top").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)).alias("__before"))
+    inside = F.max(ts).over(W.partitionBy("__range").orderBy(order).rowsBetween(W.unboundedPreceding, -1))
+    seen = rows.withColumn("__inside", inside).join(F.broadcast(before), "__range")
+    late = F.col(ts) < F.greatest("__inside", "__before") - F.expr(f"interval {delay}")
+    return seen.where(late).select(df.columns)
 
 
 def write_routed(df: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from keyflow.functions import paths
 from keyflow.operators import configs, depgraph, enrich, rules
 from keyflow.sources import lookups, records
 from keyflow.streaming import streams
@@ -85,3 +86,28 @@ def test_stateful_stream_equals_batch(spark, tmp_path):
 
     clean = lambda rows: sorted((r["at"], None if r["state_v"] is None or pd.isna(r["state_v"]) else r["state_v"]) for r in rows)
     assert clean(spark.read.parquet(str(tmp_path / "out")).collect()) == clean(running_state(df, "k", ["at"], ["v"]).collect())
+
+
+def test_malformed_xml_has_an_error_row(spark):
+    bad = ["<a><b>1</b></a>junk", "<a><b>1</b></a><a/>", "<a><b>&x;</b></a>", '<a b="1" b="2"/>', "junk", "<a><b>1</a>", "<a>1 < 2</a>", '<!DOCTYPE a [<!ENTITY x "y">]><a><b>&x;</b></a>', ' <?xml version="1.0"?><a/>']
+    rest = [("<a><c><b> 1 </b></c></a> ", "1", None), ("<a/>", None, "not found"), ("<a><b/></a>", None, "empty"), (" ", None, "no xml"), (None, None, "no xml")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(bad + [r[0] for r in rest])], "i int, raw string")
+    got = [(r["id"], r["error"]) for r in df.select("i", paths.extract_id("raw", ["a", "b"]).alias("x")).orderBy("i").select("x.*").collect()]
+    assert got == [(None, paths.MALFORMED)] * len(bad) + [r[1:] for r in rest]
+    assert {r["x"]["error"] for r in df.select(paths.extract_id("raw", []).alias("x")).collect()} == {"no path", "no xml"}
+
+
+def test_late_rows_over_many_ranges(spark):
+    rows = [(i, (i * 7919) % 5000 + i * 3 if i % 11 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i long, s long").repartition(7).withColumn("ts", F.timestamp_seconds("s"))
+    seen, want = None, []
+    for i, s in rows:
+        if s is not None and seen is not None and s < seen - 3600:
+            want.append(i)
+        seen = seen if s is None else s if seen is None else max(seen, s)
+    late = streams.late_rows(df, "ts", "i", "1 hour")
+    assert sorted(r["i"] for r in late.collect()) == want and late.columns == df.columns
+    assert streams.late_rows(df.where("false"), "ts", "i", "1 hour").count() == 0
+    # one task a range, none that reads the whole table
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__range" in plan
