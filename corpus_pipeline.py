@@ -24,9 +24,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group."""
+    """The document with the smallest doc_id of each group, and all documents without a doc_id, which are in no group."""
     first = ngrams.classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(first, "doc_id", "left_semi")
+    docs = docs.select(COLUMNS)
+    return docs.join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ by distributed union-find, and of each component the first line by (doc_id, line
 
 Equal lines are one node and need no signature to find each other. Lines without a character other than white space are
 kept. Lines shorter than ``K`` are alike only if equal. Null texts have no lines. Rows that repeat a doc_id hold the
-same lines at the same places: all of them are treated as one. Other columns pass through ``deduplicated``.
+same lines at the same places: all of them are treated as one. Rows without a doc_id are told apart by their texts, so
+only those with the same text are treated as one; they come before all others. Other columns pass through
+``deduplicated``.
 """
 
 from __future__ import annotations
@@ -76,8 +78,13 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return out
 
 
+def own() -> Column:
+    """What a row without a doc_id is known by; null for all others."""
+    return F.when(F.col("doc_id").isNull(), F.md5("text"))
+
+
 def line_table(docs: DataFrame, with_bands: bool = True) -> DataFrame:
-    """Rows (doc_id, line, key, node, bands) for each line of docs (doc_id, text) that is not blank.
+    """Rows (doc_id, own, line, key, node, bands) for each line of docs (doc_id, text) that is not blank.
 
     key is a 128-bit digest of the line, node its first 63 bits. bands is empty for lines shorter than K.
     """
@@ -87,24 +94,24 @@ def line_table(docs: DataFrame, with_bands: bool = True) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 rows, texts, held = [], [], []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for doc, text, of in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
                     for i, line in enumerate(text.split("\n") if text else ()):
                         if line := line.strip(SPACES):
                             if len(line) >= K:
                                 held.append(len(rows))
                                 texts.append(line)
                             digest = hashlib.blake2b(line.encode(), digest_size=16).digest()
-                            rows.append((doc, i, digest, int.from_bytes(digest[:8], "big") >> 1))
+                            rows.append((doc, of, i, digest, int.from_bytes(digest[:8], "big") >> 1))
                 if not rows:
                     continue
                 bands: list = [[]] * len(rows)
                 if texts and with_bands:
                     for i, x in zip(held, band_keys(signatures(texts)), strict=True):
                         bands[i] = x
-                types = (pa.int64(), pa.int32(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "line", "key", "node", "bands"])
+                types = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "own", "line", "key", "node", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line int, key binary, node long, bands array<long>")
+    return docs.select("doc_id", "text", own().alias("own")).mapInArrow(run, "doc_id long, own string, line int, key binary, node long, bands array<long>")
 
 
 def similar(pairs: DataFrame, percent: int, k: int = K) -> DataFrame:
@@ -127,13 +134,19 @@ def similar(pairs: DataFrame, percent: int, k: int = K) -> DataFrame:
 
 def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows (doc_id, line): the lines of docs (doc_id, text) that do not stay."""
+    return not_staying(docs, percent).select("doc_id", "line")
+
+
+def not_staying(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """duplicates() with own(), by which rows without a doc_id are told apart."""
     lines = written(line_table(docs), "lines")
     index = lines.select(F.explode_outer("bands").alias("bucket"), "node").where("bucket is not null")
 
     def verifier(ids: DataFrame):
-        place = lines.join(F.broadcast(ids) if small(ids) else ids, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("at"))
-        place = written(place.select("node", "at.*"), "places").groupBy("doc_id").agg(F.collect_list(F.struct("line", "node")).alias("here"))
-        text = docs.select("doc_id", "text").join(F.broadcast(place) if small(place, 100_000) else place, "doc_id")
+        place = lines.join(F.broadcast(ids) if small(ids) else ids, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "own", "line")).alias("at"))
+        place = written(place.select("node", "at.*"), "places").groupBy(F.col("doc_id").alias("of"), F.col("own").alias("of_own")).agg(F.collect_list(F.struct("line", "node")).alias("here"))
+        text = docs.select("doc_id", "text", own().alias("own"))
+        text = text.join(F.broadcast(place) if small(place, 100_000) else place, F.col("doc_id").eqNullSafe(F.col("of")) & F.col("own").eqNullSafe(F.col("of_own")))
         picked = text.select(F.split("text", "\n").alias("all"), F.explode_outer("here").alias("h")).select("h.node", F.btrim(F.get("all", F.col("h.line")), F.lit(SPACES)).alias("text"))
         texts = written(picked.dropDuplicates(["node"]), "line-texts")
 
@@ -144,14 +157,15 @@ def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return verify
 
     links = written(linked(index, lambda x, y: F.lit(True), verifier), "line-links")
-    own = lines.select("doc_id", "line", "key", "node")
+    each = lines.select("doc_id", "own", "line", "key", "node")
     if is_empty(links):
-        grouped = own.withColumn("group", F.col("key"))
+        grouped = each.withColumn("group", F.col("key"))
     else:
         of = components(links).select(F.col("id").alias("node"), "component")
-        grouped = own.join(of, "node", "left").withColumn("group", F.coalesce(F.col("component").cast("string").cast("binary"), "key"))
-    first = grouped.groupBy("group").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.max(F.struct("doc_id", "line")).alias("last")).where("first <> last").select("group", "first")
-    return grouped.join(first, "group").where(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line").distinct()
+        grouped = each.join(of, "node", "left").withColumn("group", F.coalesce(F.col("component").cast("string").cast("binary"), "key"))
+    at = F.struct("doc_id", "own", "line")
+    first = grouped.groupBy("group").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("group", "first")
+    return grouped.join(first, "group").where(at != F.col("first")).select("doc_id", "own", "line").distinct()
 
 
 def kept_text(text: str, dropped: str) -> Column:
@@ -161,8 +175,8 @@ def kept_text(text: str, dropped: str) -> Column:
 
 def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with their lines of duplicates() taken out of text, and dropped, the numbers of these (null: none)."""
-    gone = duplicates(docs, percent).groupBy(F.col("doc_id").alias("__of")).agg(F.array_sort(F.collect_list("line")).alias("dropped"))
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__of"]), "left").drop("__of")
+    gone = not_staying(docs, percent).groupBy(F.col("doc_id").alias("__of"), F.col("own").alias("__own")).agg(F.array_sort(F.collect_list("line")).alias("dropped"))
+    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__of"]) & own().eqNullSafe(gone["__own"]), "left").drop("__of", "__own")
     return both.withColumn("text", kept_text("text", "dropped"))
 
 

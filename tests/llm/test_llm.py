@@ -269,3 +269,37 @@ def test_preferences_odd(spark):
         4: (1, "<|user|>\ns<|end|>\n", "", "", "", ""),
     }
     assert preferences.formatted(preferences.pairs(df.where("false"))).count() == 0
+
+
+NO_ID = [
+    (None, "a line of its own in the first text without an id\nthe line that stands in all of these texts, here as well"),
+    (None, "another line, unique and of the second text\nquite different words follow in this place, once only"),
+    (None, "the line that stands in all of these texts, here as well\nsomething third, unlike everything before it"),
+    (1, "the line that stands in all of these texts, here as well!\nquite different words follow in this place, once only"),
+    (2, "nothing of this line is found elsewhere at all\nanother line, unique and of the second texts"),
+]
+
+
+def test_lines_without_ids(spark):
+    """Each row without an id loses its own lines only, and lines that stand there first have their fuzzy links."""
+    df = spark.createDataFrame(NO_ID, "doc_id long, text string")
+    rows = lines.deduplicated(df).collect()
+    kept = sorted(x for r in rows for x in r["text"].split("\n") if x)
+    assert len(rows) == len(NO_ID)
+    one = ["a line of its own in the first text without an id", "another line, unique and of the second text", "nothing of this line is found elsewhere at all", "quite different words follow in this place, once only", "something third, unlike everything before it"]
+    assert [x for x in kept if not x.startswith("the line that stands")] == one
+    assert len(kept) == len(one) + 1
+
+
+def test_pipeline_keeps_texts_without_ids(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select(corpus_pipeline.COLUMNS).where("length(text) > 400").limit(60)
+    some = corpus_pipeline.written(docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id"))), "no-ids")
+    assert some.where("doc_id is null").select("text").distinct().count() > 5
+    for name, stage in corpus_pipeline.STAGES:
+        had = some.where("doc_id is null").count()
+        some = corpus_pipeline.written(stage(spark, some, DATA), "no-ids")
+        if name == "n-gram jaccard":
+            assert some.where("doc_id is null").count() == had > 5
+    assert some.where("doc_id is null").count() > 0
