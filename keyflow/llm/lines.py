@@ -1,13 +1,15 @@
 """Fuzzy line deduplication: MinHash bands find lines that may be alike, exact Jaccard decides, one line of a component stays.
 
-A line's set is its character shingles of ``K`` code points (white space around the line does not count). Signatures
-are MinHash by one permutation: each shingle is hashed once, the hash's range is cut into ``BANDS * ROWS`` bins, a bin
+A line's set is its character shingles (white space around the line does not count). Two lines of ``SHORT`` code points
+or fewer are compared by shingles of ``K_SHORT``, so that one changed character of a line of 30 does not part it from its
+copy; all other pairs by shingles of ``K``, because long lines of one language share most of their shorter shingles.
+Short lines have signatures of both kinds, so pairs of either kind meet. Signatures are MinHash by one permutation: each shingle is hashed once, the hash's range is cut into ``BANDS * ROWS`` bins, a bin
 keeps its least value, and an empty bin takes that of the next one. A pair at similarity 0.8 meets in one of 10 bands
 of 4 with probability 0.995. Links between lines of a band are verified on their shingle sets, links make components
 by distributed union-find, and of each component the first line by (doc_id, line number) stays.
 
 Equal lines are one node and need no signature to find each other. Lines without a character other than white space are
-kept. Lines shorter than ``K`` are alike only if equal. Null texts have no lines. Rows that repeat a doc_id hold the
+kept. Lines shorter than ``K_SHORT`` are alike only if equal. Null texts have no lines. Rows that repeat a doc_id hold the
 same lines at the same places: all of them are treated as one. Rows without a doc_id are told apart by their texts, so
 only those with the same text are treated as one; they come before all others. Other columns pass through
 ``deduplicated``.
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from keyflow.llm.common import table, written
 from keyflow.llm.graph import components, is_empty, linked, small
 
-K, BANDS, ROWS, PERCENT = 8, 10, 4, 80
+K, K_SHORT, SHORT, BANDS, ROWS, PERCENT = 5, 3, 100, 10, 4, 80
 _BASE = 0x9E3779B97F4A7C15
 _EMPTY = np.uint64((1 << 64) - 1)
 SPACES = "\t\n\x0b\x0c\r "
@@ -66,11 +68,11 @@ def signatures(lines: list[str], k: int = K, bins: int = BANDS * ROWS) -> np.nda
     return out
 
 
-def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """A 63-bit key for each band, different from band to band."""
+def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS, first: int = 1) -> np.ndarray:
+    """A 63-bit key for each band, different from band to band; bands are numbered from first."""
     out = np.empty((len(sig), bands), np.int64)
     for b in range(bands):
-        h = np.full(len(sig), b + 1, np.uint64)
+        h = np.full(len(sig), b + first, np.uint64)
         for r in range(rows):
             h = (h ^ sig[:, b * rows + r]) * np.uint64(_BASE)
             h ^= h >> np.uint64(31)
@@ -86,45 +88,48 @@ def own() -> Column:
 def line_table(docs: DataFrame, with_bands: bool = True) -> DataFrame:
     """Rows (doc_id, own, line, key, node, bands) for each line of docs (doc_id, text) that is not blank.
 
-    key is a 128-bit digest of the line, node its first 63 bits. bands is empty for lines shorter than K.
+    key is a 128-bit digest of the line, node its first 63 bits. bands is empty for lines shorter than K_SHORT.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                rows, texts, held = [], [], []
+                rows, found = [], {K: ([], []), K_SHORT: ([], [])}
                 for doc, text, of in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
                     for i, line in enumerate(text.split("\n") if text else ()):
                         if line := line.strip(SPACES):
-                            if len(line) >= K:
-                                held.append(len(rows))
-                                texts.append(line)
+                            for k, (held, texts) in found.items():
+                                if k <= len(line) and (k == K or len(line) <= SHORT):
+                                    held.append(len(rows))
+                                    texts.append(line)
                             digest = hashlib.blake2b(line.encode(), digest_size=16).digest()
                             rows.append((doc, of, i, digest, int.from_bytes(digest[:8], "big") >> 1))
                 if not rows:
                     continue
                 bands: list = [[]] * len(rows)
-                if texts and with_bands:
-                    for i, x in zip(held, band_keys(signatures(texts)), strict=True):
-                        bands[i] = x
+                for k, (held, texts) in found.items():
+                    if texts and with_bands:
+                        for i, x in zip(held, band_keys(signatures(texts, k), first=1 if k == K else BANDS + 1).tolist(), strict=True):
+                            bands[i] = bands[i] + x
                 types = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64())
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "own", "line", "key", "node", "bands"])
 
     return docs.select("doc_id", "text", own().alias("own")).mapInArrow(run, "doc_id long, own string, line int, key binary, node long, bands array<long>")
 
 
-def similar(pairs: DataFrame, percent: int, k: int = K) -> DataFrame:
+def similar(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, x, y) whose lines x and y have a Jaccard similarity of percent or more, as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def shingles(line: str) -> set[str]:
+        def shingles(line: str, k: int) -> set[str]:
             return {line[i : i + k] for i in range(len(line) - k + 1)}
 
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                s, t = shingles(x), shingles(y)
+                k = K_SHORT if max(len(x), len(y)) <= SHORT else K
+                s, t = shingles(x, k), shingles(y, k)
                 common = len(s & t)
                 keep.append(100 * common >= percent * (len(s) + len(t) - common) > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))

@@ -303,3 +303,21 @@ def test_pipeline_keeps_texts_without_ids(spark):
         if name == "n-gram jaccard":
             assert some.where("doc_id is null").count() == had > 5
     assert some.where("doc_id is null").count() > 0
+
+
+def test_edits_of_short_lines(spark):
+    """One character of lines of 30 to 80, and one word where 0.8 allows it, part no line from its copy; long lines of few words stay."""
+    rng, rows, far = random.Random(11), [], []
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    for n in range(30, 81):
+        line = " ".join(word() for _ in range(14))[: n - 1].strip() + "."
+        line += "x" * (n - len(line))
+        rows.append((line, line[: n // 2] + "#" + line[n // 2 + 1 :]))
+        if n >= 66:
+            line = " ".join(word() for _ in range(14))[:n].strip().ljust(n, "y")
+            rows.append((line, line[:36] + "ZZZZZ" + line[41:]))
+    few = [word() for _ in range(60)]
+    far = [" ".join(rng.choice(few) for _ in range(1500)) for _ in range(6)]
+    df = spark.createDataFrame([(i, "\n".join(p[i] for p in rows)) for i in range(2)] + [(10 + i, x) for i, x in enumerate(far)], "doc_id long, text string")
+    got = {tuple(r) for r in lines.duplicates(df).collect()}
+    assert got <= {(1, i) for i in range(len(rows))} and len(got) >= 0.97 * len(rows)
