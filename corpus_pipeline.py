@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the best segmentation, with its score and the last of the N best."""
+    """Pieces of the best segmentation, and the N best with their scores and what differs in each."""
     import public_tokenizers
 
     return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)

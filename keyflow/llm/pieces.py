@@ -23,7 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keyflow.llm.common import table
 
@@ -58,7 +59,7 @@ class Pieces:
             assert len({r[0] for r in rows}) == len(rows)
         self.number: dict[str, int] = {}
         self.ids: list[bytes] = []
-        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self.score, self.loss, self.size = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
         self.searched: dict[str, list] = {}
 
     @staticmethod
@@ -106,7 +107,12 @@ class Pieces:
         if found is None:
             if len(self.searched) > CACHE_WORDS // 8:
                 self.searched.clear()
-            found = self.searched[word] = self.best(word)
+            i, found = self.number.get(word), self.best(word)
+            raw = self.viterbi([word], len(word))[0][0] if i is None else self.ids[i]
+            first = tuple(np.frombuffer(raw, "<u2").tolist())
+            if found[0][1] != first:  # equal scores: of these the one that encode() gives stands first
+                found = [(found[0][0], first), *[p for p in found if p[1] != first][: self.n_best - 1]]
+            self.searched[word] = found
         return found
 
     def learn(self, words: set[str]) -> None:
@@ -114,8 +120,8 @@ class Pieces:
         if len(self.number) + len(words) > CACHE_WORDS:
             self.number.clear()
             self.ids.clear()
-            self.score, self.loss = np.zeros(0), np.zeros(0)
-        scores, losses = [], []
+            self.score, self.loss, self.size = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
+        scores, losses, had = [], [], len(self.ids)
         by_size: dict[int, list[str]] = {}
         for w in words:
             by_size.setdefault(len(w), []).append(w)
@@ -129,6 +135,7 @@ class Pieces:
                 scores.append(score)
                 losses.append(loss)
         self.score, self.loss = np.concatenate([self.score, *scores]), np.concatenate([self.loss, *losses])
+        self.size = np.concatenate([self.size, np.array([len(x) // 2 for x in self.ids[had:]], np.int64)])
 
     def meet(self, texts: list[str | None]) -> list[list[str]]:
         """The words of texts. The new ones are learnt together, which arrays are good for."""
@@ -210,6 +217,10 @@ class Pieces:
 
     def encode(self, text: str | None, words: list[str] | None = None) -> tuple[np.ndarray, list[float], list[tuple]]:
         """(ids of the best path, scores of the n best, how each differs: (place of the word, which of its paths) ...)."""
+        return self.search(text, words)[:3]
+
+    def search(self, text: str | None, words: list[str] | None = None) -> tuple[np.ndarray, list[float], list[tuple], list[list]]:
+        """encode(), and for each of the n best what differs from the ids of the best: (place, how many go, the ids that come) ..."""
         words = self.words(text or "") if words is None else words
         at = list(map(self.number.get, words))
         if None in at:
@@ -221,13 +232,13 @@ class Pieces:
             if None in at:  # more new words than it holds
                 self.number.clear()
                 self.ids.clear()
-                self.score, self.loss = np.zeros(0), np.zeros(0)
+                self.score, self.loss, self.size = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
                 return self._large(words)
-        return self._combined(words, b"".join(map(self.ids.__getitem__, at)), self.score[at].sum() if at else 0.0, self.loss[at])
+        return self._combined(words, b"".join(map(self.ids.__getitem__, at)), self.score[at].sum() if at else 0.0, self.loss[at], self.size[at])
 
-    def _large(self, words: list[str]) -> tuple[np.ndarray, list[float], list[tuple]]:
+    def _large(self, words: list[str]) -> tuple[np.ndarray, list[float], list[tuple], list[list]]:
         """A text with more different words than the cache holds."""
-        ids, total, losses = [], 0.0, []
+        ids, total, losses, sizes = [], 0.0, [], []
         for i in range(0, len(words), CACHE_WORDS // 2):
             some = words[i : i + CACHE_WORDS // 2]
             self.learn(set(some) - self.number.keys())
@@ -238,9 +249,10 @@ class Pieces:
             ids.append(b"".join(map(self.ids.__getitem__, at)))
             total += self.score[at].sum()
             losses.append(self.loss[at])
-        return self._combined(words, b"".join(ids), total, np.concatenate(losses))
+            sizes.append(self.size[at])
+        return self._combined(words, b"".join(ids), total, np.concatenate(losses), np.concatenate(sizes))
 
-    def _combined(self, words: list[str], raw: bytes, total: float, losses: np.ndarray) -> tuple[np.ndarray, list[float], list[tuple]]:
+    def _combined(self, words: list[str], raw: bytes, total: float, losses: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[float], list[tuple], list[list]]:
         """Only the words whose second path costs least can deviate in one of the n best."""
         n, ids = self.n_best, np.frombuffer(raw, "<u2")
         near = np.flatnonzero(losses <= np.partition(losses, n - 2)[n - 2]) if len(losses) >= n and n > 1 else np.arange(len(losses))
@@ -249,7 +261,9 @@ class Pieces:
         for i in near:
             paths = self.paths(words[i])
             ways = sorted((loss + paths[0][0] - s, how + (((i, k),) if k else ())) for loss, how in ways for k, (s, _) in enumerate(paths))[:n]
-        return ids, [float(total) - loss for loss, _ in ways], [how for _, how in ways]
+        ends = np.cumsum(sizes) if len(ways) > 1 else ()
+        changes = [[(int(ends[i] - sizes[i]), int(sizes[i]), self.paths(words[i])[k][1]) for i, k in sorted(how)] for _, how in ways]
+        return ids, [float(total) - loss for loss, _ in ways], [how for _, how in ways], changes
 
     def path(self, text: str, how: tuple) -> list[int]:
         """All ids of one of the n best."""
@@ -268,27 +282,59 @@ def pieces(path: str, n_best: int = N_BEST) -> Pieces:
     return _models[path, n_best]
 
 
-ENCODED = "doc_id long, n_pieces long, n_paths long, best_score double, last_score double, ids_crc32 long, decodes boolean"
+PATHS = "array<struct<score: double, n_pieces: long, ids_crc32: long, decodes: boolean, changes: array<struct<at: int, gone: int, ids: array<int>>>>>"
+ENCODED = f"doc_id long, n_pieces long, n_paths long, best_score double, last_score double, ids_crc32 long, decodes boolean, paths {PATHS}"
+_CHANGE = pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("ids", pa.list_(pa.int32()))])
+_PATH = pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("decodes", pa.bool_()), ("changes", pa.list_(_CHANGE))])
+
+
+def changed(ids: np.ndarray, changes: list[tuple]) -> np.ndarray:
+    """The ids of another path from those of the best."""
+    out, done = [], 0
+    for at, gone, new in changes:
+        out += [ids[done:at], np.array(new, ids.dtype)]
+        done = at + gone
+    return np.concatenate([*out, ids[done:]])
+
+
+def path_ids(rank: int) -> Column:
+    """The ids of the path of a rank (0: the best) of encoded(with_ids=True); null if a text has fewer paths."""
+    # from the last change to the first, so that places hold
+    return F.expr(
+        f"if(size(paths) > {rank}, aggregate(reverse(get(paths, {rank}).changes), ids, (x, c) -> concat(slice(x, 1, c.at), c.ids, slice(x, c.at + c.gone + 1, size(x)))), null)"
+    )
 
 
 def encoded(docs: DataFrame, path: str, n_best: int = N_BEST, with_ids: bool = False) -> DataFrame:
     """Per row of docs (doc_id, text): the best path's size, CRC and (with_ids) ids, the scores of the best and the last
-    of the n best, and whether decoding gives the text back."""
+    of the n best, whether decoding gives the text back, and paths.
+
+    paths has all n best, best first: score, size, CRC of the ids, whether they decode to the text, and what differs
+    from the best path's ids: from place ``at``, ``gone`` ids make way for others (path_ids() puts them in).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path, n_best)
+        plain = lambda ids: b"".join([model.raw[i] for i in ids])
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows, all_ids = batch.slice(at, 500), [], []
                 texts = part.column(1).to_pylist()
                 for text, words in zip(texts, model.meet(texts), strict=True):
-                    ids, scores, _ = model.encode(text, words)
-                    flat = ids.tolist()
-                    rows.append((len(flat), len(scores), scores[0], scores[-1], zlib.crc32(ids.astype("<u4").tobytes()), model.decode(flat) == (text or "").replace(BLANK, " ")))
+                    ids, scores, _, changes = model.search(text, words)
+                    flat, want, paths = ids.tolist(), (text or "").replace(BLANK, " "), []
+                    good = model.decode(flat) == want
+                    for score, change in zip(scores, changes, strict=True):
+                        # where each change has the bytes of what it replaces, all bytes are those of the best path
+                        same = all(plain(flat[a : a + gone]) == plain(new) for a, gone, new in change)
+                        other = changed(ids, change)
+                        crc = zlib.crc32(other.astype("<u4").tobytes())
+                        paths.append((score, len(other), crc, good if same else model.decode(other.tolist()) == want, change))
+                    rows.append((len(flat), len(scores), scores[0], scores[-1], paths[0][2], good, [dict(zip(_PATH.names, (*p[:4], [dict(zip(_CHANGE.names, c, strict=True)) for c in p[4]]), strict=True)) for p in paths]))
                     all_ids.append(flat)
-                types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
+                types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_(), pa.list_(_PATH))
                 columns = [part.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))]
-                names = ["doc_id", "n_pieces", "n_paths", "best_score", "last_score", "ids_crc32", "decodes"]
+                names = ["doc_id", "n_pieces", "n_paths", "best_score", "last_score", "ids_crc32", "decodes", "paths"]
                 if with_ids:
                     columns.append(pa.array(all_ids, pa.list_(pa.int32())))
                     names.append("ids")

@@ -321,3 +321,27 @@ def test_edits_of_short_lines(spark):
     df = spark.createDataFrame([(i, "\n".join(p[i] for p in rows)) for i in range(2)] + [(10 + i, x) for i, x in enumerate(far)], "doc_id long, text string")
     got = {tuple(r) for r in lines.duplicates(df).collect()}
     assert got <= {(1, i) for i in range(len(rows))} and len(got) >= 0.97 * len(rows)
+
+
+def test_all_n_best_come_out(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = pieces.Pieces(path)
+    texts = ["hello", "a b", "the cat", "é① x", "in  on", "tokenization of unusual nonwordish strings", "aaaa aaaa", "abababab ' '' ---- ....", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = pieces.encoded(df, path, with_ids=True)
+    for r in out.select("*", *[pieces.path_ids(k).alias(f"p{k}") for k in range(pieces.N_BEST)]).collect():
+        text = texts[r["doc_id"]] or ""
+        found = [r[f"p{k}"] for k in range(pieces.N_BEST) if r[f"p{k}"] is not None]
+        assert len(found) == r["n_paths"] == len(r["paths"]) and found[0] == r["ids"] and len({tuple(x) for x in found}) == len(found)
+        # one word of all: the lattice of a text is that of its words put together
+        want = model.best("".join(model.words(text))) if text else [(0.0, ())]
+        assert [p["score"] for p in r["paths"]] == pytest.approx([s for s, _ in want])
+        price = {}
+        for end, edges in enumerate(model.lattice("".join(model.words(text)))):
+            for _, s, ids in edges:
+                price[ids] = s
+        for ids, p in zip(found, r["paths"], strict=True):
+            assert p["decodes"] and model.decode(ids) == text and p["n_pieces"] == len(ids)
+            assert p["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+            if all((i,) in price for i in ids):
+                assert sum(price[i,] for i in ids) == pytest.approx(p["score"])
