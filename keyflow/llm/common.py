@@ -23,21 +23,38 @@ def ascii_lower(text: Column) -> Column:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is missing (local mode, tests) a folder of this machine is taken and set.
+    Only in local mode, where all share one machine, a missing setting is made up for.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="keyflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Tables in a new folder of the shared one: lineage ends at each, so a lost executor costs nothing that was written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, shared_folder(spark, name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more; without names all of them."""
+        for path in [f"{self.folder}/{n}" for n in names] or [self.folder]:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again: lineage ends there, lost executors cost nothing."""
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """A table that stays."""
+    return Scratch(df.sparkSession, name).write(df, "table")
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import is_empty, written
+from keyflow.llm.common import Scratch, is_empty
+
+#: Sketches of 128 bits: the most bits that differ in a candidate pair, and in nodes that count as close to and far from a leader.
+MOST, CLOSE, FAR = 30, 15, 45
+
+
+def _print(edges: DataFrame):
+    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,7 +22,9 @@ def components(links: DataFrame) -> DataFrame:
     longest chain. Every round is written as a table, so lineage stays short and a lost executor costs one round.
     Links are grouped by their smaller or larger end and only minima are kept of a group: no group is collected.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    scratch = Scratch(links.sparkSession, "components")
+    edges = scratch.write(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "0")
+    old, n = _print(edges), 0
     while True:
         # large star: the larger neighbours of a node are linked to its smallest neighbour
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -24,18 +33,19 @@ def components(links: DataFrame) -> DataFrame:
         # small star: the smaller neighbours of a node and itself are linked to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        new = written(small, "links")
-        same = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() == edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        edges = new
-        if same:
+        edges = scratch.write(small, str(n + 1))
+        scratch.drop(str(n))
+        new, n = _print(edges), n + 1
+        if new == old:
             break
+        old = new
     nodes = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)
 
 
 def small(df: DataFrame, rows: int = 500_000) -> bool:
-    """Whether df has few enough rows to be broadcast; at most one row more is looked at."""
+    """Whether df, whose rows are a few numbers each, has few enough to be broadcast; at most one row more is looked at."""
     return df.limit(rows + 1).count() <= rows
 
 
@@ -44,32 +54,113 @@ def semi(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small(ids) else ids, on, "left_semi")
 
 
-def linked(index: DataFrame, fits, verifier) -> DataFrame:
+def with_few(df: DataFrame, other: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join with a table of which each key has one row: by broadcast if it has few rows."""
+    return df.join(F.broadcast(other) if small(other) else other, on, how)
+
+
+def distance(x: str, y: str) -> Column:
+    """How many bits of two sketches (low, high) differ."""
+    return F.expr(f"bit_count({x}.low ^ {y}.low) + bit_count({x}.high ^ {y}.high)")
+
+
+def fits(n_a: str, n_b: str, percent: int) -> Column:
+    """Whether sets of these sizes can meet the threshold."""
+    return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+
+
+def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch: Scratch) -> DataFrame:
     """All links (a, b) that the components of an exact similarity need, without pairs that they make needless.
 
-    index: bucket, node, and what ``fits`` looks at; similar nodes share a bucket. First every node of a bucket is held
-    against its leader, the smallest: no more pairs than rows. Links found make components. Then only nodes of one
-    bucket in different components are held against each other: within a component further links change nothing.
-    fits(x, y) is a filter over the aliases x and y; verifier(nodes) prepares what is needed to compare any of these
-    nodes and returns a function that keeps the linked ones of pairs (a, b).
+    index: bucket, node; similar nodes share a bucket. about: node and the size of its set, or a sketch (low, high) of it;
+    rows may repeat.
+
+    1. Every node of a bucket is held against its leader, the node with most company in all its buckets: no more pairs
+       than rows. Links found make components; within one, further links change nothing.
+    2. Two nodes x and y of one leader L that are in different components. Let dx and dy be the differences of their sets
+       to that of L. The difference of x and y is that of dx and dy, so x and y are alike only if dx and dy overlap by
+       ``(|dx| + |dy| - D) / 2``, where D = (100 - percent) / (100 + percent) * (|x| + |y|) is what two like sets may
+       differ by. One of them, say x, is not linked to L, so |dx| is above its own D and that overlap is positive: in
+       one order of all elements, a like pair shares one of the first few of dx and dy (prefix and positional filter).
+       What is in a set but not in L's comes first, for of a group of near copies that is what each has of its own. So a
+       group whose members all differ from its leader gives few pairs, however large it is.
+    3. With sketches, only pairs that differ in ``MOST`` bits or fewer are candidates. Nodes far from their leader are
+       held against others of the bucket that are not close to it; by the triangle inequality of the number of bits no
+       close one can be a candidate. Step 2 has the rest.
+
+    verifier(nodes) prepares what is needed to compare any of these nodes and returns two functions: one keeps the
+    linked ones of pairs (a, b), one gives for pairs (lead, node) the rows (lead, node, lead_size, size, elements), the
+    elements of the difference in order.
     """
+    spark, sketched = index.sparkSession, "sketch" in about.columns
+    of = "sketch" if sketched else "size"
     # min and max instead of a distinct count: both combine before the shuffle and need no sort
-    some = index.groupBy("bucket").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("bucket", "lead")
-    shared = written(index.join(some, "bucket").distinct(), "shared")
-    none = index.sparkSession.createDataFrame([], "a long, b long")
+    some = index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
+    shared = scratch.write(index.join(some, "bucket", "left_semi").dropDuplicates(["bucket", "node"]), "shared")
+    none = spark.createDataFrame([], "a long, b long")
     if is_empty(shared):
         return none
-    verify = verifier(shared.select("node").distinct())
-    star = written(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    links = written(verify(star), "star-links")
-    told = shared.drop("lead").withColumn("component", F.col("node"))
+    counts = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    weight = scratch.write(shared.join(counts, "bucket").groupBy("node").agg(F.sum("n").alias("weight")), "weight")
+    mine = scratch.write(with_few(about, weight, "node").groupBy("node").agg(*[F.first(c).alias(c) for c in ("weight", of)]), "mine")
+    known = with_few(shared, mine, "node")
+    best = F.max(F.struct("weight", (-F.col("node")).alias("minus"), of)).alias("lead")
+    leads = known.groupBy("bucket").agg(best).select("bucket", (-F.col("lead.minus")).alias("lead"), F.col(f"lead.{of}").alias(f"lead_{of}"))
+    led = known.drop("weight").join(leads, "bucket").withColumn("far", distance("sketch", "lead_sketch") if sketched else F.lit(0))
+    able = F.col("far") <= MOST if sketched else fits("size", "lead_size", percent)
+    led = scratch.write(led.withColumn("able", able).drop(f"lead_{of}"), "led")
+    scratch.drop("shared", "weight", "mine")
+    members = scratch.write(led.where((F.col("node") != F.col("lead")) & (F.col("far") <= FAR)).select("lead", "node", "able").distinct(), "members")
+    star = members.where("able").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+    links, parts, deltas = none, None, None
+    if not is_empty(members):
+        verify, deltas = verifier(members.select("node").union(members.select("lead")).distinct())
+        links = scratch.write(verify(star), "star-links")
     if not is_empty(links):
-        of = components(links).select(F.col("id").alias("node"), "component")
-        told = shared.drop("lead").join(F.broadcast(of) if small(of) else of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = told.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    rest = written(told.join(mixed, "bucket", "left_semi"), "rest")
-    more = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    both = rest.alias("x").join(rest.alias("y"), "bucket").where(fits("x", "y") & more)
-    pairs = both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    others = written(pairs.join(star, ["a", "b"], "left_anti"), "other-pairs")
-    return links if is_empty(others) else links.unionByName(verify(others))
+        parts = scratch.write(components(links), "parts")
+
+    def component(df: DataFrame, node: str, name: str) -> DataFrame:
+        if parts is None:
+            return df.withColumn(name, F.col(node))
+        return with_few(df, parts.select(F.col("id").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
+
+    pairs = none
+    if deltas is not None:
+        told = component(component(members.select("lead", "node"), "node", "component"), "lead", "lead_component")
+        mixed = told.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("lead")
+        told = scratch.write(told.join(mixed, "lead", "left_semi"), "mixed")
+        if not is_empty(told):
+            pairs = _by_deltas(told.join(deltas(told.select("lead", "node")), ["lead", "node"]), percent)
+    if sketched:
+        pairs = pairs.unionByName(_by_sketches(component(led, "node", "component")))
+    pairs = scratch.write(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
+    if is_empty(pairs):
+        return links
+    if sketched or deltas is None:  # nodes far from all leaders come in only here
+        verify = verifier(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())[0]
+    return scratch.write(links.unionByName(verify(pairs)), "links")
+
+
+def _by_deltas(rows: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) of members (lead, node, component, lead_component, lead_size, size, elements); see linked()."""
+    less, more = 100 - percent, 100 + percent
+    own = F.col("component") != F.col("lead_component")
+    n = F.size("elements")
+    most = F.floor(less * (F.col("size") + F.floor(F.col("size") * 100 / percent)) / more) + 1
+    half = F.floor((more * n + less * (F.col("size") - F.col("lead_size"))) / (2 * more)) + 1
+    keep = F.greatest(F.lit(0), F.when(own, most).otherwise(half)).cast("int")
+    tokens = rows.select("lead", "node", "component", "size", own.alias("own"), n.alias("n"), F.posexplode_outer(F.slice("elements", F.lit(1), keep)).alias("at", "element")).where("element is not null")
+    x, y = tokens.where("own").alias("x"), tokens.alias("y")
+    common = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    enough = 2 * more * common >= more * (F.col("x.n") + F.col("y.n")) - less * (F.col("x.size") + F.col("y.size"))
+    once = ~F.col("y.own") | (F.col("x.node") < F.col("y.node"))
+    on = (F.col("x.lead") == F.col("y.lead")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.component") != F.col("y.component")) & once & fits("x.size", "y.size", percent) & enough
+    return x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
+def _by_sketches(led: DataFrame) -> DataFrame:
+    """Candidates (a, b) of which one is far from the leader of their bucket."""
+    x, y = led.where(F.col("far") > FAR).alias("x"), led.where(F.col("far") > CLOSE).alias("y")
+    once = (F.col("y.far") <= FAR) | (F.col("x.node") < F.col("y.node"))
+    on = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & once & (distance("x.sketch", "y.sketch") <= MOST)
+    return x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))

@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import table, written
-from keyflow.llm.graph import components, is_empty, linked, semi, small
+from keyflow.llm.common import Scratch, is_empty, table
+from keyflow.llm.graph import components, fits, linked, semi, with_few
 
 N, PERCENT, FRAGMENTS = 4, 85, 8
 _BYTES = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -128,7 +128,7 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
 
 def segments(docs: DataFrame, n: int = N) -> DataFrame:
-    """Rows (node, fragment, grams) of docs (doc_id, text), one for each fragment that has some."""
+    """Rows (node, fragment, grams) of docs (doc_id, text), one for each fragment."""
     edges = [(1 << 63) // FRAGMENTS * k for k in range(1, FRAGMENTS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,51 +138,54 @@ def segments(docs: DataFrame, n: int = N) -> DataFrame:
                 part, rows = batch.slice(at, 1000), []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
                     grams = hasher.grams(normalized(text), n)
-                    rows += [(doc, k, x) for k, x in enumerate(np.split(grams, np.searchsorted(grams, edges))) if len(x)]
+                    rows += [(doc, k, x) for k, x in enumerate(np.split(grams, np.searchsorted(grams, edges)))]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.list_(pa.int64())), strict=True)], ["node", "fragment", "grams"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "node long, fragment int, grams array<long>")
 
 
-def fits(x: str, y: str, percent: int) -> Column:
-    """Whether sets of these sizes can meet the threshold."""
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, the smallest doc_id reachable by links."""
-    found = written(features(docs, n, percent), "features")
+    stays, scratch = Scratch(docs.sparkSession, "ngrams"), Scratch(docs.sparkSession, "ngram-pairs")
+    found = scratch.write(features(docs, n, percent), "features")
     usable = found.where("size > 0 and doc_id is not null")
     nodes = usable.groupBy("key").agg(F.min("doc_id").alias("node"))
     own = nodes.groupBy(F.col("node").alias("doc_id")).agg(F.min("key").alias("own"))
     # texts that another row stands for: few, so that signatures need no shuffle to get rid of theirs
     others = usable.select("doc_id", "key").join(own, "doc_id", "left").where("own is null or own <> key").select("doc_id", "key").distinct()
-    others = written(others, "others")
-    rows = usable.join(F.broadcast(others) if small(others) else others, ["doc_id", "key"], "left_anti")
-    index = rows.select(F.explode_outer("signatures").alias("bucket"), F.col("doc_id").alias("node"), "size").where("bucket is not null")
+    others = scratch.write(others, "others")
+    rows = with_few(usable, others, ["doc_id", "key"], "left_anti")
+    index = rows.select(F.explode_outer("signatures").alias("bucket"), F.col("doc_id").alias("node")).where("bucket is not null")
+    about = rows.select(F.col("doc_id").alias("node"), "size")
 
     def verifier(ids: DataFrame):
         texts = semi(docs.select("doc_id", "text"), ids.withColumnRenamed("node", "doc_id"), "doc_id")
-        parts = written(segments(texts, n).dropDuplicates(["node", "fragment"]), "segments")
-        sizes = written(parts.groupBy("node").agg(F.sum(F.size("grams")).alias("size")), "sizes")
-        n_a, n_b = (sizes.select(F.col("node").alias(k), F.col("size").alias(f"n_{k}")) for k in "ab")
+        parts = scratch.write(segments(texts, n).dropDuplicates(["node", "fragment"]), "segments")
+
+        def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
+            x, y = parts.select(F.col("node").alias(a), "fragment", F.col("grams").alias("x")), parts.select(F.col("node").alias(b), "fragment", F.col("grams").alias("y"))
+            return pairs.join(x, a).join(y, [b, "fragment"])
 
         def verify(pairs: DataFrame) -> DataFrame:
-            pairs = pairs.join(n_a, "a").join(n_b, "b").where(fits("n_a", "n_b", percent))
-            x = parts.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("x"))
-            y = parts.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("y"))
-            partial = pairs.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("common"))
-            total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+            partial = both(pairs, "a", "b").select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), F.size(F.array_intersect("x", "y")).alias("common"))
+            total = partial.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n_a", "n_b", "common")])
             return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
-        return verify
+        def deltas(pairs: DataFrame) -> DataFrame:
+            partial = both(pairs, "lead", "node").select("lead", "node", F.size("x").alias("n_x"), F.size("y").alias("n_y"), F.array_except("y", "x").alias("more"), F.array_except("x", "y").alias("less"))
+            lists = [F.array_sort(F.flatten(F.collect_list(c))) for c in ("more", "less")]
+            return partial.groupBy("lead", "node").agg(F.sum("n_x").alias("lead_size"), F.sum("n_y").alias("size"), F.concat(*lists).alias("elements"))
+
+        return verify, deltas
 
-    links = written(linked(index, lambda x, y: fits(f"{x}.size", f"{y}.size", percent), verifier), "links")
+    links = linked(index, about, percent, verifier, scratch)
     told = found.select("doc_id", "key", F.col("size").cast("long").alias("n_shingles")).join(nodes, "key", "left")
     if not is_empty(links):
         told = told.join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
-    return told.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("component_id"))
+    out = stays.write(told.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("component_id")), "classes")
+    scratch.drop()
+    return out
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
