@@ -1,134 +1,191 @@
 """Fuzzy line deduplication: MinHash bands find lines that may be alike, exact Jaccard decides, one line of a component stays.
 
-A line's set is its character shingles (white space around the line does not count). Two lines of ``SHORT`` code points
-or fewer are compared by shingles of ``K_SHORT``, so that one changed character of a line of 30 does not part it from its
-copy; all other pairs by shingles of ``K``, because long lines of one language share most of their shorter shingles.
-Short lines have signatures of both kinds, so pairs of either kind meet. Signatures are MinHash by one permutation: each shingle is hashed once, the hash's range is cut into ``BANDS * ROWS`` bins, a bin
-keeps its least value, and an empty bin takes that of the next one. A pair at similarity 0.8 meets in one of 10 bands
-of 4 with probability 0.995. Links between lines of a band are verified on their shingle sets, links make components
-by distributed union-find, and of each component the first line by (doc_id, line number) stays.
+A line's set is its character shingles (white space around the line does not count). Lines are alike if their sets of
+``K`` characters have a Jaccard similarity of 0.8 or more, or, where both have ``SHORT`` code points or fewer, those of
+``K_SHORT``: so one changed character of a line of 30 does not part it from its copy, while long lines of one language,
+which share most of their shorter shingles, are told apart. Each kind has its own signatures and candidates.
+
+Signatures are MinHash by one permutation: each shingle is hashed once, the hash's range is cut into ``BINS`` bins, a bin
+keeps its least value, and an empty bin takes that of another one, at places that are the same for all lines. A pair at
+similarity 0.8 meets in one of 12 bands of 5 with probability 0.99. One bit of each bin makes a sketch, and candidates
+differ in ``graph.MOST`` of its 128 bits at most (at similarity 0.8: 13 +- 4), so lines that meet in a band by chance
+are never compared. Candidates are verified on their shingle sets, links make components by distributed union-find,
+and of each component the first line by (doc_id, text's hash, line number) stays.
 
 Equal lines are one node and need no signature to find each other. Lines without a character other than white space are
-kept. Lines shorter than ``K_SHORT`` are alike only if equal. Null texts have no lines. Rows that repeat a doc_id hold the
-same lines at the same places: all of them are treated as one. Rows without a doc_id are told apart by their texts, so
-only those with the same text are treated as one; they come before all others. Other columns pass through
-``deduplicated``.
+kept. Lines shorter than ``K_SHORT`` are alike only if equal. Null texts have no lines. A row is known by its doc_id and
+text, so different texts under one doc_id, or under none, are told apart, and rows equal in both are treated as one.
+Other columns pass through ``deduplicated``.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import table, written
-from keyflow.llm.graph import components, is_empty, linked, small
+from keyflow.llm.common import Scratch, is_empty, table
+from keyflow.llm.graph import components, linked, semi, with_few
 
-K, K_SHORT, SHORT, BANDS, ROWS, PERCENT = 5, 3, 100, 10, 4, 80
+K, K_SHORT, SHORT, BANDS, ROWS, BINS, PERCENT = 5, 3, 100, 12, 5, 128, 80
 _BASE = 0x9E3779B97F4A7C15
 _EMPTY = np.uint64((1 << 64) - 1)
+_RANDOM = np.random.Generator(np.random.PCG64(20240611))
+_PLACES = _RANDOM.integers(0, BINS, (64, BINS))
+_SALT = _RANDOM.integers(0, 1 << 63, BINS, dtype=np.uint64)
+SEED = 42  # of Spark's xxhash64
 SPACES = "\t\n\x0b\x0c\r "
 
 
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+
+
+def _runs(chars: np.ndarray, k: int) -> np.ndarray:
+    if k == 1:
+        return chars
+    half = k // 2 if k % 2 == 0 else 1
+    a, b = _runs(chars, k - half), chars if half == 1 else None
+    b = a if b is None else b
+    n = max(0, len(chars) - k + 1)
+    return a[:n] * np.uint64(pow(_BASE, half, 1 << 64)) + b[k - half : k - half + n]
+
+
 def shingle_hashes(chars: np.ndarray, k: int) -> np.ndarray:
     """Hash of each run of k code points."""
-    h = np.zeros(max(0, len(chars) - k + 1), np.uint64)
-    for i in range(k):
-        h = h * np.uint64(_BASE) + chars[i : len(h) + i]
+    h = _runs(chars, k)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
-def signatures(lines: list[str], k: int = K, bins: int = BANDS * ROWS) -> np.ndarray:
-    """One row of ``bins`` minima for each line of k characters or more."""
+def signatures(lines: list[str], k: int = K) -> np.ndarray:
+    """One row of ``BINS`` minima for each line of k characters or more."""
     sizes = np.array([len(x) for x in lines], np.int64)
-    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    h = shingle_hashes(chars, k)
-    # place of each shingle; those that reach into the next line are left out
-    ends = np.cumsum(sizes)
-    keep = np.ones(len(h), bool)
+    h = shingle_hashes(codes("".join(lines)), k)
+    at = np.repeat(np.arange(0, BINS * len(lines), BINS), sizes)[: len(h)] + (h >> np.uint64(57)).astype(np.int64)
+    h <<= np.uint64(7)
+    # shingles that reach into the next line never are a minimum
+    ends = np.cumsum(sizes)[:-1]
     for i in range(1, k):
-        at = ends[:-1] - i
-        keep[at[at < len(h)]] = False
-    line = np.repeat(np.arange(len(lines)), sizes)[: len(h)][keep]
-    h = h[keep]
-    out = np.full(len(lines) * bins, _EMPTY, np.uint64)
-    np.minimum.at(out, line * bins + ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), h << np.uint64(32) | h >> np.uint64(32))
-    out = out.reshape(len(lines), bins)
-    for _ in range(bins):
-        empty = out == _EMPTY
-        if not empty.any():
+        h[ends - i] = _EMPTY
+    out = np.full(len(lines) * BINS, _EMPTY, np.uint64)
+    np.minimum.at(out, at, h)
+    out = out.reshape(len(lines), BINS)
+    row, bin_ = np.nonzero(out == _EMPTY)
+    first, least = out.copy(), out.min(axis=1)
+    for places in _PLACES:
+        if not len(row):
             break
-        out = np.where(empty, np.roll(out, -1, axis=1), out)
+        value = first[row, places[bin_]]
+        found = value != _EMPTY
+        out[row[found], bin_[found]] = value[found]
+        row, bin_ = row[~found], bin_[~found]
+    out[row, bin_] = least[row]
     return out
 
 
-def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS, first: int = 1) -> np.ndarray:
-    """A 63-bit key for each band, different from band to band; bands are numbered from first."""
-    out = np.empty((len(sig), bands), np.int64)
-    for b in range(bands):
-        h = np.full(len(sig), b + first, np.uint64)
-        for r in range(rows):
-            h = (h ^ sig[:, b * rows + r]) * np.uint64(_BASE)
+def band_keys(sig: np.ndarray, kind: int) -> np.ndarray:
+    """A 63-bit key for each band, different from band to band and kind to kind."""
+    out = np.empty((len(sig), BANDS), np.int64)
+    for b in range(BANDS):
+        h = np.full(len(sig), 1000 * kind + b, np.uint64)
+        for r in range(ROWS):
+            h = (h ^ sig[:, b * ROWS + r]) * np.uint64(_BASE)
             h ^= h >> np.uint64(31)
         out[:, b] = (h >> np.uint64(1)).astype(np.int64)
     return out
 
 
-def own() -> Column:
-    """What a row without a doc_id is known by; null for all others."""
-    return F.when(F.col("doc_id").isNull(), F.md5("text"))
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """128 bits for each line, as two numbers."""
+    bits = ((sig ^ _SALT) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(63)
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
 
 
-def line_table(docs: DataFrame, with_bands: bool = True) -> DataFrame:
-    """Rows (doc_id, own, line, key, node, bands) for each line of docs (doc_id, text) that is not blank.
+def line_table(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, own, line, node, key, sets) for each line of docs (doc_id, text) that is not blank.
 
-    key is a 128-bit digest of the line, node its first 63 bits. bands is empty for lines shorter than K_SHORT.
+    own is the hash of the row's text, node the line's 64-bit hash, key one of 128 bits. sets: kind (K or K_SHORT),
+    sketch and bands; empty for lines that a task has met just before.
     """
+    one = pa.struct([("kind", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("bands", pa.list_(pa.int64()))])
+
+    def sets(lines: list[str], kind: int) -> pa.StructArray:
+        sig = signatures(lines, kind)
+        low_high, n = sketches(sig), len(lines)
+        bands = pa.ListArray.from_arrays(np.arange(0, (n + 1) * BANDS, BANDS, dtype=np.int32), pa.array(band_keys(sig, kind).ravel()))
+        return pa.StructArray.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(low_high[:, 0]), pa.array(low_high[:, 1]), bands], fields=list(one))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows, found = [], {K: ([], []), K_SHORT: ([], [])}
-                for doc, text, of in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
+            for at in range(0, batch.num_rows, 300):
+                part = batch.slice(at, 300)
+                doc_at, numbers, nodes, keys = [], [], [], []
+                new = {K: ([], []), K_SHORT: ([], [])}
+                for row, text in enumerate(part.column(1).to_pylist()):
                     for i, line in enumerate(text.split("\n") if text else ()):
                         if line := line.strip(SPACES):
-                            for k, (held, texts) in found.items():
-                                if k <= len(line) and (k == K or len(line) <= SHORT):
-                                    held.append(len(rows))
-                                    texts.append(line)
-                            digest = hashlib.blake2b(line.encode(), digest_size=16).digest()
-                            rows.append((doc, of, i, digest, int.from_bytes(digest[:8], "big") >> 1))
-                if not rows:
+                            raw = line.encode()
+                            node = xxhash.xxh64_intdigest(raw, SEED)
+                            if node not in seen:
+                                seen.add(node)
+                                for kind, (held, texts) in new.items():
+                                    if kind <= len(line) and (kind == K or len(line) <= SHORT):
+                                        held.append(len(nodes))
+                                        texts.append(line)
+                            doc_at.append(row)
+                            numbers.append(i)
+                            nodes.append(node)
+                            keys.append(xxhash.xxh3_128_digest(raw))
+                if not nodes:
                     continue
-                bands: list = [[]] * len(rows)
-                for k, (held, texts) in found.items():
-                    if texts and with_bands:
-                        for i, x in zip(held, band_keys(signatures(texts, k), first=1 if k == K else BANDS + 1).tolist(), strict=True):
-                            bands[i] = bands[i] + x
-                types = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64())
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "own", "line", "key", "node", "bands"])
+                if len(seen) > 200_000:
+                    seen.clear()
+                found = {kind: sets(texts, kind) for kind, (_, texts) in new.items() if texts}
+                values, rows = pa.concat_arrays(found.values()) if found else pa.array([], one), np.array([i for kind in found for i in new[kind][0]], np.int64)
+                order = np.argsort(rows, kind="stable")
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(nodes)))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), values.take(pa.array(order)))
+                where = pa.array(doc_at, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).cast(pa.int64()).take(where), part.column(2).take(where), pa.array(numbers, pa.int32()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.binary()), lists],
+                    ["doc_id", "own", "line", "node", "key", "sets"],
+                )
+
+    return docs.select("doc_id", "text", own().alias("own")).mapInArrow(
+        run, "doc_id long, own long, line int, node long, key binary, sets array<struct<kind: int, low: long, high: long, bands: array<long>>>"
+    )
+
+
+def own() -> Column:
+    """What tells rows of one doc_id, or of none, apart."""
+    return F.xxhash64("text")
+
+
+def line_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows (node, text) of these lines, each once."""
+    lines = docs.select(F.explode_outer(F.split("text", "\n")).alias("text")).select(F.btrim("text", F.lit(SPACES)).alias("text")).where("text <> ''")
+    return semi(lines.withColumn("node", F.xxhash64("text")), nodes, "node").dropDuplicates(["node"])
+
 
-    return docs.select("doc_id", "text", own().alias("own")).mapInArrow(run, "doc_id long, own string, line int, key binary, node long, bands array<long>")
+def shingles(line: str, k: int) -> set[str]:
+    return {line[i : i + k] for i in range(len(line) - k + 1)}
 
 
-def similar(pairs: DataFrame, percent: int) -> DataFrame:
+def similar(pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b, x, y) whose lines x and y have a Jaccard similarity of percent or more, as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def shingles(line: str, k: int) -> set[str]:
-            return {line[i : i + k] for i in range(len(line) - k + 1)}
-
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                k = K_SHORT if max(len(x), len(y)) <= SHORT else K
                 s, t = shingles(x, k), shingles(y, k)
                 common = len(s & t)
                 keep.append(100 * common >= percent * (len(s) + len(t) - common) > 0)
@@ -137,37 +194,54 @@ def similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def differences(pairs: DataFrame, k: int) -> DataFrame:
+    """Rows (lead, node, lead_size, size, elements) of (lead, node, x, y): what y has and x has not, then the reverse; see graph.linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                s, t = np.unique(shingle_hashes(codes(x), k)), np.unique(shingle_hashes(codes(y), k))
+                rows.append((len(s), len(t), np.concatenate([np.setdiff1d(t, s, True), np.setdiff1d(s, t, True)]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True))], ["lead", "node", "lead_size", "size", "elements"])
+
+    return pairs.select("lead", "node", "x", "y").mapInArrow(run, "lead long, node long, lead_size int, size int, elements array<long>")
+
+
 def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Rows (doc_id, line): the lines of docs (doc_id, text) that do not stay."""
     return not_staying(docs, percent).select("doc_id", "line")
 
 
-def not_staying(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """duplicates() with own(), by which rows without a doc_id are told apart."""
-    lines = written(line_table(docs), "lines")
-    index = lines.select(F.explode_outer("bands").alias("bucket"), "node").where("bucket is not null")
+def links_of(docs: DataFrame, lines: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) of line_table() by shingles of k characters, as many as components need."""
+    sets = lines.select("node", F.explode_outer(F.filter("sets", lambda x: x.kind == k)).alias("set")).where("set is not null")
+    index = sets.select(F.explode_outer("set.bands").alias("bucket"), "node").where("bucket is not null")
+    about = sets.select("node", F.struct("set.low", "set.high").alias("sketch"))
 
-    def verifier(ids: DataFrame):
-        place = lines.join(F.broadcast(ids) if small(ids) else ids, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "own", "line")).alias("at"))
-        place = written(place.select("node", "at.*"), "places").groupBy(F.col("doc_id").alias("of"), F.col("own").alias("of_own")).agg(F.collect_list(F.struct("line", "node")).alias("here"))
-        text = docs.select("doc_id", "text", own().alias("own"))
-        text = text.join(F.broadcast(place) if small(place, 100_000) else place, F.col("doc_id").eqNullSafe(F.col("of")) & F.col("own").eqNullSafe(F.col("of_own")))
-        picked = text.select(F.split("text", "\n").alias("all"), F.explode_outer("here").alias("h")).select("h.node", F.btrim(F.get("all", F.col("h.line")), F.lit(SPACES)).alias("text"))
-        texts = written(picked.dropDuplicates(["node"]), "line-texts")
+    def verifier(nodes: DataFrame):
+        texts = Scratch(docs.sparkSession, "line-texts").write(line_texts(docs, nodes), "texts")
 
-        def verify(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-            return similar(both, percent)
+        def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
+            return pairs.join(texts.select(F.col("node").alias(a), F.col("text").alias("x")), a).join(texts.select(F.col("node").alias(b), F.col("text").alias("y")), b).select(a, b, "x", "y")
 
-        return verify
+        return lambda pairs: similar(both(pairs, "a", "b"), k, percent), lambda pairs: differences(both(pairs, "lead", "node"), k)
 
-    links = written(linked(index, lambda x, y: F.lit(True), verifier), "line-links")
+    return linked(index, about, percent, verifier, scratch)
+
+
+def not_staying(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """duplicates() with own(), by which rows of one doc_id are told apart."""
+    scratch = Scratch(docs.sparkSession, "lines")
+    lines = scratch.write(line_table(docs), "lines")
+    links = [links_of(docs, lines, k, percent, Scratch(docs.sparkSession, "line-pairs")) for k in (K, K_SHORT)]
+    links = links[0].unionByName(links[1])
     each = lines.select("doc_id", "own", "line", "key", "node")
     if is_empty(links):
         grouped = each.withColumn("group", F.col("key"))
     else:
         of = components(links).select(F.col("id").alias("node"), "component")
-        grouped = each.join(of, "node", "left").withColumn("group", F.coalesce(F.col("component").cast("string").cast("binary"), "key"))
+        grouped = with_few(each, of, "node", "left").withColumn("group", F.coalesce(F.col("component").cast("string").cast("binary"), "key"))
     at = F.struct("doc_id", "own", "line")
     first = grouped.groupBy("group").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("group", "first")
     return grouped.join(first, "group").where(at != F.col("first")).select("doc_id", "own", "line").distinct()
@@ -181,7 +255,8 @@ def kept_text(text: str, dropped: str) -> Column:
 def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with their lines of duplicates() taken out of text, and dropped, the numbers of these (null: none)."""
     gone = not_staying(docs, percent).groupBy(F.col("doc_id").alias("__of"), F.col("own").alias("__own")).agg(F.array_sort(F.collect_list("line")).alias("dropped"))
-    both = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__of"]) & own().eqNullSafe(gone["__own"]), "left").drop("__of", "__own")
+    rest = docs.drop("dropped")
+    both = rest.join(gone, rest["doc_id"].eqNullSafe(gone["__of"]) & (own() == gone["__own"]), "left").drop("__of", "__own")
     return both.withColumn("text", kept_text("text", "dropped"))
 
 
