@@ -82,15 +82,16 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
        ``(|dx| + |dy| - D) / 2``, where D = (100 - percent) / (100 + percent) * (|x| + |y|) is what two like sets may
        differ by. One of them, say x, is not linked to L, so |dx| is above its own D and that overlap is positive: in
        one order of all elements, a like pair shares one of the first few of dx and dy (prefix and positional filter).
-       What is in a set but not in L's comes first, for of a group of near copies that is what each has of its own. So a
-       group whose members all differ from its leader gives few pairs, however large it is.
+       The order is by how many members of L have the element in their difference, rarest first: of a group of near
+       copies, first come those that each has of its own. So a group whose members all differ from its leader gives few
+       pairs, however large it is.
     3. With sketches, only pairs that differ in ``MOST`` bits or fewer are candidates. Nodes far from their leader are
        held against others of the bucket that are not close to it; by the triangle inequality of the number of bits no
        close one can be a candidate. Step 2 has the rest.
 
     verifier(nodes) prepares what is needed to compare any of these nodes and returns two functions: one keeps the
     linked ones of pairs (a, b), one gives for pairs (lead, node) the rows (lead, node, lead_size, size, elements), the
-    elements of the difference in order.
+    elements of the difference.
     """
     spark, sketched = index.sparkSession, "sketch" in about.columns
     of = "sketch" if sketched else "size"
@@ -130,7 +131,7 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
         mixed = told.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("lead")
         told = scratch.write(told.join(mixed, "lead", "left_semi"), "mixed")
         if not is_empty(told):
-            pairs = _by_deltas(told.join(deltas(told.select("lead", "node")), ["lead", "node"]), percent)
+            pairs = _by_deltas(scratch.write(told.join(deltas(told.select("lead", "node")), ["lead", "node"]), "deltas"), percent)
     if sketched:
         pairs = pairs.unionByName(_by_sketches(component(led, "node", "component")))
     pairs = scratch.write(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
@@ -143,13 +144,17 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
 
 def _by_deltas(rows: DataFrame, percent: int) -> DataFrame:
     """Candidates (a, b) of members (lead, node, component, lead_component, lead_size, size, elements); see linked()."""
+    single = rows.select("lead", "node", F.explode_outer("elements").alias("element")).where("element is not null")
+    many = single.groupBy("lead", "element").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranked = single.join(many, ["lead", "element"], "left").groupBy("lead", "node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "element"))).alias("elements"))
+    rows = rows.drop("elements").join(ranked, ["lead", "node"])
     less, more = 100 - percent, 100 + percent
     own = F.col("component") != F.col("lead_component")
     n = F.size("elements")
     most = F.floor(less * (F.col("size") + F.floor(F.col("size") * 100 / percent)) / more) + 1
     half = F.floor((more * n + less * (F.col("size") - F.col("lead_size"))) / (2 * more)) + 1
     keep = F.greatest(F.lit(0), F.when(own, most).otherwise(half)).cast("int")
-    tokens = rows.select("lead", "node", "component", "size", own.alias("own"), n.alias("n"), F.posexplode_outer(F.slice("elements", F.lit(1), keep)).alias("at", "element")).where("element is not null")
+    tokens = rows.select("lead", "node", "component", "size", own.alias("own"), n.alias("n"), F.posexplode_outer(F.slice("elements", F.lit(1), keep)).alias("at", "token")).where("token.n > 1").withColumn("element", F.col("token.element")).drop("token")
     x, y = tokens.where("own").alias("x"), tokens.alias("y")
     common = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     enough = 2 * more * common >= more * (F.col("x.n") + F.col("y.n")) - less * (F.col("x.size") + F.col("y.size"))

@@ -195,14 +195,14 @@ def similar(pairs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def differences(pairs: DataFrame, k: int) -> DataFrame:
-    """Rows (lead, node, lead_size, size, elements) of (lead, node, x, y): what y has and x has not, then the reverse; see graph.linked."""
+    """Rows (lead, node, lead_size, size, elements) of (lead, node, x, y): what one has and the other has not; see graph.linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 s, t = np.unique(shingle_hashes(codes(x), k)), np.unique(shingle_hashes(codes(y), k))
-                rows.append((len(s), len(t), np.concatenate([np.setdiff1d(t, s, True), np.setdiff1d(s, t, True)]).view(np.int64)))
+                rows.append((len(s), len(t), np.setxor1d(s, t, True).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True))], ["lead", "node", "lead_size", "size", "elements"])
 
     return pairs.select("lead", "node", "x", "y").mapInArrow(run, "lead long, node long, lead_size int, size int, elements array<long>")

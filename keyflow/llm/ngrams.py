@@ -174,7 +174,7 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
         def deltas(pairs: DataFrame) -> DataFrame:
             partial = both(pairs, "lead", "node").select("lead", "node", F.size("x").alias("n_x"), F.size("y").alias("n_y"), F.array_except("y", "x").alias("more"), F.array_except("x", "y").alias("less"))
-            lists = [F.array_sort(F.flatten(F.collect_list(c))) for c in ("more", "less")]
+            lists = [F.flatten(F.collect_list(c)) for c in ("more", "less")]
             return partial.groupBy("lead", "node").agg(F.sum("n_x").alias("lead_size"), F.sum("n_y").alias("size"), F.concat(*lists).alias("elements"))
 
         return verify, deltas
