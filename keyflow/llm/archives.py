@@ -14,7 +14,9 @@ Repeated rows are records of their own.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
@@ -52,7 +54,8 @@ def arc_file(version: int, records: list[tuple[str, str, str, bytes]]) -> bytes:
 
 
 def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, bytes]]:
-    """(uri, date, type, body) of each record but the version block; a length that runs over the end takes what is there."""
+    """(uri, date, type, body) of each record but the version block. A length that runs over the end takes what is there;
+    behind a header line whose length is no number nothing can be found, so the file ends there. Unknown versions count as 1."""
     at, fields = 0, None
     while at < len(data):
         end = data.find(b"\n", at)
@@ -62,26 +65,35 @@ def parse_arc(data: bytes) -> Iterator[tuple[str, str, str, bytes]]:
         at = end + 1
         if not line:
             continue
-        values = line.decode("utf-8", "replace").split(" ")
+        # from the right, as a url of old files may hold blanks
+        values = line.decode("utf-8", "replace").rsplit(" ", len(fields or ARC_FIELDS[1]) - 1)
+        if not re.fullmatch(r"\d+", values[-1]):
+            return
         length = int(values[-1])
         body, at = data[at : at + length], at + length
         if fields is None:
-            fields = ARC_FIELDS[int(body[:1] or b"1")]
+            version = body[:1].decode("ascii", "replace")
+            fields = ARC_FIELDS[int(version) if version in ("1", "2") else 1]
             continue
-        row = dict(zip(fields, values, strict=False))
+        row = dict.fromkeys(fields, "-") | dict(zip(fields, values, strict=False))
         yield row["URL"], row["Archive-date"], row["Content-type"], body
 
 
 def warc_date(digits: str) -> str:
-    """14 digits or fewer, which are filled up with the earliest; anything else is 1970."""
-    if not re.fullmatch(r"\d{4,14}", digits):
+    """14 digits or fewer, which are filled up with the earliest; anything else, and what is no date, is 1970."""
+    if not re.fullmatch(r"[0-9]{4,14}", digits):
         digits = "1970"
     d = (digits + "00000101000000"[len(digits) :])[:14] if len(digits) > 4 else digits + "0101000000"
+    try:
+        datetime.datetime.strptime(d, "%Y%m%d%H%M%S")
+    except ValueError:
+        d = "19700101000000"
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
 def warc_kind(uri: str, body: bytes) -> str:
-    return "response" if body.startswith(b"HTTP/") and not re.match(r"(dns|ftp|whois):", uri) else "resource"
+    """A body with an HTTP head is a response whatever its scheme, as of a proxy; all else is a resource."""
+    return "response" if body.startswith(b"HTTP/") and b"\r\n\r\n" in body else "resource"
 
 
 def record_id(uri: str, date: str, digest: str, page: int | None) -> str:
@@ -124,7 +136,7 @@ def read_arc(files: DataFrame) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for uri, date, _, body in parse_arc(content.as_py()):
+                for uri, date, _, body in parse_arc(unzipped(content.as_py())):
                     kind = warc_kind(uri, body)
                     cut = body.find(b"\r\n\r\n") + 4 if kind == "response" else 0
                     head, payload = body[:cut], body[cut:]
@@ -174,8 +186,15 @@ def write_warc(records: DataFrame, folder: str) -> None:
     """Write records (see with_revisits) as gzipped WARC files of about FILE_BYTES before compression."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:00000000-0000-5000-8000-000000000000>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Type: application/warc-fields\r\nContent-Length: 18\r\n\r\nsoftware: keyflow\n"
-        held, size = [info], 0
+        from pyspark import TaskContext
+
+        part, files = TaskContext.get().partitionId(), itertools.count()
+
+        def info() -> bytes:
+            name = uuid.uuid5(uuid.NAMESPACE_URL, f"{folder} {part} {next(files)}")
+            return b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:%s>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Type: application/warc-fields\r\nContent-Length: 18\r\n\r\nsoftware: keyflow\n" % str(name).encode()
+
+        held, size = [info()], 0
         put = lambda: pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(held)], pa.binary())], ["content"])
         for batch in batches:
             for row in zip(*(batch.column(c) for c in ("uri", "date", "kind", "head", "payload", "payload_bytes", "digest", "page_id", "first")), strict=True):
@@ -183,7 +202,7 @@ def write_warc(records: DataFrame, folder: str) -> None:
                 size += len(held[-1])
                 if size >= FILE_BYTES:
                     yield put()
-                    held, size = [info], 0
+                    held, size = [info()], 0
         if len(held) > 1:
             yield put()
 
@@ -198,11 +217,23 @@ def write_warc(records: DataFrame, folder: str) -> None:
     )
 
 
+def unzipped(data: bytes) -> bytes:
+    """All members of a gzip file; what does not start a member ends it. Bytes that are no gzip are given back."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    out = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data) + member.flush())
+        data = member.unused_data
+    return b"".join(out)
+
+
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields in lower case, block) of each record, by declared lengths."""
     at = 0
     while (end := data.find(b"\r\n\r\n", at)) >= 0:
-        lines = data[at:end].decode("utf-8", "replace").split("\r\n")
+        lines = data[at:end].lstrip(b"\r\n").decode("utf-8", "replace").split("\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
         length = int(fields["content-length"])
         yield fields, data[end + 4 : end + 4 + length]
@@ -219,7 +250,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in parse_warc(zlib.decompress(content.as_py(), 31)):
+                for fields, block in parse_warc(unzipped(content.as_py())):
                     kind = fields["warc-type"]
                     if kind == "warcinfo":
                         continue

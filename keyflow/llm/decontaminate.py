@@ -5,8 +5,9 @@ by the prefix principle one shingle of it is enough to join on: its rarest, by c
 that holds that shingle is a candidate; the length and positional bound (the window has to fit around the shingle
 inside the text) and a comparison of all the window's words follow.
 
-The benchmark is read in blocks of at most ``BLOCK_WORDS`` words, hashed by item; each block is one narrow pass over
-the documents, so nothing larger than a block is ever sent to a task and documents are never shuffled.
+The benchmark is read in blocks of about ``BLOCK_WORDS`` words, hashed by item (an item is never cut); each block is
+two narrow passes over the documents, one to count and one to mark, and what is marked is written before the next, so a
+task has one block at a time and documents are never shuffled. The work is that of the documents times the blocks.
 
 Null and empty texts have no words; an item without words has no window. Repeated rows are each judged. Other columns
 of documents pass through ``annotate``, except that added names (n_words, hit_ranges, hit_items) replace old ones.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyflow.llm.common import table
+from keyflow.llm.common import Scratch, held, table
 
 WINDOW, SHINGLE, BLOCK_WORDS = 13, 3, 1_000_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -41,12 +42,13 @@ class Block:
     def __init__(self, items: list[tuple]):
         self.vocabulary: dict[bytes, int] = {}
         number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-        found: dict[tuple[int, ...], set[str]] = {}
+        found: dict[tuple[int, ...], set[str]] = {}  # an item without an id has windows but no name
         for item, text in items:
             ids = [number(w) for w in words_of(text.encode() if text is not None else None)]
             for i in range(max(len(ids) - WINDOW, 0) + 1):
                 if ids:
-                    found.setdefault(tuple(ids[i : i + WINDOW]), set()).add(str(item))
+                    found.setdefault(tuple(ids[i : i + WINDOW]), set()).update([str(item)] if item is not None else [])
+        self.name = f"before-{id(self)}"
         self.windows = list(found)
         self.items = [sorted(x) for x in found.values()]
         self.base = len(self.vocabulary) + 1
@@ -126,7 +128,7 @@ def _as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
 
 
-def _pieces(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+def _pieces(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
 
@@ -135,6 +137,7 @@ def shingle_counts(docs: DataFrame, block: Block) -> dict[tuple[int, int], int]:
     """How often each shingle of the block's windows stands in all documents: as many rows as the block has shingles."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("decontaminate", dict)
         total = {g: np.zeros(len(codes), np.int64) for g, codes in block.codes.items()}
         for batch in batches:
             for part in _pieces(batch):
@@ -204,9 +207,12 @@ def annotate(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
     """docs with n_words, hit_ranges (disjoint within a block, by words) and hit_items (sorted as strings)."""
     added = ("n_words", "hit_ranges", "hit_items")
     rest = [c for c in docs.columns if c not in ("text", *added)]
-    rows, first = docs.select("text", *rest), True
+    rows, first, scratch = docs.select("text", *rest), True, None
     for block in blocks_of(benchmark, block_words):
         block.choose(shingle_counts(docs, block) if block.windows else {})
+        if not first:
+            scratch = scratch or Scratch(docs.sparkSession, "blocks")
+            rows = scratch.write(rows, block.name)
         rows = _mark(rows, block, rest, first)
         first = False
     return rows

@@ -1,6 +1,7 @@
-"""License scan: exact set-similarity join between license notices and the lines of documents.
+"""License scan: exact set-similarity join between license notices and the text blocks of documents.
 
-A text block is a line. Tokens of notices are ordered by their frequency in the whole corpus, rarest first. A block
+A text block is a line, or up to ``WRAP`` adjacent lines of ``WRAP_WORDS`` words together, as notices are often wrapped.
+Notices that differ in a word or two have words that a block needs or must not have. Tokens of notices are ordered by their frequency in the whole corpus, rarest first. A block
 can only hold ``need = ceil(threshold * size)`` of a notice's tokens if it holds one of its first
 ``size - need + 1``, so these prefix tokens are the join key; a length and a positional bound drop pairs that cannot
 reach ``need``, and what is left is verified exactly.
@@ -9,7 +10,7 @@ Only the notices' own tokens can match, so all others share the front of the ord
 table has a row for each token of the notices, however large the corpus. (Arrays are exploded by the outer form: for
 the other Spark infers a filter that computes them once more.)
 
-Nulls and empty texts have no words and no labels. Rows that repeat a doc_id each get that id's result. Other columns
+Nulls and empty texts have no words and no labels. Each row gets its own text's result. Other columns
 of the input are ignored.
 """
 
@@ -25,6 +26,8 @@ from keyflow.llm.common import ascii_lower, table
 #: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+, one by one: single characters are looked up in a table, ranges compared one after another.
 WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum() or chr(c).isupper()) + "]+"
 
+WORD_SQL = WORD.replace("\\", "\\\\")
+
 #: Phrase, label.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -48,7 +51,12 @@ NOTICES = {
     "cc-by-sa-4.0": "licensed under cc by sa 4 0",
     "all-rights-reserved": "copyright all rights reserved",
 }
+#: Label, words of which each is needed; label, words of which none may stand in the block.
+NEEDED = {"lgpl-3.0": ["lesser"], "agpl-3.0": ["affero"], "cc-by-4.0": ["by"], "cc-by-nc-4.0": ["nc"], "cc-by-sa-4.0": ["sa"]}
+BARRED = {"gpl-3.0": ["affero", "lesser"], "lgpl-3.0": ["affero"], "agpl-3.0": ["lesser"], "cc-by-4.0": ["nc", "nd", "sa"], "cc-by-nc-4.0": ["nd", "sa"], "cc-by-sa-4.0": ["nc", "nd"]}
 THRESHOLD = 0.9
+#: A notice may be wrapped over so many lines, which have so many words together at most (twice the longest notice's).
+WRAP, WRAP_WORDS = 4, 40
 
 
 def words_of(text: str) -> Column:
@@ -72,13 +80,14 @@ def token_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def find_notices(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows (doc_id, line, label, containment): each line (from 0) that holds at least ``threshold`` of a notice's tokens.
+    """Rows (doc_id, text, line, label, containment): each line (from 0) from which on a block holds at least
+    ``threshold`` of a notice's tokens. text is a hash of the row's text, which tells rows of one doc_id apart.
 
     docs: doc_id, text.
     """
     spark = docs.sparkSession
     sets = notice_tokens(notices)
-    vocabulary = sorted({w for s in sets.values() for w in s})
+    vocabulary = sorted({w for s in sets.values() for w in s} | {w for x in BARRED.values() for w in x})
     counts = token_frequencies(docs, vocabulary)
     order = sorted(vocabulary, key=lambda w: (counts[w], w))
     rank = {w: i for i, w in enumerate(order)}
@@ -86,19 +95,26 @@ def find_notices(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold:
     for label, words in sets.items():
         words = sorted(words, key=rank.get)
         need = math.ceil(threshold * len(words) - 1e-9)
-        index += [(rank[w], label, i, len(words), need, [rank[x] for x in words]) for i, w in enumerate(words[: len(words) - need + 1])]
-    prefix = spark.createDataFrame(index, "token int, label string, at int, size int, need int, ranks array<int>")
+        more = ([rank[x] for x in NEEDED.get(label, []) if x in words], [rank[x] for x in BARRED.get(label, []) if x not in words])
+        index += [(rank[w], label, i, len(words), need, [rank[x] for x in words], *more) for i, w in enumerate(words[: len(words) - need + 1])]
+    prefix = spark.createDataFrame(index, "token int, label string, at int, size int, need int, ranks array<int>, needed array<int>, barred array<int>")
     keys = sorted({order[r[0]] for r in index})
     ranks = "map_from_arrays(" + _quoted(order) + ", sequence(0, " + str(len(order) - 1) + "))"
     least = min(r[4] for r in index)
+    run = f"named_struct('line', i, 'block', array_join(slice(lines, i + 1, k), ' '))"
+    short = f"k = 1 or i + k <= size(lines) and aggregate(slice(n, i + 1, k), 0, (a, x) -> a + x) <= {WRAP_WORDS}"
+    runs = f"flatten(transform(sequence(0, size(lines) - 1), i -> transform(filter(sequence(1, if(n[i] between 1 and {WRAP_WORDS}, {WRAP}, 1)), k -> {short}), k -> {run})))"
     blocks = (
         docs.where(F.arrays_overlap(words_of("text"), F.array(*map(F.lit, keys))))
-        .select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line", "block"))
+        .select("doc_id", F.xxhash64("text").alias("text"), F.split("text", "\n").alias("lines"))
+        .withColumn("n", F.expr(f"transform(lines, x -> regexp_count(x, '{WORD_SQL}'))"))
+        .select("doc_id", "text", F.explode_outer(F.expr(runs)).alias("b"))
+        .select("doc_id", "text", "b.line", "b.block")
         .where(F.arrays_overlap(words_of("block"), F.array(*map(F.lit, keys))))
-        .select("doc_id", "line", F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("block")), F.lit(WORD), F.lit(0))).alias("words"))
+        .select("doc_id", "text", "line", F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("block")), F.lit(WORD), F.lit(0))).alias("words"))
         .withColumn("ranks", F.expr(f"array_sort(filter(transform(words, w -> {ranks}[w]), r -> r is not null))"))
         .where(F.size("ranks") >= least)
-        .select("doc_id", "line", "ranks", F.posexplode_outer("ranks").alias("block_at", "token"))
+        .select("doc_id", "text", "line", "ranks", F.posexplode_outer("ranks").alias("block_at", "token"))
     )
     left = F.least(F.col("size") - F.col("at"), F.size("b.ranks") - F.col("block_at"))
     found = (
@@ -106,13 +122,13 @@ def find_notices(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold:
         .join(F.broadcast(prefix.alias("p")), "token")  # a few rows for each notice
         .where((F.size("b.ranks") >= F.col("need")) & (left >= F.col("need") - F.col("at")))
         .withColumn("overlap", F.size(F.array_intersect("b.ranks", "p.ranks")))
-        .where(F.col("overlap") >= F.col("need"))
+        .where((F.col("overlap") >= F.col("need")) & ~F.arrays_overlap("b.ranks", "barred") & (F.size(F.array_except("needed", "b.ranks")) == 0))
     )
-    return found.groupBy("doc_id", "line", "label").agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
+    return found.groupBy("doc_id", "text", "line", "label").agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
 
 
 def find_phrases(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """docs (doc_id, text) with n_words, and hits: the sorted (start, label) of each place where a phrase's words stand consecutively."""
+    """Per row of docs (doc_id, text) doc_id, text (a hash), n_words, and hits: the sorted (start, label) of each place where a phrase's words stand consecutively."""
     starts = sorted({p.split()[0] for p in phrases})
     cases = []
     for phrase, label in phrases.items():
@@ -120,15 +136,15 @@ def find_phrases(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFram
         cases.append(f"when {same} then '{label}'")
     first = "filter(transform(words, (w, i) -> if(w in (" + ", ".join(f"'{w}'" for w in starts) + "), i, null)), i -> i is not null)"
     hits = F.expr(f"filter(transform({first}, i -> named_struct('start', i, 'label', case {' '.join(cases)} end)), x -> x.label is not null)")
-    words = docs.select("doc_id", words_of("text").alias("words"))
-    return words.select("doc_id", F.coalesce(F.size("words"), F.lit(0)).cast("long").alias("n_words"), F.coalesce(hits, F.expr("cast(array() as array<struct<start: int, label: string>>)")).alias("hits"))
+    words = docs.select("doc_id", F.xxhash64("text").alias("text"), words_of("text").alias("words"))
+    return words.select("doc_id", "text", F.coalesce(F.size("words"), F.lit(0)).cast("long").alias("n_words"), F.coalesce(hits, F.expr("cast(array() as array<struct<start: int, label: string>>)")).alias("hits"))
 
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """Per row of docs: doc_id, n_words, hits (see find_phrases), notices: array of (line, label, containment)."""
-    found = find_notices(docs, notices, threshold).groupBy(F.col("doc_id").alias("of")).agg(F.array_sort(F.collect_list(F.struct("line", "label", "containment"))).alias("notices"))
+    found = find_notices(docs, notices, threshold).groupBy(F.col("doc_id").alias("of"), F.col("text").alias("of_text")).agg(F.array_sort(F.collect_list(F.struct("line", "label", "containment"))).alias("notices"))
     base = find_phrases(docs, phrases)
-    return base.join(found, base["doc_id"].eqNullSafe(found["of"]), "left").drop("of")
+    return base.join(found, base["doc_id"].eqNullSafe(found["of"]) & (base["text"] == found["of_text"]), "left").drop("of", "of_text", "text")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,13 +160,13 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(base, ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, method)), ",").alias("labels"),
         F.when(F.size("hits") > 0, 1.0).otherwise(F.coalesce(F.array_max("notices.containment"), F.lit(0.0))).alias("score"),
-        F.coalesce(F.size("notices"), F.lit(0)).cast("long").alias("n_notices"),
+        F.coalesce(F.size(F.array_distinct("notices.label")), F.lit(0)).cast("long").alias("n_notices"),
     )
 
 
 def _oracle() -> str:
     word = f"'{WORD}'"
-    lists = ", ".join(f"('{label}', {words!r})" for label, words in notice_tokens(NOTICES).items())
+    lists = ", ".join(f"('{label}', {words!r}, {[w for w in NEEDED.get(label, []) if w in words]!r}::varchar[], {[w for w in BARRED.get(label, []) if w not in words]!r}::varchar[])" for label, words in notice_tokens(NOTICES).items())
     phrases = " union all ".join(
         f"select doc_id, i - 1 as start, '{label}' as label from w, unnest(range(1, len(words) + 1)) as t(i) where words[i:i + {len(p.split()) - 1}] = {p.split()!r}"
         for p, label in PHRASES.items()
@@ -160,10 +176,12 @@ with d as (select doc_id, translate(coalesce(text, ''), '{UPPER_}', '{LOWER_}')
 w as (select doc_id, regexp_extract_all(text, {word}) as words from d),
 p as ({phrases}),
 hits as (select doc_id, count(*) as n_base, min(start) as first_word, max(start) as last_word, list_sort(list(distinct label)) as base from p group by doc_id),
-notices as (select * from (values {lists}) as t(label, words)),
-lines as (select doc_id, list_distinct(regexp_extract_all(line, {word})) as words from (select doc_id, unnest(string_split(text, chr(10))) as line from d)),
-found as (select doc_id, label, len(list_intersect(l.words, n.words)) / len(n.words) as share from lines l, notices n where len(list_intersect(l.words, n.words)) >= ceil({THRESHOLD} * len(n.words) - 1e-9)),
-method as (select doc_id, list(distinct label) as labels, max(share) as share, count(*) as n from found group by doc_id)
+notices as (select * from (values {lists}) as t(label, words, needed, barred)),
+split as (select doc_id, list_transform(string_split(text, chr(10)), lambda x: regexp_extract_all(x, {word})) as lines from d),
+runs as (select doc_id, k, flatten(lines[i:i + k - 1]) as words from split, unnest(range(1, len(lines) + 1)) as t(i), (select unnest(range(1, {WRAP} + 1)) as k) where i + k - 1 <= len(lines)),
+lines as (select doc_id, list_distinct(words) as words from runs where k = 1 or len(words) <= {WRAP_WORDS}),
+found as (select doc_id, label, len(list_intersect(l.words, n.words)) / len(n.words) as share from lines l, notices n where len(list_intersect(l.words, n.words)) >= ceil({THRESHOLD} * len(n.words) - 1e-9) and list_has_all(l.words, n.needed) and not list_has_any(l.words, n.barred)),
+method as (select doc_id, list(distinct label) as labels, max(share) as share, count(distinct label) as n from found group by doc_id)
 select w.doc_id, len(w.words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
   array_to_string(coalesce(base, []::varchar[]), ',') as base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []::varchar[]), coalesce(labels, []::varchar[])))), ',') as labels,

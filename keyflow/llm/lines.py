@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Scratch, is_empty, table
+from keyflow.llm.common import Scratch, held, is_empty, table
 from keyflow.llm.graph import components, linked, semi, with_few
 
 K, K_SHORT, SHORT, BANDS, ROWS, BINS, PERCENT = 5, 3, 100, 12, 5, 128, 80
@@ -123,6 +123,7 @@ def line_table(docs: DataFrame) -> DataFrame:
         return pa.StructArray.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(low_high[:, 0]), pa.array(low_high[:, 1]), bands], fields=list(one))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("lines", dict)
         seen: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 300):
@@ -136,9 +137,9 @@ def line_table(docs: DataFrame) -> DataFrame:
                             node = xxhash.xxh64_intdigest(raw, SEED)
                             if node not in seen:
                                 seen.add(node)
-                                for kind, (held, texts) in new.items():
+                                for kind, (rows_of, texts) in new.items():
                                     if kind <= len(line) and (kind == K or len(line) <= SHORT):
-                                        held.append(len(nodes))
+                                        rows_of.append(len(nodes))
                                         texts.append(line)
                             doc_at.append(row)
                             numbers.append(i)

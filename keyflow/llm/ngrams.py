@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Scratch, is_empty, table
+from keyflow.llm.common import Scratch, held, is_empty, table
 from keyflow.llm.graph import components, fits, linked, semi, with_few
 
 N, PERCENT, FRAGMENTS = 4, 85, 8
@@ -111,10 +111,10 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per row of docs (doc_id, text): key of its words, size of its set, signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher = held("ngrams", Hasher)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part, rows = batch.slice(at, 1000), []
+            for at in range(0, batch.num_rows, 500):
+                part, rows = batch.slice(at, 500), []
                 for text in part.column(1).cast(pa.binary()).to_pylist():
                     data = normalized(text)
                     grams = hasher.grams(data, n)
@@ -132,10 +132,10 @@ def segments(docs: DataFrame, n: int = N) -> DataFrame:
     edges = [(1 << 63) // FRAGMENTS * k for k in range(1, FRAGMENTS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher = held("ngrams", Hasher)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part, rows = batch.slice(at, 1000), []
+            for at in range(0, batch.num_rows, 500):
+                part, rows = batch.slice(at, 500), []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
                     grams = hasher.grams(normalized(text), n)
                     rows += [(doc, k, x) for k, x in enumerate(np.split(grams, np.searchsorted(grams, edges)))]

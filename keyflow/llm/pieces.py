@@ -4,12 +4,16 @@ A text is its pieces' lattice; a path's score is the sum of its pieces' scores.
 score to each place, which is the exact cost of what is left when paths are built backwards from the end, so A* takes
 them off its heap in order of their total and the first ``N_BEST`` that arrive are the best.
 
-No piece holds a blank behind another character, so the lattice of a text falls apart at its words. New words go
+The public model is one of BPE, whose scores are the ranks of its merges, so the best path by scores is in general not
+the segmentation that merging gives: these are the n best of the lattice, not the library's ids.
+
+No piece holds a blank behind another character, nor a line end, so the lattice of a text falls apart at its words. New words go
 through forward and backward Viterbi together, in arrays, into a bounded cache: best path, score, and the loss of the
 second best. In a text's N best only the N - 1 words whose second path costs least can deviate; these are searched by
 A* and combined. Characters without a piece become byte pieces, below every other score.
 
-Null and empty texts have no pieces, score 0 and one path. Equal scores are ordered by the search, which is
+Null and empty texts have no pieces, score 0 and one path. A text that holds the blank's own sign does not come back
+from decoding. Equal scores are ordered by the search, which is
 deterministic. Repeated rows are encoded one by one; other columns are ignored.
 """
 
@@ -26,11 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import table
+from keyflow.llm.common import held, table
 
-N_BEST, CACHE_WORDS, BLANK = 4, 1_000_000, "▁"
+N_BEST, CACHE_WORDS, BLANK = 4, 500_000, "▁"
 HASH, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
-_models: dict = {}
 
 
 class Pieces:
@@ -42,6 +45,8 @@ class Pieces:
         usable = [i for i in ids if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         self.piece = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in usable}
         self.longest = max(map(len, self.piece))
+        self.tails = {c for c in ".,;:!?" if not any(p[i - 1].isalnum() for p in self.piece for i in range(1, len(p)) if p[i] == c)}
+        self.ends_part = not any("\n" in p and len(p) > 1 for p in self.piece)
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in ids if sp.is_byte(i)}
         self.byte_score = min(s for _, s in self.piece.values()) - 10
         for c in range(128):  # an ASCII character without a piece is one byte piece
@@ -116,11 +121,26 @@ class Pieces:
         return found
 
     def learn(self, words: set[str]) -> None:
-        """Put (ids of the best path, score, loss of the second best) of new words into the cache."""
+        """Put (ids of the best path, score, loss of the second best) of new words into the cache.
+
+        No piece holds one of ``tails`` behind a letter or digit, so such a word is the one before the mark and the mark.
+        """
         if len(self.number) + len(words) > CACHE_WORDS:
             self.number.clear()
             self.ids.clear()
             self.score, self.loss, self.size = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
+        ends = [w for w in words if w[-1] in self.tails and w[-2:-1].isalnum()]
+        self._learn_whole((words.difference(ends) | {w[:-1] for w in ends} | {w[-1] for w in ends}) - self.number.keys())
+        if ends:
+            a, b = [self.number[w[:-1]] for w in ends], [self.number[w[-1]] for w in ends]
+            for w, i, j in zip(ends, a, b, strict=True):
+                self.number[w] = len(self.number)
+                self.ids.append(self.ids[i] + self.ids[j])
+            self.score = np.concatenate([self.score, self.score[a] + self.score[b]])
+            self.loss = np.concatenate([self.loss, np.minimum(self.loss[a], self.loss[b])])
+            self.size = np.concatenate([self.size, self.size[a] + self.size[b]])
+
+    def _learn_whole(self, words: set[str]) -> None:
         scores, losses, had = [], [], len(self.ids)
         by_size: dict[int, list[str]] = {}
         for w in words:
@@ -209,11 +229,15 @@ class Pieces:
         return ids, score, loss
 
     def words(self, text: str) -> list[str]:
+        """Parts of a text that no piece joins: words with their blanks, and line ends."""
+        if not text:
+            return []
         text = text.replace(BLANK, " ")
-        words = text.split(" ")
-        if "" in words:
-            return re.findall(f"{BLANK}+[^{BLANK}]*", BLANK + text.replace(" ", BLANK)) if text else []
-        return [BLANK + w for w in words]
+        if "  " in text or text[0] == " " or text[-1] == " " or not self.ends_part:
+            line = "\n|" if self.ends_part else ""
+            other = "\n" if self.ends_part else ""
+            return re.findall(f"{BLANK}+[^{BLANK}{other}]*|{line}[^{BLANK}{other}]+", BLANK + text.replace(" ", BLANK))
+        return list(filter(None, (BLANK + text.replace(" ", " " + BLANK)).replace("\n", " \n ").split(" ")))
 
     def encode(self, text: str | None, words: list[str] | None = None) -> tuple[np.ndarray, list[float], list[tuple]]:
         """(ids of the best path, scores of the n best, how each differs: (place of the word, which of its paths) ...)."""
@@ -277,9 +301,7 @@ class Pieces:
 
 def pieces(path: str, n_best: int = N_BEST) -> Pieces:
     """One for each Python worker."""
-    if (path, n_best) not in _models:
-        _models[path, n_best] = Pieces(path, n_best)
-    return _models[path, n_best]
+    return held(("pieces", path, n_best), lambda: Pieces(path, n_best))
 
 
 PATHS = "array<struct<score: double, n_pieces: long, ids_crc32: long, decodes: boolean, changes: array<struct<at: int, gone: int, ids: array<int>>>>>"
@@ -322,7 +344,7 @@ def encoded(docs: DataFrame, path: str, n_best: int = N_BEST, with_ids: bool = F
                 texts = part.column(1).to_pylist()
                 for text, words in zip(texts, model.meet(texts), strict=True):
                     ids, scores, _, changes = model.search(text, words)
-                    flat, want, paths = ids.tolist(), (text or "").replace(BLANK, " "), []
+                    flat, want, paths = ids.tolist(), text or "", []
                     good = model.decode(flat) == want
                     for score, change in zip(scores, changes, strict=True):
                         # where each change has the bytes of what it replaces, all bytes are those of the best path

@@ -10,12 +10,13 @@ gets a row, repeated ones too; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import table
+from keyflow.llm.common import Scratch, table
 
-RULE_VERSION = 1
 _KEYWORD = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 
 #: Kind: pattern, and the pattern that a match has to have as well. Base kinds come first; their order is fixed.
@@ -30,6 +31,8 @@ KINDS = {
 BASE = ("assign", "access", "hex")
 #: What a text with a finding of that kind has anywhere; other texts need no further look.
 LIKELY = {"assign": _KEYWORD + "[\"']?\\x20*[:=]", "access": "AKIA[A-Z0-9]{16}", "hex": "[0-9a-f]{24}"}
+#: Changes with any pattern, so that what was scanned by other rules counts as unseen.
+RULE_VERSION = zlib.crc32(repr((KINDS, LIKELY)).encode())
 SPAN = "array<struct<start: int, kind: int, end: int>>"
 
 
@@ -90,9 +93,17 @@ def findings_by_path(paths: DataFrame, ledger: DataFrame) -> DataFrame:
     return rows.join(some, "blob", "left").select("path", "blob", F.coalesce("findings", F.expr(f"cast(array() as {SPAN})")).alias("findings"))
 
 
+def extended(ledger: DataFrame | None, paths: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The ledger with what a scan of these paths adds to it; only that is scanned and stored, as a table ``name``."""
+    new = scratch.write(scan_unseen(paths, ledger), name)
+    return new if ledger is None else ledger.unionByName(new)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
-    rows = findings_by_path(paths, scan_unseen(paths))
+    """Two increments: a first state of the corpus, of the rows with even ids, then the state with all rows."""
+    paths, scratch = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text"), Scratch(spark, "secret-ledger")
+    ledger = extended(None, paths.where(F.pmod("path", F.lit(2)) == 0), scratch, "first")
+    rows = findings_by_path(paths, extended(ledger, paths, scratch, "second"))
     names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
     said = f"x -> concat(get({names}, x.kind), ':', x.start, ':', x.end)"
     count = {k: F.expr(f"size(filter(findings, x -> x.kind = {list(KINDS).index(k)}))").cast("long").alias(f"n_{k}") for k in BASE}

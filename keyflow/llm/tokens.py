@@ -7,12 +7,14 @@ and lengths, ``lanes`` coder states side by side (symbol i belongs to lane i % l
 each is a checkpoint from which a reader can begin. Files say which range they belong to and how many ids came before
 them in it; the reader adds the ids of all earlier ranges.
 
-Null and empty texts have the end id only. A null doc_id sorts first. Repeated rows are stored one by one.
+Null and empty texts have the end id only. A null doc_id sorts first. Repeated rows are stored one by one; rows of one
+doc_id are in order of their ids.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import struct
 import zlib
@@ -24,22 +26,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import shared_folder, table, written
+from keyflow.llm.common import Scratch, held, shared_folder, table
 
 END_ID, BITS, LANES = 2, 18, 4096
 BLOCK_TOKENS, FILE_TOKENS, RANGE_TOKENS = 1 << 20, 4 << 20, 8 << 20
-CACHE_WORDS = 1_000_000
+CACHE_WORDS, TAILS = 500_000, ".,;:!?"
 MAGIC = b"KFTOKEN1"
 
-_tokenizers: dict = {}
-
 
 class WordTokenizer:
-    """Encodes texts with the tokenizers library, once for each word of a bounded cache.
+    """Encodes texts with the tokenizers library, once for each unit of a bounded cache.
 
-    A byte-level pre-tokenizer never joins what stands before a single blank with what stands behind it, so a text is
-    the blanks' words one after another. Texts with other runs of white space, or with a special token in a word, are
-    encoded whole.
+    A byte-level pre-tokenizer never joins what stands before a single blank or line end with what stands behind it, so
+    a text is units one after another: a word with the blank before it, or a line end and the word behind it. Other
+    tokenizers, texts with other runs of white space, or with a special token in a unit, are encoded whole. New units
+    are encoded together, with line ends between them.
     """
 
     def __init__(self, path: str):
@@ -51,48 +52,77 @@ class WordTokenizer:
         self.wide = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.wide.itemsize == 2 else "I"
         self.cache: dict[str, bytes | bool] = {}
+        about = json.loads(self.tokenizer.to_str())
+        parts = [about["pre_tokenizer"] or {}]
+        self.by_units = parts[0].get("type") == "ByteLevel" and parts[0].get("use_regex", True) and not parts[0].get("add_prefix_space") and not about["normalizer"]
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.by_units = self.by_units and len(self.line_end) == 1
+        self.tails = dict(zip(TAILS, self._ids(list(TAILS)), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, units: set[str]) -> None:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        odd = {w for w in words if not w or w[0].isspace()}
-        if any(s in " ".join(words) for s in self.special):
-            odd |= {w for w in words if any(s in w for s in self.special)}
-        plain = list(words - odd if odd else words)
-        self.cache.update(dict.fromkeys(odd, False))
-        self.cache.update(zip(plain, self._ids([" " + w for w in plain]), strict=True))
+        # a mark behind a letter or digit starts a part of its own
+        marked = {u: u[:-1] for u in units if u[-1:] in self.tails and u[-2:-1].isalnum()}
+        units = (units - marked.keys()) | (set(marked.values()) - self.cache.keys())
+        special = [s for s in self.special if s in " ".join(units)] if units else []
+        plain, others = [], []
+        for u in units:
+            start = u[:1] == "\n"
+            if len(u) == start or u[start].isspace() or (special and any(s in u for s in special)):
+                self.cache[u] = False
+            elif u.split() == [u[start:]]:
+                plain.append(u)
+            else:
+                others.append(u)
+        for u, ids in zip(others, self._ids([u if u[0] == "\n" else " " + u for u in others]), strict=True):
+            self.cache[u] = ids
+        end = np.array(self.line_end, self.wide).tobytes()
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            text = "\n".join([u[1:] if u[0] == "\n" else " " + u for u in some])
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.wide)
+            ends = [*np.flatnonzero(ids == self.line_end[0]).tolist(), len(ids)]
+            raw, k, start = ids.tobytes(), self.wide.itemsize, 0
+            for u, stop in zip(some, ends, strict=True):
+                self.cache[u] = end + raw[k * start : k * stop] if u[0] == "\n" else raw[k * start : k * stop]
+                start = stop + 1
+        for u, base in marked.items():
+            ids = self.cache[base]
+            self.cache[u] = ids + self.tails[u[-1]] if ids else False
+
+    @staticmethod
+    def units(text: str) -> list[str]:
+        return ("\n" + text.replace("\n", " \n")).split(" ")
 
     def meet(self, texts: list[str | None]) -> None:
-        """Learn the new words of many texts together."""
-        new = set(itertools.chain.from_iterable([text.split(" ")[1:] for text in texts if text]))
-        self._learn(new - self.cache.keys())
+        """Learn the new units of many texts together."""
+        if self.by_units:
+            new = set(itertools.chain.from_iterable([self.units(text) for text in texts if text]))
+            self._learn(new - self.cache.keys())
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = text.split(" ")
-        first = words[0]
-        if len(words) == 1 or any(s in first for s in self.special):
+        if not self.by_units:
             return self._ids([text])[0]
-        rest = words[1:]
-        parts = list(map(self.cache.get, rest))
+        units = self.units(text)
+        parts = list(map(self.cache.get, units))
         if None in parts:
-            self._learn({w for w, p in zip(rest, parts, strict=True) if p is None})
-            parts = [self.cache[w] if w in self.cache else False for w in rest]
+            self._learn({u for u, p in zip(units, parts, strict=True) if p is None})
+            parts = [self.cache[u] if u in self.cache else False for u in units]
         try:
-            return (self._ids([first])[0] if first else b"") + b"".join(parts)
-        except TypeError:  # a word that is no unit of its own
+            return b"".join(parts)[self.wide.itemsize :]
+        except TypeError:  # a unit that is none of its own
             return self._ids([text])[0]
 
 
 def tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker, which Spark uses again for other tasks."""
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+    return held(("tokens", path), lambda: WordTokenizer(path))
 
 
 TOKENS = "doc_id long, n_tokens long, ids binary, symbols array<int>, counts array<long>"
@@ -107,8 +137,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         total = np.zeros(1, np.int64)
         names, types = ["doc_id", "n_tokens", "ids", "symbols", "counts"], [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 texts = part.column(1).to_pylist()
                 t.meet(texts)
                 ids = [t.encode(x) + end for x in texts]
@@ -260,7 +290,7 @@ def write_files(tokens: DataFrame, table_: Frequencies, total: int, wide: str, f
             yield put()
 
     ranges = max(1, -(-total // RANGE_TOKENS))
-    rows = tokens.select("doc_id", "ids").repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id").mapInArrow(run, "content binary")
+    rows = tokens.select("doc_id", "ids").repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(run, "content binary")
     rows.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
 
 
@@ -292,16 +322,18 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def store(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> None:
     """Tokenize docs (doc_id, text) and write the files into a new folder."""
-    rows = written(tokenized(docs, path, end_id), "tokens")
+    scratch = Scratch(docs.sparkSession, "tokens")
+    rows = scratch.write(tokenized(docs, path, end_id), "ids")
     counted = rows.where("symbols is not null").select(F.explode(F.arrays_zip("symbols", "counts")).alias("x")).groupBy("x.symbols").agg(F.sum("x.counts").alias("n")).collect()
     if counted:  # a row for each id of the vocabulary at most
         total = sum(r["n"] for r in counted)
         write_files(rows.where("symbols is null"), Frequencies.of([tuple(r) for r in counted]), total, WordTokenizer(path).wide.str, folder)
+    scratch.drop()
 
 
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of the files with start, the ids of all documents before them."""
-    rows = written(read_files(spark, folder), "token-index")
+    rows = Scratch(spark, "token-index").write(read_files(spark, folder), "rows")
     sums, base, before = rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect(), [], 0
     for r in sums:  # a row for each range, of RANGE_TOKENS ids
         base.append((r["part"], before))

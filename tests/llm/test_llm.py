@@ -1,5 +1,6 @@
 """Brute-force versions, round trips and odd inputs of the training-data operators."""
 
+import gzip
 import itertools
 import random
 import zlib
@@ -190,7 +191,8 @@ def test_n_best_against_all_paths():
 
 def test_pieces_odd(odd, none):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    assert all(r["decodes"] for r in pieces.encoded(odd, path).collect())
+    # the blank's own sign comes back as a blank
+    assert all(r["decodes"] == (r["doc_id"] != 6) for r in pieces.encoded(odd, path).collect())
     assert pieces.encoded(none, path).count() == 0
 
 
@@ -199,7 +201,13 @@ def test_archive_versions_and_dates():
         data = archives.arc_file(v, [("http://a/", "20200101000000", "text/html", b"HTTP/1.1 200 OK\r\n\r\nx\ny"), ("dns:a", "2020", "text/dns", b"")])
         assert [r[3] for r in archives.parse_arc(data)] == [b"HTTP/1.1 200 OK\r\n\r\nx\ny", b""]
     assert archives.warc_date("20200203040506") == "2020-02-03T04:05:06Z" and archives.warc_date("2020") == "2020-01-01T00:00:00Z" and archives.warc_date("x") == "1970-01-01T00:00:00Z"
-    assert archives.warc_kind("dns:a", b"") == "resource"
+    assert archives.warc_date("20201303040506") == "1970-01-01T00:00:00Z"
+    assert archives.warc_kind("dns:a", b"") == "resource" and archives.warc_kind("ftp://a", b"HTTP/1.1 200 OK\r\n\r\n") == "response"
+    one = archives.arc_file(1, [("http://a/b c", "20200101000000", "text/html", b"x")])
+    assert [r[0] for r in archives.parse_arc(one)] == ["http://a/b c"]
+    damaged = one + b"\nhttp://d/ 0.0.0.0 20200101000000 text/html many\nlost"
+    assert [r[3] for r in archives.parse_arc(damaged)] == [b"x"] and list(archives.parse_arc(b"")) == []
+    assert archives.unzipped(gzip.compress(b"a") + gzip.compress(b"b")) == b"ab" and archives.unzipped(b"plain") == b"plain"
 
 
 def test_archives_odd(spark, tmp_path):
@@ -207,6 +215,11 @@ def test_archives_odd(spark, tmp_path):
     pages = spark.createDataFrame([(3, "http://a b", big), (2, None, big), (1, "u", None), (4, "u", "WARC/1.0\r\n\r\n"), (None, "u", big)], "page_id long, url string, html string")
     archives.write_warc(archives.with_revisits(archives.read_arc(archives.pages_to_arc(pages))), f"file://{tmp_path}/w")
     got = {r["page_id"]: (r["payload_bytes"], r["record_type"], r["refers_to"]) for r in archives.read_warc(spark, f"file://{tmp_path}/w").collect()}
+    other = spark.createDataFrame([(7, "ftp://h/x", big, 1), (8, "dns:h", big, 2)], "page_id long, url string, html string, digest int")
+    archives.write_warc(archives.with_revisits(archives.read_arc(archives.pages_to_arc(other))), f"file://{tmp_path}/x")
+    assert sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in archives.read_warc(spark, f"file://{tmp_path}/x").collect()) == [(7, 200, "response", None), (8, 200, "revisit", 7)]
+    archives.write_warc(archives.with_revisits(archives.read_arc(archives.pages_to_arc(other.where("false")))), f"file://{tmp_path}/y")
+    assert archives.read_warc(spark, f"file://{tmp_path}/y").count() == 0
     assert got == {3: (200, "revisit", 2), 2: (200, "response", None), 1: (0, "response", None), 4: (12, "response", None), None: (200, "response", None)}
 
 
@@ -241,6 +254,8 @@ def test_decontamination_blocks_agree(spark, odd, none):
     assert show(decontaminate.annotate(docs, bench)) == show(decontaminate.annotate(docs, bench, block_words=300))
     got = {r["doc_id"]: r["hit_items"] for r in decontaminate.annotate(odd, short).collect()}
     assert got[5] == ["900", "902"] and got[1] == []
+    unnamed = spark.createDataFrame([(None, "a b")], short.schema)
+    assert [(r["n_hit"], r["hit_items"]) for r in decontaminate.annotate(odd.where("doc_id = 8"), unnamed).withColumn("n_hit", decontaminate.n_hit()).collect()] == [(2, [])]
     assert decontaminate.annotate(odd, bench.where("false")).count() == len(ODD) and decontaminate.annotate(none, bench).count() == 0
 
 
@@ -345,3 +360,60 @@ def test_all_n_best_come_out(spark):
             assert p["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
             if all((i,) in price for i in ids):
                 assert sum(price[i,] for i in ids) == pytest.approx(p["score"])
+
+
+def test_license_labels(spark):
+    """Notices that differ in a word are told apart, wrapped ones are found, rows of one doc_id keep their own."""
+    mit = licenses.NOTICES["mit-text"].split()
+    rows = [
+        (1, "Licensed under the GNU General Public License version 3"),
+        (2, "This work is licensed under the GNU Lesser General Public License version 3"),
+        (3, "This work is licensed under the GNU General Public License version 3"),
+        (4, "Licensed under CC BY-NC 4.0"),
+        (5, "Licensed under CC BY 4.0"),
+        (6, "intro\n" + "\n".join(" ".join(mit[i : i + 7]) for i in range(0, len(mit), 7)) + "\nend"),
+        (6, "nothing"),
+    ]
+    got = sorted((r["doc_id"], sorted({x["label"] for x in r["notices"] or ()})) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, []), (2, ["lgpl-3.0"]), (3, ["gpl-3.0"]), (4, ["cc-by-nc-4.0"]), (5, ["cc-by-4.0"]), (6, []), (6, ["mit-text"])]
+
+
+def test_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
+    """All differ from each other by more than the threshold allows, or by less: exact links, and no pair for each two of the rest."""
+    rng, base = random.Random(2), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for k in rng.sample(range(150), i % 9):
+            w[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(w)))
+    made = []
+    write = graph.Scratch.write
+    monkeypatch.setattr(graph.Scratch, "write", lambda self, df, name: (made.append((name, out.count())), out)[1] if (out := write(self, df, name)) is not None else None)
+    got = sorted(tuple(r) for r in ngrams.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute_ngrams(rows)
+    assert dict(made)["pairs"] < 2000
+
+
+def test_lines_of_two_texts_under_one_id(spark):
+    rows = [(1, "a line that is the same in both of these texts\nfirst text only, with words of its own"), (1, "a line that is the same in both of these texts\nother text zero has another line here")]
+    out = sorted(r["text"] for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert sorted("\n".join(out).split("\n")) == ["a line that is the same in both of these texts", "first text only, with words of its own", "other text zero has another line here"]
+
+
+def test_sketches_of_similar_lines():
+    """Lines at 0.8 or above differ in graph.MOST bits at most, and most meet in a band."""
+    rng, met, n = random.Random(4), 0, 0
+    for _ in range(400):
+        x = "".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(30, 400)))
+        y = list(x)
+        for _ in range(len(x) // 45):
+            y[rng.randrange(len(x))] = "#"
+        y = "".join(y)
+        s, t = lines.shingles(x, 5), lines.shingles(y, 5)
+        if len(s & t) >= 0.8 * len(s | t):
+            sig = lines.signatures([x, y])
+            bits = lines.sketches(sig)
+            assert sum(int(a ^ b).bit_count() if a ^ b >= 0 else (int(a ^ b) + (1 << 64)).bit_count() for a, b in zip(bits[0].tolist(), bits[1].tolist(), strict=True)) <= graph.MOST
+            n, met = n + 1, met + bool((np.equal(*lines.band_keys(sig, 5))).any())
+    assert n > 100 and met >= 0.98 * n
