@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from keyflow.operators.tables import new_folder, stored
+
 
 def _owned(nodes: DataFrame) -> DataFrame:
     return nodes.select("label", F.explode("owns").alias("path"))
@@ -44,17 +46,20 @@ def derive_edges(nodes: DataFrame) -> DataFrame:
 def topo_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(label, level): 0 for nodes that need none, else one more than the highest needed. A cycle is an error that names its nodes.
 
-    One pass for each level; each keeps only nodes whose producers are all placed.
+    Each level is a table of the nodes not yet placed and how many of their producers are missing; those without a missing
+    one are placed and taken off the others. A level reads the table before it and the edges, which are written once.
     """
-    left, level, done = nodes.select("label").distinct(), 0, None
-    while left.take(1):
-        blocked = edges.join(left.withColumnRenamed("label", "producer"), "producer", "left_semi").select(F.col("consumer").alias("label")).distinct()
-        ready = left.join(blocked, "label", "left_anti")
-        if not ready.take(1):
-            raise ValueError("cycle among " + ", ".join(r[0] for r in left.orderBy("label").limit(50).collect()))
-        at = ready.select("label", F.lit(level).alias("level"))
-        done = at if done is None else done.unionByName(at)
-        left, level = left.join(ready, "label", "left_anti"), level + 1
-        if level % 8 == 0:  # long chains would make the plan deep
-            left, done = left.checkpoint(), done.checkpoint()
-    return done if done is not None else nodes.select("label", F.lit(0).alias("level"))
+    folder = new_folder(nodes.sparkSession, "levels")
+    labels = nodes.select("label").distinct()
+    links = edges.join(labels.withColumnRenamed("label", "producer"), "producer", "left_semi").select("producer", "consumer").distinct()
+    links = stored(links, f"{folder}/edges")
+    need = links.groupBy(F.col("consumer").alias("label")).agg(F.count(F.lit(1)).alias("missing"))
+    rows, level = stored(labels.join(need, "label", "left").select("label", F.coalesce("missing", F.lit(0)).alias("missing")), f"{folder}/nodes/level=0"), 0
+    while rows.where("missing > 0").take(1):
+        placed = rows.where("missing = 0").select(F.col("label").alias("producer"))
+        if not placed.take(1):
+            raise ValueError("cycle among " + ", ".join(r[0] for r in rows.orderBy("label").limit(50).collect()))
+        came = links.join(placed, "producer").groupBy(F.col("consumer").alias("label")).agg(F.count(F.lit(1)).alias("came"))
+        level += 1
+        rows = stored(rows.where("missing > 0").join(came, "label", "left").select("label", (F.col("missing") - F.coalesce("came", F.lit(0))).alias("missing")), f"{folder}/nodes/level={level}")
+    return nodes.sparkSession.read.schema("label string, missing long, level int").parquet(f"{folder}/nodes").where("missing = 0").select("label", "level")

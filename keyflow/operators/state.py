@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 
@@ -19,8 +20,19 @@ def with_log_seq(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def fold_set(log: DataFrame, key: str, order: list[str], path: str = "path", value: str = "value") -> DataFrame:
-    """(key, path, value) with the last set of each path; partial maxima meet in the shuffle, no group is collected."""
-    return log.groupBy(key, path).agg(F.max_by(value, F.struct(*order)).alias(value))
+    """(key, path, value) with the last set of each path; partial maxima meet in the shuffle, no group is collected.
+
+    A path is a name or an array of names. With arrays a set replaces what stands below its path, and a set below a path
+    makes a tree of what stood there: each path is joined by its prefixes, and of two that exclude each other the later
+    set stays. Null and empty paths are ignored.
+    """
+    if not isinstance(log.schema[path].dataType, T.ArrayType):
+        return log.groupBy(key, path).agg(F.max_by(value, F.struct(*order)).alias(value))
+    last = log.where(F.size(path) > 0).groupBy(key, path).agg(F.max_by(value, F.struct(*order)).alias(value), F.max(F.struct(*order)).alias("__at"))
+    inner = last.select(F.col(key).alias("__key"), F.col(path).alias("__inner"), F.col("__at").alias("__in"), F.explode(F.expr(f"transform(filter(sequence(0, size({path})), i -> i > 0 and i < size({path})), i -> slice({path}, 1, i))")).alias("__outer"))
+    both = inner.join(last, F.col("__key").eqNullSafe(F.col(key)) & (F.col("__outer") == F.col(path)))
+    gone = both.select("__key", F.when(F.col("__in") > F.col("__at"), F.col("__outer")).otherwise(F.col("__inner")).alias("__gone")).distinct()
+    return last.join(gone, F.col(key).eqNullSafe(F.col("__key")) & (F.col(path) == F.col("__gone")), "left_anti").drop("__at")
 
 
 def fold_append(log: DataFrame, key: str, order: list[str], path: str = "path", value: str = "value", strict: bool = False) -> DataFrame:

@@ -428,6 +428,20 @@ def _(s, d):
     return S.fold_set(log, "user_id", ["event_id"])
 
 
+NESTED_SQL = """with l as (select user_id, event_id, case event_type when 'signup' then ['a'] when 'view' then ['a', 'seen'] when 'click' then ['a', 'seen', 'hit'] else ['b', event_type] end as path from events),
+m as (select user_id, path, max(event_id) as last_id from l group by all)
+select user_id, array_to_string(path, '/') as path, last_id::varchar as value from m where not exists (select 1 from m o where o.user_id = m.user_id and o.last_id > m.last_id and o.path <> m.path
+  and (o.path[1:len(m.path)] = m.path or m.path[1:len(o.path)] = o.path))"""
+
+
+@query("fold_set_nested", NESTED_SQL)
+def _(s, d):
+    kind, w = F.col("event_type"), lambda *x: F.array(*map(F.lit, x))
+    path = F.when(kind == "signup", w("a")).when(kind == "view", w("a", "seen")).when(kind == "click", w("a", "seen", "hit")).otherwise(F.array(F.lit("b"), kind))
+    log = t(s, d, "events").select("user_id", "event_id", path.alias("path"), F.col("event_id").cast("string").alias("value"))
+    return S.fold_set(log, "user_id", ["event_id"]).withColumn("path", F.array_join("path", "/"))
+
+
 FOLD_SQL = "with e as (select *, count(*) filter (where event_type = 'signup') over (partition by user_id order by event_id) as g from events), m as (select user_id, max(g) as g from e group by user_id), x as (select user_id, string_agg(event_id::varchar, ',' order by event_id) filter (where event_type <> 'signup') as added, max(event_id) filter (where event_type = 'signup')::varchar as seed from e join m using (user_id, g) group by user_id)"
 
 

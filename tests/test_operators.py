@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyflow.functions import paths
-from keyflow.operators import configs, depgraph, enrich, rules
+from keyflow.operators import configs, depgraph, enrich, rules, state
 from keyflow.sources import lookups, records
 from keyflow.streaming import streams
 
@@ -16,7 +16,7 @@ def test_csv_lookup(spark, tmp_path):
     f = tmp_path / "a.csv"
     f.write_text('﻿k,l,v\n1,a,x\n\n1,a,"y ""q"""\n2,b\n', encoding="utf-8")
     rows = lookups.load_lookup(spark, str(f), ["k", "l"], ["v"]).collect()
-    assert sorted((r["key"], r["v"]) for r in rows) == [("1.a", 'y "q"'), ("2.b", None)] or {(r["key"], r["v"]) for r in rows} == {("1.a", 'y "q"'), ("2.b", None)}
+    assert {(r["key"], r["v"]) for r in rows} == {("1.a", 'y "q"'), ("2.b", None)}
     with pytest.raises(ValueError, match="unknown columns: z"):
         lookups.load_lookup(spark, str(f), ["z"], ["v"])
     assert [r["name"] for r in lookups.available_lookups(spark, str(tmp_path)).collect()] == ["a"]
@@ -24,10 +24,10 @@ def test_csv_lookup(spark, tmp_path):
 
 def test_config_folder(spark, tmp_path):
     (tmp_path / "prod").mkdir()
-    (tmp_path / "prod" / "rmg.json").write_text('{"events":{"e":{"bizlogic":{"all":{"type":"cel","cel":"x"}}}},"more":1}')
+    (tmp_path / "prod" / "base.json").write_text('{"events":{"e":{"bizlogic":{"all":{"type":"cel","cel":"x"}}}},"more":1}')
     (tmp_path / "prod" / "bad.json").write_text("{")
     rows = {(r["param_key"], r["event_type"], r["type"], r["error"]) for r in configs.load_config(spark, str(tmp_path)).collect()}
-    assert rows == {("prod:rmg", "e", "cel", None), ("prod:bad", None, None, "unreadable or empty")}
+    assert rows == {("prod:base", "e", "cel", None), ("prod:bad", None, None, "unreadable or empty")}
 
 
 def test_notifications_of_all_cases(spark):
@@ -52,6 +52,21 @@ def test_cycle_is_an_error(spark):
         depgraph.topo_levels(nodes, depgraph.derive_edges(nodes))
 
 
+def test_levels_of_a_chain(spark):
+    """The plan of a level has the level before it as a table: work grows with the chain, not with its powers."""
+    nodes = spark.createDataFrame([(f"n{i:02d}", [[f"p{i}"]], [[f"p{i - 1}"]] if i else []) for i in range(12)], "label string, owns array<array<string>>, requires array<array<string>>")
+    rows = depgraph.topo_levels(nodes, depgraph.derive_edges(nodes)).collect()
+    assert sorted((r["label"], r["level"]) for r in rows) == [(f"n{i:02d}", i) for i in range(12)]
+    assert depgraph.topo_levels(nodes.where("false"), depgraph.derive_edges(nodes.where("false"))).count() == 0
+
+
+def test_nested_sets(spark):
+    rows = [("k", 1, ["a", "b"], "x"), ("k", 2, ["a"], "y"), ("k", 3, ["c"], "1"), ("k", 4, ["c", "d"], "2"), ("k", 5, [], "z"), ("k", 6, None, "z"), (None, 1, ["a", "b"], "m"), (None, 2, ["a", "c"], "n")]
+    log = spark.createDataFrame(rows, "k string, n int, path array<string>, value string")
+    got = sorted((r["k"] or "", r["path"], r["value"]) for r in state.fold_set(log, "k", ["n"]).collect())
+    assert got == [("", ["a", "b"], "m"), ("", ["a", "c"], "n"), ("k", ["a"], "y"), ("k", ["c", "d"], "2")]
+
+
 def test_api_is_asked_once_for_each_key(spark):
     def client():
         return lambda key: (200, '{"v":1}') if key == "a" else (404, "") if key == "b" else (500, "down")
