@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import shared_folder, table
+from keyflow.llm.common import in_batches, shared_folder, table
 
 FILE_BYTES, REVISIT_BYTES = 8 << 20, 100
 #: The fields of a header line by version of the ARC format.
@@ -126,7 +126,7 @@ def pages_to_arc(pages: DataFrame) -> DataFrame:
         if records:
             yield put()
 
-    return pages.select("page_id", "url", "html").mapInArrow(pack, "content binary")
+    return in_batches(pages.select("page_id", "url", "html")).mapInArrow(pack, "content binary")
 
 
 def read_arc(files: DataFrame) -> DataFrame:

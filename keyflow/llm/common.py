@@ -22,6 +22,17 @@ def held(key, make):
     return _held[key]
 
 
+BATCH_ROWS = 1000
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, for mapInArrow: from here on the session hands Python ``BATCH_ROWS`` rows at once or fewer, as texts may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

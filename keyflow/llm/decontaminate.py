@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyflow.llm.common import Scratch, held, table
+from keyflow.llm.common import Scratch, held, in_batches, table
 
 WINDOW, SHINGLE, BLOCK_WORDS = 13, 3, 1_000_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -150,7 +150,7 @@ def shingle_counts(docs: DataFrame, block: Block) -> dict[tuple[int, int], int]:
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), g), pa.int64()), pa.array(block.codes[g][some]), pa.array(n[some])], ["g", "code", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "g long, code long, n long").groupBy("g", "code").agg(F.sum("n").alias("n")).collect()
+    rows = in_batches(docs.select("text")).mapInArrow(count, "g long, code long, n long").groupBy("g", "code").agg(F.sum("n").alias("n")).collect()
     return {(r["g"], r["code"]): r["n"] for r in rows}
 
 
@@ -188,7 +188,7 @@ def _mark(docs: DataFrame, block: Block, rest: list[str], first: bool) -> DataFr
 
     schema = T.StructType([docs.schema[c] for c in ["text", *rest]])
     schema = schema.add("n_words", "long").add("hit_ranges", T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType()))).add("hit_items", T.ArrayType(T.StringType()))
-    return docs.mapInArrow(mark, schema)
+    return in_batches(docs).mapInArrow(mark, schema)
 
 
 def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:

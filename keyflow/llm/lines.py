@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Scratch, held, is_empty, table
+from keyflow.llm.common import Scratch, held, in_batches, is_empty, table
 from keyflow.llm.graph import components, linked, semi, with_few
 
 K, K_SHORT, SHORT, BANDS, ROWS, BINS, PERCENT = 5, 3, 100, 12, 5, 128, 80
@@ -160,7 +160,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                     ["doc_id", "own", "line", "node", "key", "sets"],
                 )
 
-    return docs.select("doc_id", "text", own().alias("own")).mapInArrow(
+    return in_batches(docs.select("doc_id", "text", own().alias("own"))).mapInArrow(
         run, "doc_id long, own long, line int, node long, key binary, sets array<struct<kind: int, low: long, high: long, bands: array<long>>>"
     )
 
@@ -192,7 +192,7 @@ def similar(pairs: DataFrame, k: int, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(s) + len(t) - common) > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return in_batches(pairs.select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
 
 
 def differences(pairs: DataFrame, k: int) -> DataFrame:
@@ -206,7 +206,7 @@ def differences(pairs: DataFrame, k: int) -> DataFrame:
                 rows.append((len(s), len(t), np.setxor1d(s, t, True).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True))], ["lead", "node", "lead_size", "size", "elements"])
 
-    return pairs.select("lead", "node", "x", "y").mapInArrow(run, "lead long, node long, lead_size int, size int, elements array<long>")
+    return in_batches(pairs.select("lead", "node", "x", "y")).mapInArrow(run, "lead long, node long, lead_size int, size int, elements array<long>")
 
 
 def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

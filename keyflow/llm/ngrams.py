@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Scratch, held, is_empty, table
+from keyflow.llm.common import Scratch, held, in_batches, is_empty, table
 from keyflow.llm.graph import components, fits, linked, semi, with_few
 
 N, PERCENT, FRAGMENTS = 4, 85, 8
@@ -124,7 +124,7 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
                     ["doc_id", "key", "size", "signatures"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>")
 
 
 def segments(docs: DataFrame, n: int = N) -> DataFrame:
@@ -142,7 +142,7 @@ def segments(docs: DataFrame, n: int = N) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.list_(pa.int64())), strict=True)], ["node", "fragment", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, fragment int, grams array<long>")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "node long, fragment int, grams array<long>")
 
 
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import held, table
+from keyflow.llm.common import held, in_batches, table
 
 N_BEST, CACHE_WORDS, BLANK = 4, 500_000, "▁"
 HASH, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
@@ -362,7 +362,7 @@ def encoded(docs: DataFrame, path: str, n_best: int = N_BEST, with_ids: bool = F
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ENCODED + (", ids array<int>" if with_ids else ""))
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, ENCODED + (", ids array<int>" if with_ids else ""))
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

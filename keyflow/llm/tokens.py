@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import Scratch, held, shared_folder, table
+from keyflow.llm.common import Scratch, held, in_batches, shared_folder, table
 
 END_ID, BITS, LANES = 2, 18, 4096
 BLOCK_TOKENS, FILE_TOKENS, RANGE_TOKENS = 1 << 20, 4 << 20, 8 << 20
@@ -151,7 +151,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         if len(some):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(([None], [None], [None], [some], [total[some]]), types, strict=True)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, TOKENS)
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, TOKENS)
 
 
 class Frequencies:

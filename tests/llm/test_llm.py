@@ -62,12 +62,12 @@ def groups(ids, links):
     return {i: root(i) for i in ids}
 
 
-def brute_ngrams(rows):
+def brute_ngrams(rows, n=4, percent=85):
     sets = {}
     for d, text in rows:
         w = (text or "").encode().lower().split()
-        sets[d] = {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
-    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+        sets[d] = {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     of = groups(sets, links)
     return sorted((d, len(s), of[d]) for d, s in sets.items())
 
@@ -267,7 +267,7 @@ def test_pipeline(spark):
         before, docs = docs, corpus_pipeline.written(stage(spark, docs, DATA), "test-" + name.split()[0])
         assert 0 < docs.count() <= before.count()
         if name == "n-gram jaccard":
-            rows = brute_ngrams([tuple(r) for r in before.select("doc_id", "text").collect()])
+            rows = brute_ngrams([tuple(r) for r in before.select("doc_id", "text").collect()], 5, 80)
             assert {r["doc_id"] for r in docs.collect()} == {d for d, _, c in rows if d == c}
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == corpus_pipeline.COLUMNS
@@ -417,3 +417,21 @@ def test_sketches_of_similar_lines():
             assert sum(int(a ^ b).bit_count() if a ^ b >= 0 else (int(a ^ b) + (1 << 64)).bit_count() for a, b in zip(bits[0].tolist(), bits[1].tolist(), strict=True)) <= graph.MOST
             n, met = n + 1, met + bool((np.equal(*lines.band_keys(sig, 5))).any())
     assert n > 100 and met >= 0.98 * n
+
+
+def test_pipeline_stages_odd(spark, odd):
+    """Nulls in any column, empty and long texts, repeated rows, no rows, and columns of other names: no stage fails, and a clean text stays."""
+    import corpus_pipeline
+
+    clean = " ".join("".join(random.Random(i).choice("abcdefgh") for _ in range(6)) for i in range(80))
+    rows = odd.select("doc_id", "text", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("n_chars"), "component", F.lit(3).alias("node"), F.lit(4).alias("n_hit"), F.lit("x").alias("dropped"))
+    one = rows.limit(1).withColumns({"doc_id": F.lit(99).cast("long"), "text": F.lit(clean)})
+    rows = corpus_pipeline.written(rows.unionByName(one).unionByName(one), "odd-rows")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, DATA)
+        got = out.collect()
+        assert 99 in {r["doc_id"] for r in got}, name
+        assert stage(spark, rows.where("false"), DATA).count() == 0
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == corpus_pipeline.COLUMNS
+            assert {r["text"] for r in got if r["doc_id"] == 99} <= {clean}, name
