@@ -1,4 +1,8 @@
-"""A training corpus in five stages; each takes all that the one before kept, as a table."""
+"""A training corpus in five stages; each takes all that the one before kept, as a table.
+
+Rows without a doc_id stay where no rule is against them; rows that repeat a doc_id and a text stay together or go together.
+Null texts are empty. Columns other than those of documents are left out; the input may have more.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.llm import decontaminate, lines, ngrams, pieces, quality
-from keyflow.llm.common import table, written
+from keyflow.llm.common import Scratch, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,8 +28,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group, and all documents without a doc_id, which are in no group."""
-    first = ngrams.classes(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """By shingles of five words and a similarity of 0.8, the document with the smallest doc_id of each group, and all documents without a doc_id, which are in no group."""
+    first = ngrams.classes(docs, n=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
     docs = docs.select(COLUMNS)
     return docs.join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
 
@@ -53,11 +57,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, scratch, old = table(spark, sf_dir, "documents"), Scratch(spark, "stages"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        docs = scratch.write(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if old:
+            scratch.drop(old)
+        old = name.replace(" ", "-")
     return docs
 
 
-#: Union-find and A* have no SQL; tests/llm compares run() with a brute-force version.
+#: Union-find and A* have no SQL; tests/llm compares the n-gram stage with brute force and each operator with its own.
 ORACLE_SQL = None
