@@ -16,6 +16,7 @@ from __future__ import annotations
 import itertools
 import json
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -30,7 +31,8 @@ from keyflow.llm.common import Scratch, held, in_batches, shared_folder, table
 
 END_ID, BITS, LANES = 2, 18, 4096
 BLOCK_TOKENS, FILE_TOKENS, RANGE_TOKENS = 1 << 20, 4 << 20, 8 << 20
-CACHE_WORDS, TAILS = 500_000, ".,;:!?"
+CACHE_WORDS, TAILS = 1_000_000, ".,;:!?"
+OTHER_SPACE = re.compile(r"[^\S\n]")
 MAGIC = b"KFTOKEN1"
 
 
@@ -66,54 +68,57 @@ class WordTokenizer:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         # a mark behind a letter or digit starts a part of its own
-        marked = {u: u[:-1] for u in units if u[-1:] in self.tails and u[-2:-1].isalnum()}
-        units = (units - marked.keys()) | (set(marked.values()) - self.cache.keys())
-        special = [s for s in self.special if s in " ".join(units)] if units else []
-        plain, others = [], []
-        for u in units:
-            start = u[:1] == "\n"
-            if len(u) == start or u[start].isspace() or (special and any(s in u for s in special)):
-                self.cache[u] = False
-            elif u.split() == [u[start:]]:
-                plain.append(u)
-            else:
-                others.append(u)
-        for u, ids in zip(others, self._ids([u if u[0] == "\n" else " " + u for u in others]), strict=True):
-            self.cache[u] = ids
-        end = np.array(self.line_end, self.wide).tobytes()
+        marked = [u for u in units if u[-1:] in self.tails and u[-2:-1].isalnum()]
+        units = units.difference(marked) | {u[:-1] for u in marked}
+        units -= self.cache.keys()
+        self.cache.update(dict.fromkeys(units & {"", "\n"}, False))
+        units -= {"", "\n"}
+        everything = "\n".join(units)
+        special = [s for s in self.special if s in everything]
+        if special or OTHER_SPACE.search(everything):
+            others = [u for u in units if OTHER_SPACE.search(u) or any(s in u for s in special)]
+            units.difference_update(others)
+            # parts of their own unless they start with white space or hold a special token
+            bad = [u for u in others if u[u[0] == "\n"].isspace() or any(s in u for s in special)]
+            self.cache.update(dict.fromkeys(bad, False))
+            others = sorted(set(others).difference(bad))
+            self.cache.update(zip(others, self._ids([u if u[0] == "\n" else " " + u for u in others]), strict=True))
+        end, k, plain = np.array(self.line_end, self.wide).tobytes(), self.wide.itemsize, list(units)
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
             text = "\n".join([u[1:] if u[0] == "\n" else " " + u for u in some])
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.wide)
-            ends = [*np.flatnonzero(ids == self.line_end[0]).tolist(), len(ids)]
-            raw, k, start = ids.tobytes(), self.wide.itemsize, 0
-            for u, stop in zip(some, ends, strict=True):
-                self.cache[u] = end + raw[k * start : k * stop] if u[0] == "\n" else raw[k * start : k * stop]
-                start = stop + 1
-        for u, base in marked.items():
-            ids = self.cache[base]
+            ends = (k * np.append(np.flatnonzero(ids == self.line_end[0]), len(ids))).tolist()
+            raw, starts = ids.tobytes(), [0, *[e + k for e in ends]]
+            self.cache.update(zip(some, [end + raw[i:j] if u[0] == "\n" else raw[i:j] for u, i, j in zip(some, starts, ends, strict=False)], strict=True))
+        for u in marked:
+            ids = self.cache[u[:-1]]
             self.cache[u] = ids + self.tails[u[-1]] if ids else False
 
     @staticmethod
     def units(text: str) -> list[str]:
         return ("\n" + text.replace("\n", " \n")).split(" ")
 
-    def meet(self, texts: list[str | None]) -> None:
-        """Learn the new units of many texts together."""
-        if self.by_units:
-            new = set(itertools.chain.from_iterable([self.units(text) for text in texts if text]))
-            self._learn(new - self.cache.keys())
+    def meet(self, texts: list[str | None]) -> list[list[str]]:
+        """The units of texts, of which the new ones are learnt together."""
+        if not self.by_units:
+            return [[] for _ in texts]
+        units = [self.units(text) if text else [] for text in texts]
+        self._learn(set(itertools.chain.from_iterable(units)) - self.cache.keys())
+        return units
 
-    def encode(self, text: str | None) -> bytes:
+    def encode(self, text: str | None, units: list[str] | None = None) -> bytes:
         if not text:
             return b""
         if not self.by_units:
             return self._ids([text])[0]
-        units = self.units(text)
+        units = units or self.units(text)
         parts = list(map(self.cache.get, units))
         if None in parts:
             self._learn({u for u, p in zip(units, parts, strict=True) if p is None})
-            parts = [self.cache[u] if u in self.cache else False for u in units]
+            parts = list(map(self.cache.get, units))
+            if None in parts:  # the cache was emptied
+                return self._ids([text])[0]
         try:
             return b"".join(parts)[self.wide.itemsize :]
         except TypeError:  # a unit that is none of its own
@@ -140,8 +145,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = part.column(1).to_pylist()
-                t.meet(texts)
-                ids = [t.encode(x) + end for x in texts]
+                ids = [t.encode(x, units) + end for x, units in zip(texts, t.meet(texts), strict=True)]
                 seen = np.bincount(np.frombuffer(b"".join(ids), t.wide), minlength=len(total))
                 seen[: len(total)] += total
                 total = seen
