@@ -3,7 +3,8 @@
 A line's set is its character shingles (white space around the line does not count). Lines are alike if their sets of
 ``K`` characters have a Jaccard similarity of 0.8 or more, or, where both have ``SHORT`` code points or fewer, those of
 ``K_SHORT``: so one changed character of a line of 30 does not part it from its copy, while long lines of one language,
-which share most of their shorter shingles, are told apart. Each kind has its own signatures and candidates.
+which share most of their shorter shingles, are told apart. Each kind has its own signatures and bands; both go through
+one search for candidates, in which a line is one node for each kind: the last bit of a node's number says which.
 
 Signatures are MinHash by one permutation: each shingle is hashed once, the hash's range is cut into ``BINS`` bins, a bin
 keeps its least value, and an empty bin takes that of another one, at places that are the same for all lines. A pair at
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.llm.common import Scratch, held, in_batches, is_empty, table
-from keyflow.llm.graph import components, linked, semi, with_few
+from keyflow.llm.graph import components, linked, with_few
 
 K, K_SHORT, SHORT, BANDS, ROWS, BINS, PERCENT = 5, 3, 100, 12, 5, 128, 80
 _BASE = 0x9E3779B97F4A7C15
@@ -37,7 +38,6 @@ _EMPTY = np.uint64((1 << 64) - 1)
 _RANDOM = np.random.Generator(np.random.PCG64(20240611))
 _PLACES = _RANDOM.integers(0, BINS, (64, BINS))
 _SALT = _RANDOM.integers(0, 1 << 63, BINS, dtype=np.uint64)
-SEED = 42  # of Spark's xxhash64
 SPACES = "\t\n\x0b\x0c\r "
 
 
@@ -109,10 +109,11 @@ def sketches(sig: np.ndarray) -> np.ndarray:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, own, line, node, key, sets) for each line of docs (doc_id, text) that is not blank.
+    """Rows (doc_id, own, line, node, key, text, sets) for each line of docs (doc_id, text) that is not blank.
 
-    own is the hash of the row's text, node the line's 64-bit hash, key one of 128 bits. sets: kind (K or K_SHORT),
-    sketch and bands; empty for lines that a task has met just before.
+    own is the hash of the row's text, node the line's hash of 64 bits of which the last is 0, key one of 128 bits. sets:
+    kind (K or K_SHORT), sketch and bands; text: the line. For lines that a task has met just before there are no sets and
+    no text.
     """
     one = pa.struct([("kind", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
@@ -128,19 +129,21 @@ def line_table(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 300):
                 part = batch.slice(at, 300)
-                doc_at, numbers, nodes, keys = [], [], [], []
+                doc_at, numbers, nodes, keys, fresh = [], [], [], [], []
                 new = {K: ([], []), K_SHORT: ([], [])}
                 for row, text in enumerate(part.column(1).to_pylist()):
                     for i, line in enumerate(text.split("\n") if text else ()):
                         if line := line.strip(SPACES):
                             raw = line.encode()
-                            node = xxhash.xxh64_intdigest(raw, SEED)
+                            node = xxhash.xxh64_intdigest(raw) & -2
+                            fresh.append(None)
                             if node not in seen:
                                 seen.add(node)
                                 for kind, (rows_of, texts) in new.items():
                                     if kind <= len(line) and (kind == K or len(line) <= SHORT):
                                         rows_of.append(len(nodes))
                                         texts.append(line)
+                                        fresh[-1] = line
                             doc_at.append(row)
                             numbers.append(i)
                             nodes.append(node)
@@ -156,12 +159,12 @@ def line_table(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(offsets), values.take(pa.array(order)))
                 where = pa.array(doc_at, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()).take(where), part.column(2).take(where), pa.array(numbers, pa.int32()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.binary()), lists],
-                    ["doc_id", "own", "line", "node", "key", "sets"],
+                    [part.column(0).cast(pa.int64()).take(where), part.column(2).take(where), pa.array(numbers, pa.int32()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.binary()), pa.array(fresh, pa.string()), lists],
+                    ["doc_id", "own", "line", "node", "key", "text", "sets"],
                 )
 
     return in_batches(docs.select("doc_id", "text", own().alias("own"))).mapInArrow(
-        run, "doc_id long, own long, line int, node long, key binary, sets array<struct<kind: int, low: long, high: long, bands: array<long>>>"
+        run, "doc_id long, own long, line int, node long, key binary, text string, sets array<struct<kind: int, low: long, high: long, bands: array<long>>>"
     )
 
 
@@ -170,24 +173,33 @@ def own() -> Column:
     return F.xxhash64("text")
 
 
-def line_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows (node, text) of these lines, each once."""
-    lines = docs.select(F.explode_outer(F.split("text", "\n")).alias("text")).select(F.btrim("text", F.lit(SPACES)).alias("text")).where("text <> ''")
-    return semi(lines.withColumn("node", F.xxhash64("text")), nodes, "node").dropDuplicates(["node"])
+def base(node: str) -> Column:
+    """The number of a line without its kind."""
+    return F.col(node).bitwiseAND(F.lit(-2))
+
+
+def line_texts(lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows (node, text) of these nodes of either kind, each once."""
+    texts = lines.where("text is not null").select(F.col("node").alias("line"), "text")
+    return with_few(texts, nodes.select(base("node").alias("line"), "node"), "line").select("node", "text").dropDuplicates(["node"])
+
+
+def kind_of(node: int) -> int:
+    return K_SHORT if node & 1 else K
 
 
 def shingles(line: str, k: int) -> set[str]:
     return {line[i : i + k] for i in range(len(line) - k + 1)}
 
 
-def similar(pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def similar(pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, x, y) whose lines x and y have a Jaccard similarity of percent or more, as (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                s, t = shingles(x, k), shingles(y, k)
+            for a, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                s, t = shingles(x, kind_of(a)), shingles(y, kind_of(a))
                 common = len(s & t)
                 keep.append(100 * common >= percent * (len(s) + len(t) - common) > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -195,14 +207,14 @@ def similar(pairs: DataFrame, k: int, percent: int) -> DataFrame:
     return in_batches(pairs.select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
 
 
-def differences(pairs: DataFrame, k: int) -> DataFrame:
+def differences(pairs: DataFrame) -> DataFrame:
     """Rows (lead, node, lead_size, size, elements) of (lead, node, x, y): what one has and the other has not; see graph.linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                s, t = np.unique(shingle_hashes(codes(x), k)), np.unique(shingle_hashes(codes(y), k))
+            for lead, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                s, t = (np.unique(shingle_hashes(codes(line), kind_of(lead))) for line in (x, y))
                 rows.append((len(s), len(t), np.setxor1d(s, t, True).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.list_(pa.int64())), strict=True))], ["lead", "node", "lead_size", "size", "elements"])
 
@@ -214,29 +226,30 @@ def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return not_staying(docs, percent).select("doc_id", "line")
 
 
-def links_of(docs: DataFrame, lines: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b) of line_table() by shingles of k characters, as many as components need."""
-    sets = lines.select("node", F.explode_outer(F.filter("sets", lambda x: x.kind == k)).alias("set")).where("set is not null")
+def links_of(lines: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between nodes of line_table(), as many as components need."""
+    node = F.col("node").bitwiseOR(F.when(F.col("set.kind") == K_SHORT, 1).otherwise(0).cast("long"))
+    sets = lines.select("node", F.explode_outer("sets").alias("set")).where("set is not null").withColumn("node", node)
     index = sets.select(F.explode_outer("set.bands").alias("bucket"), "node").where("bucket is not null")
     about = sets.select("node", F.struct("set.low", "set.high").alias("sketch"))
 
     def verifier(nodes: DataFrame):
-        texts = Scratch(docs.sparkSession, "line-texts").write(line_texts(docs, nodes), "texts")
+        texts = Scratch(lines.sparkSession, "line-texts").write(line_texts(lines, nodes), "texts")
 
         def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
             return pairs.join(texts.select(F.col("node").alias(a), F.col("text").alias("x")), a).join(texts.select(F.col("node").alias(b), F.col("text").alias("y")), b).select(a, b, "x", "y")
 
-        return lambda pairs: similar(both(pairs, "a", "b"), k, percent), lambda pairs: differences(both(pairs, "lead", "node"), k)
+        return lambda pairs: similar(both(pairs, "a", "b"), percent), lambda pairs: differences(both(pairs, "lead", "node"))
 
-    return linked(index, about, percent, verifier, scratch)
+    found = linked(index, about, percent, verifier, scratch)
+    return found.select(base("a").alias("a"), base("b").alias("b"))
 
 
 def not_staying(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """duplicates() with own(), by which rows of one doc_id are told apart."""
     scratch = Scratch(docs.sparkSession, "lines")
     lines = scratch.write(line_table(docs), "lines")
-    links = [links_of(docs, lines, k, percent, Scratch(docs.sparkSession, "line-pairs")) for k in (K, K_SHORT)]
-    links = links[0].unionByName(links[1])
+    links = links_of(lines, percent, Scratch(docs.sparkSession, "line-pairs"))
     each = lines.select("doc_id", "own", "line", "key", "node")
     if is_empty(links):
         grouped = each.withColumn("group", F.col("key"))
