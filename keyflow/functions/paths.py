@@ -113,3 +113,46 @@ def with_parameters(df: DataFrame, defaults: dict[str, Column], per_event: dict[
         values.append(value.cast("string"))
     errors = F.filter(F.array(*[F.when(v.isNull(), F.lit(f"no value for {n}")) for n, v in zip(defaults, values, strict=True)]), lambda x: x.isNotNull())
     return df.withColumns({"parameters": F.array(*values), "param_errors": errors}).withColumn("param_key", F.when(F.size("param_errors") == 0, F.array_join("parameters", ":")))
+
+
+def _within(value: Column, path: list[str], change) -> Column:
+    """A struct column with the field at a path replaced, or taken out where change gives None."""
+    name, rest = path[0], path[1:]
+    new = _within(value.getField(name), rest, change) if rest else change(value.getField(name))
+    return value.dropFields(name) if new is None else value.withField(name, new)
+
+
+def normalize_repeating(df: DataFrame, path: list[str], item: str, column: str = "message") -> DataFrame:
+    """df whose field at a path of variant type becomes an array of item (a type), always.
+
+    A field that stands once in a document is a value in the tree and a list if repeated; here a value becomes a list of
+    one. What holds the field may be something else than an object, as an empty element is: then the field is null.
+    """
+    kind = lambda v: F.schema_of_variant(v)
+
+    def listed(v: Column) -> Column:
+        inner = F.try_variant_get(v, f"$.{path[-1]}", "variant")
+        many = F.try_variant_get(inner, "$", f"array<{item}>")
+        one = F.array(F.try_variant_get(inner, "$", item))
+        return F.when(kind(inner).startswith("ARRAY"), many).when(inner.isNotNull() & ~F.is_variant_null(inner), one)
+
+    return df.withColumn(column, _within(F.col(column), path[:-1], listed))
+
+
+def unwrap_pair(df: DataFrame, value: str = "message") -> DataFrame:
+    """df of variants {"test": {"input": ..., "output": ...}} with message (the input), expected (list of outputs) and errors.
+
+    An output that is no list becomes a list of one. A missing part is an error; the message is null then.
+    """
+    given = F.try_variant_get(value, "$.test.input", "variant")
+    wanted = F.try_variant_get(value, "$.test.output", "variant")
+    expected = F.when(F.schema_of_variant(wanted).startswith("ARRAY"), F.try_variant_get(wanted, "$", "array<variant>")).when(wanted.isNotNull(), F.array(wanted))
+    errors = F.filter(F.array(F.when(given.isNull(), F.lit("no test.input")), F.when(wanted.isNull(), F.lit("no test.output"))), lambda x: x.isNotNull())
+    return df.withColumns({"expected": expected, "errors": errors, value: F.when(given.isNotNull() & wanted.isNotNull(), given)})
+
+
+def after_parse(df: DataFrame, hooks: list) -> DataFrame:
+    """df after each hook, a function from DataFrame to DataFrame, in order; rows and their errors are the hook's to keep."""
+    for hook in hooks:
+        df = df.transform(hook)
+    return df

@@ -55,6 +55,17 @@ def missing_configs(wanted: DataFrame, there: DataFrame) -> DataFrame:
     return wanted.join(there, "param_key", "left_anti")
 
 
+def duplicate_configs(there: DataFrame) -> DataFrame:
+    """(param_key, event_type, aspect, module, n) of what is configured more than once."""
+    return there.groupBy("param_key", "event_type", "aspect", "module").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def root_errors(df: DataFrame) -> DataFrame:
+    """Rows (name, error) of root configurations (name, path, parameters array): no schema path, no parameters."""
+    found = F.array(F.when(F.trim(F.coalesce("path", F.lit(""))) == "", "no schema path"), F.when(F.coalesce(F.size("parameters"), F.lit(0)) <= 0, "no parameters"))
+    return df.select("name", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("error"))
+
+
 def config_errors(df: DataFrame) -> DataFrame:
     """Rows (name, at, error) of parameters (name, legal array, default_value)."""
     blank = F.exists("legal", lambda v: F.trim(v) == "")

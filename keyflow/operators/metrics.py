@@ -41,6 +41,17 @@ def perf_windows(df: DataFrame, ts: str, kind: str, seconds: int) -> DataFrame:
     return out.withColumns({"rate": F.col("value") / seconds, "error_share": share("error"), "mismatch_share": share("mismatch")})
 
 
+def perf_report(df: DataFrame, ts: str, kind: str, seconds: int) -> DataFrame:
+    """perf_windows() with what changed since the window before, the seconds since the first value and the rate over them."""
+    kinds = ("value", "error", "retry", "mismatch")
+    run = W.orderBy("start")  # one row for each window
+    out = perf_windows(df, ts, kind, seconds)
+    out = out.withColumns({f"delta_{k}": F.col(k) - F.coalesce(F.lag(k).over(run), F.lit(0)) for k in kinds})
+    first = F.min(F.when(F.col("value") > 0, F.col("start"))).over(run.rowsBetween(W.unboundedPreceding, 0))
+    out = out.withColumn("elapsed", F.coalesce(F.unix_timestamp(F.col("start").cast("timestamp")) - F.unix_timestamp(first.cast("timestamp")) + seconds, F.lit(0)).cast("long"))
+    return out.withColumn("overall_rate", F.coalesce(F.try_divide("total_value", "elapsed"), F.lit(0.0)))
+
+
 def throughput(df: DataFrame, ts: str, seconds: int = 2) -> DataFrame:
     each = df.groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "n")
     return each.withColumn("total", F.sum("n").over(W.orderBy("start").rowsBetween(W.unboundedPreceding, 0)))

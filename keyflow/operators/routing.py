@@ -30,6 +30,42 @@ def prefix_errors(errors: str, prefix: str) -> Column:
     return F.transform(errors, lambda e: F.concat(F.lit(prefix), e))
 
 
+#: What a row that failed or waited too long keeps; its changes are emptied, so nothing of it reaches the state.
+ENVELOPE = ["domain_id", "domain_type", "event_type", "data", "state"]
+_NO_CHANGES = "cast(array() as array<struct<path: array<string>, value: string>>)"
+
+
+def _failed(df: DataFrame, kind: str, keep: list[str], **more: Column) -> DataFrame:
+    rest = [c for c in df.columns if c not in {*keep, "changes", "kind", *more}]
+    return df.select(*keep, *rest, F.lit(kind).alias("kind"), F.expr(_NO_CHANGES).alias("changes"), *[v.alias(k) for k, v in more.items()])
+
+
+def to_error(df: DataFrame, stage: str, causes: str = "causes", keep: list[str] = ENVELOPE) -> DataFrame:
+    """Rows with causes (texts "Class: message", outermost first) as error rows: header, data and state kept, changes emptied."""
+    return _failed(df.where(F.size(causes) > 0), "error", keep, stage=F.lit(stage), errors=failure_errors(causes)).drop(causes)
+
+
+def to_retry(df: DataFrame, limit, stage: str, duration: str = "duration", keep: list[str] = ENVELOPE) -> DataFrame:
+    """Rows that took longer than the limit as retry rows with count 0: header, data and state kept, changes emptied."""
+    return _failed(df.where(F.col(duration) > limit), "retry", keep, stage_name=F.lit(stage), retries=F.lit(0))
+
+
+def all_errors(*found: Column) -> Column:
+    """Errors (arrays, null: none) of several checks in one list."""
+    return F.concat(*[F.coalesce(e, F.expr("cast(array() as array<string>)")) for e in found])
+
+
+def when_good(errors: str, value: Column, otherwise: Column | None = None) -> Column:
+    """value where there are no errors, else what recovers from them (null if nothing does)."""
+    return F.when(F.size(errors) == 0, value).otherwise(F.lit(None) if otherwise is None else otherwise)
+
+
+def mismatch_record(df: DataFrame, given: Column, state: Column, actual: Column, expected: Column) -> DataFrame:
+    """df of compare() with mismatch_record where the projections differ: what went in, the state, both projections, both outputs."""
+    c = F.col
+    return df.withColumn("mismatch_record", F.when(c("mismatch"), F.struct(given.alias("input"), state.alias("cepState"), c("actual_projection").alias("actualProjection"), c("expected_projection").alias("expectedProjection"), actual.alias("actualOutput"), expected.alias("expectedOutput"))))
+
+
 def compare(df: DataFrame, actual: Column, expected: Column) -> DataFrame:
     """df with actual_projection, expected_projection and mismatch; two nulls are equal."""
     out = df.withColumns({"actual_projection": actual, "expected_projection": expected})
@@ -72,3 +108,24 @@ def dedupe_offsets(df: DataFrame, done: DataFrame, key: str = "domain_id", offse
 def backlog(df: DataFrame, key: str = "domain_id", offset: str = "offset") -> DataFrame:
     """df with place (0: in flight) in its key's queue."""
     return df.withColumn("place", (F.row_number().over(W.partitionBy(key).orderBy(offset)) - 1).cast("long"))
+
+
+def retry_counts(df: DataFrame, arrival: str, now_ms: int, granularity: int) -> DataFrame:
+    """Counts of scheduled retries: given_up, added, earlier_exists (a bucket before or like it is already held), moved
+    (into an earlier bucket than held) and removed (due at now and held).
+
+    Of a topic and domain one entry is held at a time: rows are seen in order of arrival, and the bucket that is held
+    before a row is the least of those before it.
+    """
+    w = W.partitionBy("topic", "domain_id").orderBy(arrival)
+    stays, held = ~F.col("give_up"), F.col("__held")
+    rows = df.withColumn("bucket", F.when(stays, F.col("bucket"))).withColumn("__held", F.min("bucket").over(w.rowsBetween(W.unboundedPreceding, -1)))
+    n = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    each = rows.groupBy("topic", "domain_id").agg(n(~stays, "given_up"), n(stays & held.isNull(), "added"), n(held <= F.col("bucket"), "earlier_exists"), n(held > F.col("bucket"), "moved"), F.min("bucket").alias("held"))
+    each = each.withColumn("removed", F.when(F.col("held") <= now_ms // granularity * granularity, 1).otherwise(0))
+    return each.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("given_up", "added", "earlier_exists", "moved", "removed")])
+
+
+def retries_by_stage(df: DataFrame) -> DataFrame:
+    """Scheduled retries of each stage."""
+    return df.where("not give_up").groupBy("retries").agg(F.count(F.lit(1)).alias("n"))

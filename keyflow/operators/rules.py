@@ -138,6 +138,85 @@ def billing_record(event: str = "event") -> Column:
     return F.when(F.col(event) == "ENKDN", F.struct(F.lit("billing").alias("type"), F.lit("DELIVERY_COMPLETE").alias("billingCode"), F.col("item_id").alias("uniqueItemId"), F.coalesce(F.col("price"), F.lit(0.0)).alias("pricePaid")))
 
 
+#: Names of events in tracking records, and the enrichment that names the place.
+EVENT_NAMES = {"EVDAV": "Accepted at Depot", "EVIMC": "In Transit at Mail Centre", "EVGPD": "Out for Delivery", "ENKDN": "Delivered"}
+PLACES = {"EVDAV": "postcode_region", "EVIMC": "sorting_center", "EVGPD": "delivery_office", "ENKDN": "delivery_location"}
+
+#: Fields of the three records in the order of the output. Those of ROUND come only with EVGPD and ENKDN.
+TRACKING = ["type", "eventCode", "eventName", "eventDateTime", "uniqueItemId", "UPUTrackingNumber", "productId", "productName", "functionalLocationId", "siteId", "locationName", "postcode", "destinationCountry"]
+ROUND = ["userId", "deviceId", "routeOrWalkNumber", "longitude", "latitude", "altitude"]
+NOTIFICATION = ["type", "trackedEventCode", "originatingTrackedEventCode", "notificationDestination", "notificationDestinationType", "notificationRecipientType", "eventTimestamp", "uniqueItemId", "UPUTrackingNumber"]
+BILLING = ["type", "billingCode", "eventCode", "uniqueItemId", "productId", "productCategory", "eventTimestamp", "pricePaid"]
+
+#: One type for all three, so that they can stand in one list; fields that a record does not have are null.
+_NUMBERS = {"longitude": "double", "latitude": "double", "altitude": "double", "pricePaid": "double", "notificationDestinationType": "int"}
+FIELDS = list(dict.fromkeys([*TRACKING, *ROUND, *NOTIFICATION, *BILLING]))
+RECORD = "struct<" + ", ".join(f"{f}: {_NUMBERS.get(f, 'string')}" for f in FIELDS) + ">"
+
+
+def _record(values: dict[str, Column]) -> Column:
+    return F.struct(*[values.get(f, F.lit(None)).cast(_NUMBERS.get(f, "string")).alias(f) for f in FIELDS])
+
+
+def _or(name: str, default) -> Column:
+    return F.coalesce(F.col(name), F.lit(default))
+
+
+def tracking_out(names: dict[str, str] = EVENT_NAMES, places: dict[str, str] = PLACES) -> Column:
+    """The whole tracking record of a scan; null for events without a name. Fields of ROUND only with the last two events.
+
+    Scans have event, event_time, item_id, upu_number, product_id, category, location_id, site_id, the columns of places,
+    postcode, country, user_code, device_id, route, longitude, latitude, altitude.
+    """
+    c = F.col
+    name = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    place = F.lit("")
+    for e, column in places.items():
+        place = F.when(c("event") == e, _or(column, "")).otherwise(place)
+    last = c("event").isin("EVGPD", "ENKDN")
+    values = {"type": F.lit("tracking"), "eventCode": c("event"), "eventName": F.try_element_at(name, c("event")), "eventDateTime": c("event_time"), "uniqueItemId": c("item_id"), "UPUTrackingNumber": c("upu_number"), "productId": c("product_id"), "productName": c("category"), "functionalLocationId": _or("location_id", ""), "siteId": _or("site_id", ""), "locationName": place, "postcode": c("postcode"), "destinationCountry": c("country")}
+    text = {"userId": "user_code", "deviceId": "device_id", "routeOrWalkNumber": "route"}
+    values |= {f: F.when(last, _or(n, "")) for f, n in text.items()} | {f: F.when(last, _or(f, 0.0)) for f in ROUND[3:]}
+    return F.when(c("event").isin(list(names)), _record(values))
+
+
+def notification_out(rows: list[tuple] = MATRIX, contacts: str = "contacts") -> Column:
+    """List of a scan's notification records, in the order of kinds of contact; the first contact of a kind is told.
+
+    The matrix is part of the expression, a map from event, category and kind to the code: no join and no shuffle.
+    """
+    code = F.create_map(*[F.lit(x) for e, cat, known, kind in rows for x in (f"{e}|{cat}|{kind}", known)])
+    found = []
+    for name, kind in CONTACTS.items():
+        to = F.expr(f"get(filter({contacts}, d -> d.name = '{name}'), 0).value")
+        known = F.try_element_at(code, F.concat_ws("|", "event", "category", F.lit(str(kind))))
+        values = {"type": F.lit("notification"), "trackedEventCode": known, "originatingTrackedEventCode": F.col("event"), "notificationDestination": to, "notificationDestinationType": F.lit(kind), "notificationRecipientType": F.lit("R"), "eventTimestamp": F.col("event_time"), "uniqueItemId": F.col("item_id"), "UPUTrackingNumber": F.col("upu_number")}
+        found.append(F.when(known.isNotNull() & to.isNotNull(), _record(values)))
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
+def billing_out() -> Column:
+    """The whole billing record of a delivery; null for other events."""
+    c = F.col
+    values = {"type": F.lit("billing"), "billingCode": F.lit("DELIVERY_COMPLETE"), "eventCode": c("event"), "uniqueItemId": c("item_id"), "productId": c("product_id"), "productCategory": c("category"), "eventTimestamp": c("event_time"), "pricePaid": _or("price", 0.0)}
+    return F.when(c("event") == "ENKDN", _record(values))
+
+
+def listed(record: Column) -> Column:
+    """A list of a record, or of nothing."""
+    return F.when(record.isNotNull(), F.array(record)).otherwise(F.expr(f"cast(array() as array<{RECORD}>)"))
+
+
+def combined_out() -> Column:
+    """A scan's notification records and behind them its tracking record."""
+    return combined(notification_out(), listed(tracking_out()))
+
+
+def deployed_out() -> Column:
+    """As the deployed text binds: a scan that is notified of has no tracking record."""
+    return deployed(F.size(notification_out()) > 0, notification_out(), listed(tracking_out()))
+
+
 def combined(first: Column, second: Column) -> Column:
     """Both lists, the first one's records in front."""
     return F.concat(first, second)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyflow.functions import paths
-from keyflow.operators import configs, depgraph, enrich, rules, state
+from keyflow.operators import aspects, configs, depgraph, enrich, routing, rules, state
 from keyflow.sources import lookups, records
 from keyflow.streaming import streams
 
@@ -126,3 +126,42 @@ def test_late_rows_over_many_ranges(spark):
     # one task a range, none that reads the whole table
     plan = late._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(__range" in plan
+
+
+def test_registries(spark):
+    registry = {}
+    aspects.enricher("fixed", registry)(lambda df, c: df.withColumn(c["out"], F.lit(c["value"])))
+    with pytest.raises(ValueError, match="fixed is registered already"):
+        aspects.enricher("fixed", registry)(lambda df, c: df)
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "event_type string")
+    with pytest.raises(ValueError, match="unknown types nope; known: fixed"):
+        aspects.run_enrichers(df, [{"type": "nope", "out": "x"}], registry)
+    rows = aspects.run_enrichers(df, [{"type": "fixed", "out": "x", "value": "v", "event": "a"}], registry).collect()
+    assert {r["event_type"]: r["x"] for r in rows} == {"a": "v", "b": None, None: None}
+    said = aspects.apply_aspect(df, "event_type", {"a": F.lit("A")}, "said").collect()
+    assert {(r["said"], tuple(r["errors"])) for r in said} == {("A", ()), (None, ("unknown type b; known: a",)), (None, ())}
+
+
+def test_records_of_all_cases(spark):
+    """Counts of records over events, products and contacts, with and without the deployed text's binding."""
+    contacts = [[], [("RECIPIENT_EMAILID", "a"), ("RECIPIENT_EMAILID", "z")], [("RECIPIENT_MOBILENO", "1")], [("RECIPIENT_EMAILID", "a"), ("RECIPIENT_MOBILENO", "1")]]
+    events, products = ["EVDAV", "EVIMC", "EVGPD", "ENKDN"], ["Tracked24", "Tracked48", "SpecialDelivery09", "SpecialDelivery13"]
+    df = spark.createDataFrame([(e, p, c) for e, p, c in itertools.product(events, products, contacts)], "event string, category string, contacts array<struct<name: string, value: string>>")
+    empty = ["event_time", "item_id", "upu_number", "product_id", "location_id", "site_id", "postcode_region", "sorting_center", "delivery_office", "delivery_location", "postcode", "country", "user_code", "device_id", "route"]
+    df = df.withColumns({c: F.lit(None).cast("string") for c in empty} | {c: F.lit(None).cast("double") for c in ("longitude", "latitude", "altitude", "price")})
+    x = df.select("event", F.size(rules.notification_out()).alias("n"), F.size(rules.combined_out()).alias("c"), F.size(rules.deployed_out()).alias("d"), rules.tracking_out().alias("t"), rules.billing_out().alias("b"))
+    got = {r["event"]: tuple(r)[1:] for r in x.groupBy("event").agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1)), F.sum("c"), F.sum("d"), F.count("b")).collect()}
+    assert got == {"EVDAV": (8, 7, 24, 17, 0), "EVIMC": (0, 0, 16, 16, 0), "EVGPD": (16, 12, 32, 20, 0), "ENKDN": (10, 9, 26, 17, 16)}
+    places = x.where("event = 'ENKDN'").select("t.siteId", "t.locationName", "t.longitude", "b.pricePaid", "t.pricePaid").distinct().collect()
+    assert [tuple(r) for r in places] == [("", "", 0.0, 0.0, None)]
+    assert rules.PLACES.keys() == rules.EVENT_NAMES.keys() == set(events)
+
+
+def test_failures_keep_the_envelope(spark):
+    rows = [(1, "d", "m", "e", "x", "s", [(["p"], "v")], [f"E{i}" for i in range(n)], float(n)) for n in range(5)]
+    df = spark.createDataFrame(rows, "id int, domain_id string, domain_type string, event_type string, data string, state string, changes array<struct<path: array<string>, value: string>>, causes array<string>, duration double")
+    errors = routing.to_error(df, "rule").orderBy(F.size("errors"), "duration").collect()
+    assert [r["errors"] for r in errors] == [["E0"], ["E0", "E1"], ["E0", "E1", "E2", "..."], ["E0", "E1", "E2", "..."]]
+    assert {(r["data"], r["state"], r["kind"], r["stage"], len(r["changes"])) for r in errors} == {("x", "s", "error", "rule", 0)}
+    assert [(r["duration"], r["retries"], r["kind"], len(r["changes"])) for r in routing.to_retry(df, 3, "rule").collect()] == [(4.0, 0, "retry", 0)]
+    assert routing.to_error(df.where("false"), "rule").count() == 0
