@@ -120,6 +120,18 @@ def stateful(df: DataFrame, key: str, order: str, column: str, ttl_ms: int | Non
     return df.groupBy(key).transformWithStateInPandas(statefulProcessor=LastValue(order, column, kind, ttl_ms), outputStructType=out, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
 
 
+def run_stream(source: DataFrame, key: str, order: str, column: str, before: Callable[[DataFrame], DataFrame], rule: Callable[[DataFrame], DataFrame], sinks: dict[str, Callable[[DataFrame, int], None]], checkpoint: str, trigger: dict | None = None, ttl_ms: int | None = None) -> StreamingQuery:
+    """The whole flow as a stream: before (parse, checks, enrichment), the key's state, the rule, and a sink for each kind.
+
+    before gives rows with key, order and column, the value that a row leaves behind (null: none), and rule sees it as
+    state_<column>, as it was before the row, and adds ``kind``. Both are plain DataFrame functions; only the state itself
+    goes through Python. A row's value is state for later rows even if its rule fails, so before has to give null for
+    rows that may not leave one. With ttl_ms state expires by processing time; Spark then runs batches without rows as
+    well, so such a stream is stopped by its owner, not by ``availableNow``.
+    """
+    return write_routed(rule(stateful(before(source), key, order, column, ttl_ms)), sinks, checkpoint, trigger)
+
+
 def counted(df: DataFrame, name: str, kind: str = "kind") -> DataFrame:
     """df observed: each batch reports its rows by kind under a name."""
     return df.observe(name, *[F.count(F.when(F.col(kind) == k, 1)).alias(k) for k in KINDS])

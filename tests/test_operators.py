@@ -165,3 +165,40 @@ def test_failures_keep_the_envelope(spark):
     assert {(r["data"], r["state"], r["kind"], r["stage"], len(r["changes"])) for r in errors} == {("x", "s", "error", "rule", 0)}
     assert [(r["duration"], r["retries"], r["kind"], len(r["changes"])) for r in routing.to_retry(df, 3, "rule").collect()] == [(4.0, 0, "retry", 0)]
     assert routing.to_error(df.where("false"), "rule").count() == 0
+
+
+def test_whole_stream_equals_batch(spark, tmp_path):
+    """Enrichment, state, rule and sinks over two batches give what running_state gives over the table."""
+    rows = [(i, f"k{i % 3}", float(i) if i % 2 else None, "abc"[i % 3]) for i in range(24)]
+    df = spark.createDataFrame(rows, "at int, k string, v double, code string")
+    for n, part in enumerate((df.where("at < 12"), df.where("at >= 12"))):
+        part.coalesce(1).write.parquet(str(tmp_path / "in" / f"p={n}"))
+
+    def before(x):
+        return enrich.enrich_lookup(x, ["code"], "place", {"a": "north", "b": "south"}).select("at", "k", "v", "place")
+
+    def rule(x):
+        return x.withColumn("kind", F.when(F.col("place").isNull(), "error").when(F.col("state_v").isNull(), "retry").otherwise("value"))
+
+    src = spark.readStream.schema("at int, k string, v double, code string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "p=*"))
+    kinds = ("value", "error", "retry")
+    q = streams.run_stream(src, "k", "at", "v", before, rule, {k: streams.parquet_sink(str(tmp_path / k)) for k in kinds}, str(tmp_path / "cp"), {"availableNow": True})
+    q.awaitTermination()
+    got = {(k, r["at"], r["state_v"]) for k in kinds for r in spark.read.parquet(str(tmp_path / k)).collect()}
+    want = rule(state.running_state(before(df), "k", ["at"], ["v"])).collect()
+    assert got == {(r["kind"], r["at"], r["state_v"]) for r in want}
+
+
+def test_watermarks(spark):
+    src = spark.readStream.format("rate").load()
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "EventTimeWatermark" not in plan(streams.watermark(src))
+    assert "10 seconds" in plan(streams.watermark(src, "timestamp", "10 seconds"))
+    assert "EventTimeWatermark" in plan(streams.watermark(src, "timestamp", "0 seconds"))
+    assert streams.watermark(src, fn=lambda x: x.where("value > 1").withWatermark("timestamp", "1 hour")).isStreaming
+
+
+def test_payloads_that_do_not_serialize(spark):
+    df = spark.createDataFrame([("d", None)], "domain_id string, out array<string>").withColumns({c: F.lit("") for c in ("traceparent", "cep_entries", "duration")}).withColumn("broker_ts", F.lit("1969-01-01").cast("timestamp"))
+    assert [(r["value"], r["timestamp"], len(r["headers"])) for r in records.to_value_records(df).collect()] == [("null", None, 1)]
+    assert df.select(records._json(F.lit(None).cast("string"), "error").alias("x")).first()["x"] == '{"kind":"error","error":"serialize"}'
