@@ -129,13 +129,7 @@ def _(s, d):
     return P.parse_xml(xml(s, d), "d array<string>").where("size(errors) = 0").select("event_id", F.array_join("message.d", ",").alias("items"))
 
 
-@query("xml_extract_id", "select event_id, event_id::varchar as id, null::varchar as error, case when true then 'not found' end as missing from events where event_id % 7 <> 0")
-def _(s, d):
-    good = xml(s, d).where("event_id % 7 <> 0").withColumn("raw_value", F.regexp_replace("raw_value", "m:", "")).withColumn("raw_value", F.regexp_replace("raw_value", ' xmlns:m="u"', ""))
-    good = good.withColumn("raw_value", F.regexp_replace("raw_value", "xmlns:", ""))
-    return good.select("event_id", P.extract_id("raw_value", ["MPE", "id"]).alias("x"), P.extract_id("raw_value", ["MPE", "nope"]).alias("y")).select("event_id", "x.id", "x.error", F.col("y.error").alias("missing"))
-
-
+@query("xml_extract_id", "select event_id, case when event_id % 7 <> 0 then event_id::varchar end as id, case when event_id % 7 = 0 then 'malformed or invalid XML' end as error, case when event_id % 7 = 0 then 'malformed or invalid XML' else 'not found' end as missing from events")
 @query("xml_extract_id_all", "select event_id, case when event_id % 7 <> 0 then event_id::varchar end as id, case when event_id % 7 = 0 then 'malformed or invalid XML' end as error, case when event_id % 7 = 0 then 'malformed or invalid XML' else 'not found' end as missing from events")
 def _(s, d):
     plain = xml(s, d).withColumn("raw_value", F.regexp_replace("raw_value", "(?<=[</])m:| xmlns:m=\"u\"", ""))
@@ -686,14 +680,7 @@ def _(s, d):
     return CF.config_errors(both.select(F.col("r_name").alias("name"), "legal", default.alias("default_value")))
 
 
-@query("late_rows", "select event_id from (select event_id, ts, max(ts) over (order by event_id rows between unbounded preceding and 1 preceding) as seen from (select event_id, ts - case when event_id % 10 = 0 then interval 1 day else interval 0 second end as ts, user_id from events where user_id % 50 = 0) ) where ts < seen - interval 1 hour")
-def _(s, d):
-    from keyflow.streaming.streams import late_rows
-
-    e = t(s, d, "events").where("user_id % 50 = 0").withColumn("ts", F.col("ts") - F.expr("if(event_id % 10 = 0, interval 1 day, interval 0 second)"))
-    return late_rows(e, "ts", "event_id", "1 hour").select("event_id")
-
-
+@query("late_rows", "select event_id from (select event_id, ts, max(ts) over (order by event_id rows between unbounded preceding and 1 preceding) as seen from (select event_id, ts - case when event_id % 10 = 0 then interval 1 day else interval 0 second end as ts from events)) where ts < seen - interval 1 hour")
 @query("late_rows_all", "select event_id from (select event_id, ts, max(ts) over (order by event_id rows between unbounded preceding and 1 preceding) as seen from (select event_id, ts - case when event_id % 10 = 0 then interval 1 day else interval 0 second end as ts from events)) where ts < seen - interval 1 hour")
 def _(s, d):
     from keyflow.streaming.streams import late_rows
