@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from keyflow.llm import archives, decontaminate, licenses, lines, ngrams, pieces, preferences, quality, secrets, tokens
+from keyflow.llm import archives, decontaminate, licenses, lines, negatives, ngrams, pieces, preferences, quality, secrets, tokens
 
-MODULES = [licenses, lines, pieces, tokens, quality, preferences, secrets, decontaminate, ngrams, archives]
+MODULES = [licenses, lines, pieces, tokens, quality, preferences, secrets, decontaminate, ngrams, archives, negatives]
 
 
 def queries() -> dict:
