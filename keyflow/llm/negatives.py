@@ -175,9 +175,9 @@ def tiles(anchors: DataFrame, candidates: DataFrame, limit: int = BROADCAST_BYTE
     if (size or 0) <= limit:
         return candidates.withColumn("all", F.lit(0)).join(F.broadcast(named.withColumn("all", F.lit(0))), "all").drop("all")
     groups, lanes = n // group_blocks + 1, candidates.count() // group_blocks + 1
-    each = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    each = lambda k: F.explode(F.expr(f"sequence(0L, {k - 1}L)"))
     left = candidates.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes))).withColumn("group", each(groups))
-    right = named.withColumn("group", F.pmod(F.xxhash64("a_block"), F.lit(groups)).cast("int")).withColumn("lane", each(lanes).cast("long"))
+    right = named.withColumn("group", F.pmod(F.xxhash64("a_block"), F.lit(groups))).withColumn("lane", each(lanes))
     return left.join(right.hint("shuffle_hash"), ["group", "lane"]).drop("group", "lane")
 
 
@@ -294,11 +294,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = f"""
 with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
   from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])), 0)::bigint as score
-  from (select distinct * from v where vec_id % 100 = 0) a join v b on b.vec_id <> a.vec_id),
-p as (select anchor_id, other_id as positive_id, score as positive_score, row_number() over (partition by anchor_id order by score desc, other_id) as k from s where same qualify k <= {POSITIVES}),
-n as (select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by s.score desc, other_id) as rank, other_id as negative_id, positive_score, s.score as negative_score
-  from p join s on s.anchor_id = p.anchor_id and not same and {LOW} * positive_score <= 100 * score and 100 * score <= {HIGH} * positive_score qualify rank <= {NEGATIVES})
+a as (select *, row_number() over () as a from (select distinct * from v where vec_id % 100 = 0)),
+s as (select a, a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])), 0)::bigint as score
+  from a join v b on b.vec_id <> a.vec_id),
+p as (select a, anchor_id, other_id as positive_id, score as positive_score, row_number() over (partition by a order by score desc, other_id) as k from s where same qualify k <= {POSITIVES}),
+n as (select p.anchor_id, positive_id, row_number() over (partition by p.a, p.k order by s.score desc, other_id) as rank, other_id as negative_id, positive_score, s.score as negative_score
+  from p join s on s.a = p.a and not same and {LOW} * positive_score <= 100 * score and 100 * score <= {HIGH} * positive_score qualify rank <= {NEGATIVES})
 select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n"""
 QUERIES = {"op11_hard_negatives": op11_hard_negatives}
 ORACLES = {"op11_hard_negatives": ORACLE}

@@ -16,13 +16,13 @@ documents are intersected separately and the partial overlaps summed for each pa
 
 Texts with equal words are one class, of which the smallest doc_id takes part. Null texts and texts without words have
 empty sets and link with nothing; fewer than ``N`` words are one n-gram. n-grams are compared by 63-bit hashes. A doc_id
-is expected to stand for one text: of different texts under one id, one takes part. Other columns are ignored.
+is expected to stand for one text: of different texts under one id, one takes part, whole and alone. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,11 @@ def normalized(text: bytes | None) -> bytes:
     return b" ".join(text.lower().split()) if text else b""
 
 
+def key_of(data: bytes) -> bytes | None:
+    """What texts of equal words share; null without words."""
+    return hashlib.blake2b(data, digest_size=16).digest() if data else None
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
 
@@ -118,7 +123,7 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
                 for text in part.column(1).cast(pa.binary()).to_pylist():
                     data = normalized(text)
                     grams = hasher.grams(data, n)
-                    rows.append((hashlib.blake2b(data, digest_size=16).digest() if data else None, len(grams), signatures(grams, percent)))
+                    rows.append((key_of(data), len(grams), signatures(grams, percent)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.list_(pa.int64())), strict=True))],
                     ["doc_id", "key", "size", "signatures"],
@@ -128,7 +133,7 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
 
 def segments(docs: DataFrame, n: int = N) -> DataFrame:
-    """Rows (node, fragment, grams) of docs (doc_id, text), one for each fragment."""
+    """Rows (node, key, fragment, grams) of docs (doc_id, text), one for each fragment; key is that of features()."""
     edges = [(1 << 63) // FRAGMENTS * k for k in range(1, FRAGMENTS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,37 +142,51 @@ def segments(docs: DataFrame, n: int = N) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                    grams = hasher.grams(normalized(text), n)
-                    rows += [(doc, k, x) for k, x in enumerate(np.split(grams, np.searchsorted(grams, edges)))]
+                    data = normalized(text)
+                    grams, key = hasher.grams(data, n), key_of(data)
+                    rows += [(doc, key, k, x) for k, x in enumerate(np.split(grams, np.searchsorted(grams, edges)))]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.list_(pa.int64())), strict=True)], ["node", "fragment", "grams"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64())), strict=True)], ["node", "key", "fragment", "grams"])
 
-    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "node long, fragment int, grams array<long>")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "node long, key binary, fragment int, grams array<long>")
 
 
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, the smallest doc_id reachable by links."""
+    return joined(docs, features(docs, n, percent), n, percent)
+
+
+def joined(docs: DataFrame, rows: DataFrame, n: int, percent: int, screen: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """classes() by the signatures of rows (doc_id, key, size, signatures ...), which like documents share.
+
+    screen(pairs, features) may leave out pairs (a, b) of doc_ids before their sets are compared; features has, of rows,
+    the one that stands for each doc_id, as node.
+    """
     stays, scratch = Scratch(docs.sparkSession, "ngrams"), Scratch(docs.sparkSession, "ngram-pairs")
-    found = scratch.write(features(docs, n, percent), "features")
+    found = scratch.write(rows, "features")
     usable = found.where("size > 0 and doc_id is not null")
     nodes = usable.groupBy("key").agg(F.min("doc_id").alias("node"))
     own = nodes.groupBy(F.col("node").alias("doc_id")).agg(F.min("key").alias("own"))
     # texts that another row stands for: few, so that signatures need no shuffle to get rid of theirs
     others = usable.select("doc_id", "key").join(own, "doc_id", "left").where("own is null or own <> key").select("doc_id", "key").distinct()
     others = scratch.write(others, "others")
-    rows = with_few(usable, others, ["doc_id", "key"], "left_anti")
-    index = rows.select(F.explode_outer("signatures").alias("bucket"), F.col("doc_id").alias("node")).where("bucket is not null")
-    about = rows.select(F.col("doc_id").alias("node"), "size")
+    chosen = with_few(usable, others, ["doc_id", "key"], "left_anti")
+    index = chosen.select(F.explode_outer("signatures").alias("bucket"), F.col("doc_id").alias("node")).where("bucket is not null")
+    about = chosen.select(F.col("doc_id").alias("node"), "size")
 
     def verifier(ids: DataFrame):
         texts = semi(docs.select("doc_id", "text"), ids.withColumnRenamed("node", "doc_id"), "doc_id")
-        parts = scratch.write(segments(texts, n).dropDuplicates(["node", "fragment"]), "segments")
+        # of a doc_id that has several texts only the fragments of the one that stands for it
+        mine = with_few(segments(texts, n), others.withColumnRenamed("doc_id", "node"), ["node", "key"], "left_anti").drop("key")
+        parts = scratch.write(mine.dropDuplicates(["node", "fragment"]), "segments")
 
         def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
             x, y = parts.select(F.col("node").alias(a), "fragment", F.col("grams").alias("x")), parts.select(F.col("node").alias(b), "fragment", F.col("grams").alias("y"))
             return pairs.join(x, a).join(y, [b, "fragment"])
 
         def verify(pairs: DataFrame) -> DataFrame:
+            if screen is not None:
+                pairs = screen(pairs, chosen.withColumnRenamed("doc_id", "node"))
             partial = both(pairs, "a", "b").select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), F.size(F.array_intersect("x", "y")).alias("common"))
             total = partial.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n_a", "n_b", "common")])
             return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")

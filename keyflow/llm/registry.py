@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from keyflow.llm import archives, decontaminate, licenses, lines, negatives, ngrams, pieces, preferences, quality, secrets, tokens
+from keyflow.llm import archives, decontaminate, licenses, lines, minhash, negatives, ngrams, pieces, preferences, quality, secrets, tokens, tries
 
-MODULES = [licenses, lines, pieces, tokens, quality, preferences, secrets, decontaminate, ngrams, archives, negatives]
+MODULES = [licenses, lines, pieces, tokens, quality, preferences, secrets, decontaminate, ngrams, archives, negatives, tries, minhash]
 
 
 def queries() -> dict:
