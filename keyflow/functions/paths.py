@@ -57,14 +57,25 @@ def extract_id(raw: str, path: list[str]) -> Column:
     return F.struct(F.when(error.isNull(), found).alias("id"), error.alias("error"))
 
 
+def at_path(value: Column, path: list[str]) -> Column:
+    """The VARIANT at a path of names, whatever characters they have; null where it ends early."""
+    for name in path:
+        quote = "'" if "'" not in name else '"'
+        if quote in name:  # no literal can name it: look it up in a map
+            value = F.try_element_at(F.try_variant_get(value, "$", "map<string, variant>"), F.lit(name))
+        else:
+            value = F.try_variant_get(value, f"$[{quote}{name}{quote}]", "variant")
+    return value
+
+
 def path_get(value: str, path: list[str]) -> Column:
-    """Value at a path of a variant column; null where it ends early."""
-    return F.try_variant_get(F.col(value), "$" + "".join(f".{p}" for p in path), "string")
+    """Value at a path of a variant column as text; null where it ends early."""
+    return F.try_variant_get(at_path(F.col(value), path), "$", "string")
 
 
 def path_get_string(value: str, path: list[str]) -> Column:
     """As path_get, but null where the value is not a string."""
-    at = F.try_variant_get(F.col(value), "$" + "".join(f".{p}" for p in path), "variant")
+    at = at_path(F.col(value), path)
     return F.when(F.schema_of_variant(at) == "STRING", at.cast("string"))
 
 
@@ -122,19 +133,20 @@ def _within(value: Column, path: list[str], change) -> Column:
     return value.dropFields(name) if new is None else value.withField(name, new)
 
 
-def normalize_repeating(df: DataFrame, path: list[str], item: str, column: str = "message") -> DataFrame:
-    """df whose field at a path of variant type becomes an array of item (a type), always.
+def normalize_repeating(df: DataFrame, path: list[str], column: str = "message") -> DataFrame:
+    """df in whose field at a path a value that is no list is a list of one, in place.
 
-    A field that stands once in a document is a value in the tree and a list if repeated; here a value becomes a list of
-    one. What holds the field may be something else than an object, as an empty element is: then the field is null.
+    A field that stands once in a document is a value in the tree and a list if repeated. The last part of the path is a
+    name in a VARIANT, those before it are fields of structs down to that variant, whose other names stay as they are. A
+    variant that is no object, as an empty element gives, becomes null; one without the name, or with null, stays.
     """
-    kind = lambda v: F.schema_of_variant(v)
 
     def listed(v: Column) -> Column:
-        inner = F.try_variant_get(v, f"$.{path[-1]}", "variant")
-        many = F.try_variant_get(inner, "$", f"array<{item}>")
-        one = F.array(F.try_variant_get(inner, "$", item))
-        return F.when(kind(inner).startswith("ARRAY"), many).when(inner.isNotNull() & ~F.is_variant_null(inner), one)
+        inner = at_path(v, path[-1:])
+        names = F.try_variant_get(v, "$", "map<string, variant>")
+        single = inner.isNotNull() & ~F.is_variant_null(inner) & ~F.schema_of_variant(inner).startswith("ARRAY")
+        made = F.to_variant_object(F.transform_values(names, lambda k, x: F.when(k == path[-1], F.to_variant_object(F.array(x))).otherwise(x)))
+        return F.when(F.schema_of_variant(v).startswith("OBJECT"), F.when(single, made).otherwise(v))
 
     return df.withColumn(column, _within(F.col(column), path[:-1], listed))
 

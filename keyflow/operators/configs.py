@@ -34,6 +34,29 @@ def override_rules(df: DataFrame) -> DataFrame:
     return df.where("aspect = 'bizlogic'")
 
 
+_MODULES = "map<string, map<string, string>>"
+
+
+def override_payload(df: DataFrame, payload: str = "payload", root: str = "root") -> DataFrame:
+    """Rows (param_key, event_type, module, type, cel, rule_key, root, projection) of payloads that replace deployed rules.
+
+    A payload is the JSON ``{"celProjection": ..., "config": {param_key: {"events": {event: {aspect: {module: {...}}}}}}}``.
+    Only the aspect bizlogic counts; events and keys without it give no row. Where payloads, in order of column
+    ``at``, have the same key, the latest one's rules stand, all of them. A payload that is no JSON or has no config has one row with error.
+    """
+    read = F.from_json(payload, f"struct<celProjection: string, config: map<string, struct<events: map<string, {_MODULES}>>>>")
+    rows = df.select("at", F.col(root).alias("root"), read.alias("p"))
+    bad = rows.where("p.config is null").select("at", F.lit("payload without a config").alias("error"))
+    keys = rows.select("at", "root", F.col("p.celProjection").alias("projection"), F.explode("p.config").alias("param_key", "c"))
+    some = F.exists(F.map_values("c.events"), lambda e: F.size(F.coalesce(F.try_element_at(e, F.lit("bizlogic")), F.expr("cast(map() as map<string, string>)"))) > 0)
+    keys = keys.where(F.coalesce(some, F.lit(False)))
+    last = keys.groupBy("param_key").agg(F.max("at").alias("at"))
+    events = keys.join(last, ["param_key", "at"]).select("param_key", "root", "projection", F.explode("c.events").alias("event_type", "e"))
+    modules = events.select("param_key", "root", "projection", "event_type", F.explode(F.try_element_at("e", F.lit("bizlogic"))).alias("module", "body"))
+    out = modules.select("param_key", "event_type", "module", F.get_json_object("body", "$.type").alias("type"), F.get_json_object("body", "$.cel").alias("cel"), F.concat_ws("::", "param_key", F.concat_ws(":", "module", F.lit("bizlogic"), "event_type")).alias("rule_key"), "root", "projection", F.lit(None).cast("string").alias("error"))
+    return out.unionByName(bad.drop("at"), allowMissingColumns=True)
+
+
 def module_names(df: DataFrame) -> DataFrame:
     """Sorted distinct modules of bizlogic, validation and transformation."""
     parts = [df.where(F.col("aspect") == a).select("module") for a in ("bizlogic", "validation", "transformation")]

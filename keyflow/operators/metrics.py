@@ -31,30 +31,71 @@ def rate(df: DataFrame, ts: str, by: str, seconds: int = 60, slide: int | None =
     return df.groupBy(w.alias("w"), by).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), by, "n", (F.col("n") / seconds).alias("rate"))
 
 
+KINDS = ("value", "error", "retry", "mismatch")
+
+
+def running_totals(each: DataFrame, start: str, columns: list[str], prefix: str = "total_") -> DataFrame:
+    """each with running totals in order of a time: within days, plus those of the days before, of which there is one row each.
+
+    So no task has more than the rows of a day, or the days.
+    """
+    day = F.date_trunc("day", start)
+    days = each.groupBy(day.alias("__day")).agg(*[F.sum(c).alias(f"__{c}") for c in columns])
+    earlier = W.orderBy("__day").rowsBetween(W.unboundedPreceding, -1)
+    days = days.select("__day", *[F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__{c}") for c in columns])
+    inside = W.partitionBy("__day").orderBy(start).rowsBetween(W.unboundedPreceding, 0)
+    rows = each.withColumn("__day", day).join(F.broadcast(days), "__day")  # a row a day
+    return rows.withColumns({f"{prefix}{c}": F.sum(c).over(inside) + F.col(f"__{c}") for c in columns}).drop("__day", *[f"__{c}" for c in columns])
+
+
 def perf_windows(df: DataFrame, ts: str, kind: str, seconds: int) -> DataFrame:
-    """Per window of a length: counts by kind, running totals, rate, and error and mismatch shares (0 where empty)."""
-    each = df.groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(*[F.count(F.when(F.col(kind) == k, 1)).alias(k) for k in ("value", "error", "retry", "mismatch")])
-    each = each.select(F.col("w.start").alias("start"), "value", "error", "retry", "mismatch")
-    run = W.orderBy("start").rowsBetween(W.unboundedPreceding, 0)  # one row for each window, not for each event
+    """Per window of a length: counts by kind, running totals, rate of all kinds, and error and mismatch shares (0 where empty)."""
+    each = df.groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(*[F.count(F.when(F.col(kind) == k, 1)).alias(k) for k in KINDS])
+    each = each.select(F.col("w.start").alias("start"), *KINDS)
     share = lambda a: F.coalesce(F.try_divide(F.col(f"total_{a}"), F.col("total_value") + F.col(f"total_{a}")), F.lit(0.0))
-    out = each.withColumns({f"total_{k}": F.sum(k).over(run) for k in ("value", "error", "retry", "mismatch")})
-    return out.withColumns({"rate": F.col("value") / seconds, "error_share": share("error"), "mismatch_share": share("mismatch")})
+    out = running_totals(each, "start", list(KINDS))
+    return out.withColumns({"rate": sum(F.col(k) for k in KINDS) / seconds, "error_share": share("error"), "mismatch_share": share("mismatch")})
+
 
+def perf_report(df: DataFrame, ts: str, kind: str, seconds: int, since: Column | None = None) -> DataFrame:
+    """perf_windows() as reports at the end of each window: what was added since the report before (delta_*), the rate of
+    all kinds since the job began, and the seconds since the first report that has a value (elapsed, 0 before).
 
-def perf_report(df: DataFrame, ts: str, kind: str, seconds: int) -> DataFrame:
-    """perf_windows() with what changed since the window before, the seconds since the first value and the rate over them."""
-    kinds = ("value", "error", "retry", "mismatch")
-    run = W.orderBy("start")  # one row for each window
+    since: when the job began; else the start of the first window.
+    """
     out = perf_windows(df, ts, kind, seconds)
-    out = out.withColumns({f"delta_{k}": F.col(k) - F.coalesce(F.lag(k).over(run), F.lit(0)) for k in kinds})
-    first = F.min(F.when(F.col("value") > 0, F.col("start"))).over(run.rowsBetween(W.unboundedPreceding, 0))
-    out = out.withColumn("elapsed", F.coalesce(F.unix_timestamp(F.col("start").cast("timestamp")) - F.unix_timestamp(first.cast("timestamp")) + seconds, F.lit(0)).cast("long"))
-    return out.withColumn("overall_rate", F.coalesce(F.try_divide("total_value", "elapsed"), F.lit(0.0)))
+    lowest = out.agg(F.min("start").alias("__first"), F.min(F.when(F.col("value") > 0, F.col("start"))).alias("__valued"))
+    epoch = lambda c: F.unix_timestamp(c.cast("timestamp"))
+    out = out.join(F.broadcast(lowest))  # one row
+    began = since if since is not None else F.col("__first")
+    took = F.greatest(epoch(F.col("start")) + seconds - epoch(began), F.lit(1))
+    elapsed = F.greatest(F.coalesce(epoch(F.col("start")) - epoch(F.col("__valued")), F.lit(0)), F.lit(0)).cast("long")
+    return out.withColumns({f"delta_{k}": F.col(k) for k in KINDS} | {"elapsed": elapsed, "overall_rate": sum(F.col(f"total_{k}") for k in KINDS) / took}).drop("__first", "__valued")
 
 
 def throughput(df: DataFrame, ts: str, seconds: int = 2) -> DataFrame:
     each = df.groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "n")
-    return each.withColumn("total", F.sum("n").over(W.orderBy("start").rowsBetween(W.unboundedPreceding, 0)))
+    return running_totals(each, "start", ["n"], "__total_").withColumnRenamed("__total_n", "total")
+
+
+def latency_sketches(df: DataFrame, by: list[str], latency: str, k: int = 200) -> DataFrame:
+    """Rows (by, n, sketch): a sketch of quantiles, of bounded size, for each group of latencies, of which negative ones count as 0.
+
+    Sketches of windows or parts can be stored and merged later (``merged_quantiles``); each combines before the shuffle,
+    so a group of any size has one small row a task. The error is one of rank: RANK_ERROR for k = 200, less for larger k.
+    """
+    x = F.greatest(F.lit(0.0), F.col(latency))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(x, k).alias("sketch"))
+
+
+#: By how much the rank of a sketch's quantile may be off, as a share of all rows, with k = 200 and 99 % confidence.
+RANK_ERROR = 0.0265
+
+
+def merged_quantiles(sketches: DataFrame, by: list[str], quantiles: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """(by, n, p50 ...) of latency_sketches() merged over whatever else they were grouped by."""
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(*by, "n", *[F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))).alias(f"p{round(100 * q)}") for q in quantiles])
 
 
 def quantile_summary(df: DataFrame, quantile: str, value: str) -> DataFrame:

@@ -7,28 +7,39 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyflow.operators.enrich import sized
+
 
 def dispatch_rules(df: DataFrame, rules: DataFrame, module: str) -> DataFrame:
     """df with the rule_key of (param_key, event_type, module) and rule_matched; rows without a rule pass through."""
     keys = rules.where(F.col("module") == module).select("param_key", "event_type", "rule_key")
-    return df.join(F.broadcast(keys), ["param_key", "event_type"], "left").withColumn("rule_matched", F.col("rule_key").isNotNull())
+    return df.join(sized(keys), ["param_key", "event_type"], "left").withColumn("rule_matched", F.col("rule_key").isNotNull())
 
 
 def reject(df: DataFrame, configs: DataFrame) -> DataFrame:
-    """df with errors for an unknown domain, a missing event type, and a param_key that has no configuration."""
+    """df with errors for an unknown domain, a missing event type, and a param_key that has no configuration.
+
+    The list of legal keys is one row, which every row that is in error has to name.
+    """
     legal = configs.agg(F.array_join(F.array_sort(F.collect_set("param_key")), ", ").alias("legal"))
     known = configs.select("param_key", F.lit(True).alias("__known")).distinct()
-    out = df.join(F.broadcast(known), "param_key", "left").join(F.broadcast(legal))
+    out = df.join(sized(known), "param_key", "left").join(F.broadcast(legal))
     errors = F.when(F.col("domain_id") == "unknown", "DomainId is unknown").when(F.col("event_type").isNull(), "no event type").when(F.col("__known").isNull(), F.concat(F.lit("no config for "), F.coalesce("param_key", F.lit("null")), F.lit("; legal: "), "legal"))
     return out.withColumn("error", errors).drop("__known", "legal")
 
 
-def compile_rules(spark: SparkSession, rules: dict[str, str], schema: T.StructType | str) -> dict[str, Column]:
-    """Rule texts as columns, after each has been analysed against the schema; all failures are reported together."""
+def compile_rules(spark: SparkSession, rules: dict[str, str], schema: T.StructType | str, result: T.DataType | str | None = None) -> dict[str, Column]:
+    """Rule texts as columns, after each has been analysed against the schema; all failures are reported together.
+
+    With ``result`` a rule of another type is a failure too; one that only ever gives null has any type.
+    """
     empty, errors = spark.createDataFrame([], schema), []
+    wanted = (result if isinstance(result, str) else result.simpleString()) if result is not None else None
     for key in sorted(rules):
         try:
-            empty.select(F.expr(rules[key])).schema  # noqa: B018
+            kind = empty.select(F.expr(rules[key])).schema[0].dataType.simpleString()
+            if wanted is not None and kind not in (wanted, "void"):
+                errors.append(f"{key}: the result is of type {kind}, not {wanted}")
         except AnalysisException as e:
             errors.append(f"{key}: {str(e).splitlines()[0]}")
     if errors:
@@ -44,6 +55,37 @@ def eval_rules(df: DataFrame, compiled: dict[str, Column], data: str = "data", k
     return df.withColumn(data, F.coalesce(result, F.col(data)))
 
 
+#: How results are kept as text between being made and being read: nothing of a value may be lost.
+_KEPT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+RULE_STAGE, RULE_TEXT = "ValueEnvelope.map", "Exception in map: ValueEnvelope/"
+
+
+def attempt(rule: Column, kind: T.DataType | str) -> Column:
+    """A rule's result as bytes, null where it fails: nothing that a row does to a rule ends the query.
+
+    try_to_binary gives null if its argument cannot be made, and the argument is the whole rule, whatever is in it (casts,
+    divisions, elements, raise_error). ``attempted`` reads the result.
+    """
+    return F.try_to_binary(F.to_json(F.struct(rule.cast(kind).alias("v")), _KEPT), F.lit("utf-8"))
+
+
+def attempted(kept: Column, kind: T.DataType | str) -> Column:
+    name = kind if isinstance(kind, str) else kind.simpleString()
+    return F.from_json(F.decode(kept, "utf-8"), f"struct<v: {name}>", _KEPT)["v"]
+
+
+def eval_each(df: DataFrame, compiled: dict[str, Column], data: str = "data", key: str = "rule_key") -> DataFrame:
+    """As eval_rules, with stage and errors: a row whose rule fails keeps its data and has the stage and a text; others have null and no errors."""
+    kind, kept = df.schema[data].dataType, F.lit(None).cast("binary")
+    for k, rule in compiled.items():
+        kept = F.when(F.col(key) == k, attempt(rule, kind)).otherwise(kept)
+    rows = df.drop("stage", "errors").withColumn("__kept", kept)
+    failed = F.col(key).isin(list(compiled)) & F.col("__kept").isNull()
+    rows = rows.withColumn(data, F.coalesce(attempted(F.col("__kept"), kind), F.col(data)))
+    text = F.array(F.concat(F.lit(f"{RULE_TEXT}rule "), F.col(key), F.lit(" failed")))
+    return rows.withColumns({"stage": F.when(failed, F.lit(RULE_STAGE)), "errors": F.when(failed, text).otherwise(F.expr("cast(array() as array<string>)"))}).drop("__kept")
+
+
 class Rule:
     """A rule's text with named variables; a later binding of a name replaces an earlier one."""
 
@@ -123,7 +165,7 @@ def notifications(df: DataFrame, table: DataFrame, contacts: str = "contacts") -
     """
     kinds = "transform(array(" + ", ".join(f"named_struct('kind', {k}, 'name', '{n}')" for n, k in CONTACTS.items()) + f"), k -> named_struct('kind', k.kind, 'to', get(filter({contacts}, d -> d.name = k.name), 0).value))"
     rows = df.withColumn("__to", F.explode(F.expr(kinds))).where("__to.to is not null")
-    return rows.select("*", F.col("__to.kind").alias("kind"), F.col("__to.to").alias("destination")).drop("__to").join(F.broadcast(table), ["event", "category", "kind"])
+    return rows.select("*", F.col("__to.kind").alias("kind"), F.col("__to.to").alias("destination")).drop("__to").join(sized(table), ["event", "category", "kind"])
 
 
 def tracking_record(names: dict[str, str], event: str = "event") -> Column:

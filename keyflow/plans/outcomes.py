@@ -134,18 +134,24 @@ def _(s, d):
     return R.retries_by_stage(scheduled(s, d))
 
 
-@query("perf_report", "select start, value - coalesce(lag(value) over w, 0) as delta_value, error - coalesce(lag(error) over w, 0) as delta_error, elapsed, round(coalesce(total / nullif(elapsed, 0), 0.0), 9) as overall_rate from (select *, (sum(value) over w)::double as total, coalesce((epoch(start) - epoch(min(case when value > 0 then start end) over w))::bigint + 3600, 0) as elapsed from " + PERF + " window w as (order by start)) window w as (order by start)")
+_ALL = "value + error + retry + mismatch"
+
+
+@query("perf_report", f"select start, value as delta_value, error as delta_error, greatest(coalesce(epoch(start) - epoch((select min(start) from {PERF} where value > 0)), 0), 0)::bigint as elapsed, round(({_ALL}) / 3600.0::double, 9) as rate, round((sum({_ALL}) over (order by start))::double / (epoch(start) + 3600 - epoch(min(start) over ())), 9) as overall_rate from {PERF}")
 def _(s, d):
-    return M.perf_report(records(s, d), "ts", "kind", 3600).select("start", "delta_value", "delta_error", "elapsed", F.round("overall_rate", 9).alias("overall_rate"))
+    x = M.perf_report(records(s, d), "ts", "kind", 3600)
+    return x.select("start", "delta_value", "delta_error", "elapsed", F.round("rate", 9).alias("rate"), F.round("overall_rate", 9).alias("overall_rate"))
 
 
-@query("normalize_repeating", "select event_id, case event_id % 4 when 0 then 1 when 1 then 2 end as n, case when event_id % 4 < 2 then event_type end as first from events")
+@query("normalize_repeating", "select event_id, case event_id % 4 when 0 then 1 when 1 then 2 end as n, case when event_id % 4 < 2 then event_type end as first, case when event_id % 4 in (0, 1, 3) then 'o' end as other from events")
 def _(s, d):
-    one = F.concat(F.lit('{"name":"'), "event_type", F.lit('","value":"1"}'))
-    aux = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"data":'), one, F.lit("}"))).when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"data":['), one, F.lit(","), one, F.lit("]}"))).when(F.col("event_id") % 4 == 2, '""')
+    one, n = F.concat(F.lit('{"name":"'), "event_type", F.lit('","value":"1"}')), F.col("event_id") % 4
+    data = F.when(n == 0, one).when(n == 1, F.concat(F.lit("["), one, F.lit(","), one, F.lit("]")))
+    aux = F.when(n == 2, '""').otherwise(F.concat(F.lit('{"other":"o"'), F.coalesce(F.concat(F.lit(',"data":'), data), F.lit("")), F.lit("}")))
     e = t(s, d, "events").select("event_id", F.struct(F.struct(F.try_parse_json(aux).alias("aux"), F.lit("x").alias("other")).alias("scan")).alias("message"))
-    x = P.after_parse(e, [lambda df: P.normalize_repeating(df, ["scan", "aux", "data"], "struct<name: string, value: string>")])
-    return x.select("event_id", F.when(F.col("message.scan.aux").isNotNull(), F.size("message.scan.aux")).alias("n"), F.get("message.scan.aux", F.lit(0))["name"].alias("first"))
+    x = P.after_parse(e, [lambda df: P.normalize_repeating(df, ["scan", "aux", "data"])])
+    many = F.try_variant_get("message.scan.aux", "$.data", "array<struct<name: string, value: string>>")
+    return x.select("event_id", F.size(many).alias("n"), F.get(many, F.lit(0))["name"].alias("first"), F.try_variant_get("message.scan.aux", "$.other", "string").alias("other"))
 
 
 @query("unwrap_pair", "select event_id, case when event_id % 4 < 2 then event_type end as input, case event_id % 4 when 0 then 1 when 1 then 2 when 2 then 1 else 0 end as n_expected, case event_id % 4 when 2 then 'no test.input' when 3 then 'no test.output' else '' end as errors from events")

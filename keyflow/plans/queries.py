@@ -621,7 +621,7 @@ def _(s, d):
 PERF = f"(select time_bucket(interval 3600 seconds, ts) as start, " + ", ".join(f"count(*) filter (where kind = '{k}') as {k}" for k in R.KINDS) + f" from {REC} group by all)"
 
 
-@query("perf_windows", "select start, value, error, total_value, round(coalesce(total_error / nullif(total_value + total_error, 0), 0.0), 9) as error_share, round(value / 3600.0::double, 9) as rate from (select *, (sum(value) over (order by start))::bigint as total_value, (sum(error) over (order by start))::bigint as total_error from " + PERF + ")")
+@query("perf_windows", "select start, value, error, total_value, round(coalesce(total_error / nullif(total_value + total_error, 0), 0.0), 9) as error_share, round((value + error + retry + mismatch) / 3600.0::double, 9) as rate from (select *, (sum(value) over (order by start))::bigint as total_value, (sum(error) over (order by start))::bigint as total_error from " + PERF + ")")
 def _(s, d):
     return M.perf_windows(records(s, d), "ts", "kind", 3600).select("start", "value", "error", "total_value", F.round("error_share", 9).alias("error_share"), F.round("rate", 9).alias("rate"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keyflow.plans import outcomes  # noqa: F401  adds its queries
+from keyflow.plans import logs, outcomes  # noqa: F401  add their queries
 from keyflow.plans.queries import ORACLES, QUERIES, flagship
 
 __all__ = ["flagship", "oracle_sql", "queries"]

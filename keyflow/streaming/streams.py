@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from keyflow.operators.routing import KINDS, split
+from keyflow.operators.tables import new_folder
 
 
 def watermark(df: DataFrame, ts: str | None = None, delay: str | None = None, fn: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -34,8 +33,7 @@ def late_rows(df: DataFrame, ts: str, order: str, delay: str) -> DataFrame:
     ranges are cut by a sample that differs each time. A stream does the same in foreachBatch without a sort.
     """
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="keyflow-")
-    path = f"{root.rstrip('/')}/late-rows-{uuid.uuid4().hex}"
+    path = new_folder(spark, "late-rows")
     # a number of partitions that is given stays as it is; without one small ranges are put together
     ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).withColumn("__range", F.spark_partition_id())
     ranged.write.parquet(path)
