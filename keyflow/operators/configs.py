@@ -16,7 +16,7 @@ def load_config(spark: SparkSession, folder: str) -> DataFrame:
 
     The path below the folder, without .json, is the param_key with ':' between its parts.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(folder)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(folder, wholetext=True)
     rel = F.regexp_replace(F.regexp_extract(F.col("_metadata.file_path"), f"{folder.rstrip('/').rsplit('/', 1)[-1]}/(.*)\\.json$", 1), "/", ":")
     return flatten_config(files.select(rel.alias("param_key"), F.from_json("value", f"events map<string, {_EVENT}>").alias("config")))
 

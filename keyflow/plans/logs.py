@@ -7,6 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from keyflow.functions import paths as P
+from keyflow.functions import schemas as X
 from keyflow.operators import configs as CF
 from keyflow.operators import folds
 from keyflow.operators import metrics as M
@@ -100,3 +101,22 @@ def _(s, d):
     body = F.concat(F.lit('{"celProjection":"p","config":{"'), key, F.lit('":{"events":{"seen":{"bizlogic":{"all":{"type":"cel","cel":"r'), F.col("c_custkey").cast("string"), F.lit('"}},"enrichment":{"all":{"type":"fixed"}}},"empty":{"validation":{"all":{"type":"x"}}}}},"none:'), key, F.lit('":{"events":{"seen":{"bizlogic":{}}}}}}'))
     c = t(s, d, "customer").select(F.col("c_custkey").alias("at"), F.lit("root").alias("root"), F.when(F.col("c_custkey") % 10 != 0, body).otherwise("no json").alias("payload"))
     return CF.override_payload(c).select("param_key", "event_type", "module", "type", "cel", "rule_key", "error")
+
+
+SCAN_XSD = """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
+  <xs:simpleType name="kind"><xs:restriction base="xs:string"><xs:enumeration value="view"/><xs:enumeration value="click"/></xs:restriction></xs:simpleType>
+  <xs:simpleType name="user"><xs:restriction base="xs:int"><xs:maxInclusive value="90"/></xs:restriction></xs:simpleType>
+  <xs:element name="scan"><xs:complexType><xs:sequence>
+    <xs:element name="id" type="xs:long"/><xs:element name="kind" type="kind"/><xs:element name="user" type="user" minOccurs="0" maxOccurs="2"/>
+  </xs:sequence></xs:complexType></xs:element>
+</xs:schema>"""
+_KIND_ERROR = "'[2] line 3, col ' || (7 + len(event_type)) || ': element kind: ' || chr(39) || event_type || chr(39) || ' is not one of view, click'"
+_USER_ERROR = "'[2] line 4, col ' || (7 + len(user_id::varchar)) || ': element user: ' || chr(39) || user_id || chr(39) || ' does not fit maxInclusive 90'"
+
+
+@query("xml_violations", f"select event_id, case when event_id % 5 = 0 then '[2] line 3, col 1: element user is not expected here in element scan' when event_type not in ('view', 'click') then {_KIND_ERROR} when user_id > 90 then {_USER_ERROR} when event_id % 7 = 0 then '[3] line 5, col 3: mismatched tag' end as error from events")
+def _(s, d):
+    kind = F.when(F.col("event_id") % 5 != 0, F.concat(F.lit("\n<kind>"), "event_type", F.lit("</kind>"))).otherwise("")
+    end = F.when(F.col("event_id") % 7 == 0, "</other>").otherwise("</scan>")
+    raw = F.concat(F.lit("<scan>\n<id>"), F.col("event_id").cast("string"), F.lit("</id>"), kind, F.lit("\n<user>"), F.col("user_id").cast("string"), F.lit("</user>\n"), end)
+    return X.validate_xml(t(s, d, "events").withColumn("raw_value", raw), SCAN_XSD).select("event_id", F.get("errors", F.lit(0)).alias("error"))

@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load_lookup(spark: SparkSession, path: str, in_cols: list[str], out_cols: list[str], sep: str = ",", key_sep: str = ".") -> DataFrame:
+class LookupUnreadable(ValueError):
+    """A lookup whose file is not there, not allowed to be read, or on a file system that is not installed."""
+
+
+def sas(account: str, token: str) -> dict[str, str]:
+    """Options for a blob store's account that is read with a shared access signature."""
+    host = f"{account}.dfs.core.windows.net"
+    return {f"fs.azure.account.auth.type.{host}": "SAS", f"fs.azure.sas.fixed.token.{host}": token.lstrip("?")}
+
+
+def bearer(account: str, secret: str, client: str = "", endpoint: str = "") -> dict[str, str]:
+    """Options for a blob store's account that is read with bearer tokens, which a client's secret gets from an endpoint."""
+    host = f"{account}.dfs.core.windows.net"
+    oauth = {"auth.type": "OAuth", "oauth.provider.type": "org.apache.hadoop.fs.azurebfs.oauth2.ClientCredsTokenProvider", "oauth2.client.id": client, "oauth2.client.secret": secret, "oauth2.client.endpoint": endpoint}
+    return {f"fs.azure.account.{k}.{host}": v for k, v in oauth.items()}
+
+
+def load_lookup(spark: SparkSession, path: str, in_cols: list[str], out_cols: list[str], sep: str = ",", key_sep: str = ".", auth: dict[str, str] | None = None) -> DataFrame:
     """Rows (key, out columns ...) of a CSV file with a header, on any file system that Spark reads.
 
+    auth: options of the file system, as sas() and bearer() give them. They go with this file's reads and never into the
+    session or an error's text. A file that cannot be read is a LookupUnreadable, here and not when rows are asked for.
     Repeated or unknown columns are errors. Of rows with equal keys the last in the file wins. Short rows have nulls.
     """
-    head = spark.read.text(path).limit(1).first()
+    reader = lambda: spark.read.options(**(auth or {}))
+    try:
+        head = reader().text(path).limit(1).first()
+    except (AnalysisException, Py4JJavaError, PySparkException) as e:
+        why = str(e).splitlines()[0] if str(e) else type(e).__name__
+        for secret in (auth or {}).values():
+            why = why.replace(secret, "***") if secret else why
+        raise LookupUnreadable(f"cannot read the lookup {path}: {why}") from None
     if head is None:
         raise ValueError(f"{path} has no header")
     names = [x.strip().strip('"') for x in head[0].lstrip("﻿").split(sep)]
@@ -23,7 +51,7 @@ def load_lookup(spark: SparkSession, path: str, in_cols: list[str], out_cols: li
     if unknown:
         raise ValueError(f"unknown columns: {', '.join(unknown)}; there are {', '.join(names)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = spark.read.schema(schema).csv(path, header=True, sep=sep, quote='"', escape='"', enforceSchema=True)
+    rows = reader().schema(schema).csv(path, header=True, sep=sep, quote='"', escape='"', enforceSchema=True)
     # file, block and order of reading give a row's place, whatever task reads it
     rows = rows.select("*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("__at"))
     return last_wins(rows.withColumn("key", composite_key([F.coalesce(F.col(c), F.lit("")) for c in in_cols], key_sep)), ["key"], "__at", out_cols)

@@ -24,7 +24,7 @@ def test_csv_lookup(spark, tmp_path):
 
 def test_config_folder(spark, tmp_path):
     (tmp_path / "prod").mkdir()
-    (tmp_path / "prod" / "base.json").write_text('{"events":{"e":{"bizlogic":{"all":{"type":"cel","cel":"x"}}}},"more":1}')
+    (tmp_path / "prod" / "base.json").write_text('{\n "events":{"e":{"bizlogic":{"all":\n{"type":"cel","cel":"x"}}}},\n "more":1}\n')
     (tmp_path / "prod" / "bad.json").write_text("{")
     rows = {(r["param_key"], r["event_type"], r["type"], r["error"]) for r in configs.load_config(spark, str(tmp_path)).collect()}
     assert rows == {("prod:base", "e", "cel", None), ("prod:bad", None, None, "unreadable or empty")}
