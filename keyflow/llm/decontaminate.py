@@ -5,9 +5,11 @@ by the prefix principle one shingle of it is enough to join on: its rarest, by c
 that holds that shingle is a candidate; the length and positional bound (the window has to fit around the shingle
 inside the text) and a comparison of all the window's words follow.
 
-The benchmark is read in blocks of about ``BLOCK_WORDS`` words, hashed by item (an item is never cut); each block is
-two narrow passes over the documents, one to count and one to mark, and what is marked is written before the next, so a
-task has one block at a time and documents are never shuffled. The work is that of the documents times the blocks.
+Items are cut into parts of ``PART_WORDS`` windows, which overlap by a window less a word, so every window of an item stands
+in one of its parts and a long item needs no more memory than others. The benchmark is read in blocks of about
+``BLOCK_WORDS`` words, hashed by part; each block is two narrow passes over the documents, one to count and one to mark,
+and what is marked is written before the next, so a task has one block at a time and documents are never shuffled. The
+work is that of the documents times the blocks.
 
 Null and empty texts have no words; an item without words has no window. Repeated rows are each judged. Other columns
 of documents pass through ``annotate``, except that added names (n_words, hit_ranges, hit_items) replace old ones.
@@ -23,9 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyflow.llm.common import Scratch, held, in_batches, table
+from keyflow.llm.common import Scratch, ascii_lower, held, in_batches, table
 
-WINDOW, SHINGLE, BLOCK_WORDS = 13, 3, 1_000_000
+WINDOW, SHINGLE, BLOCK_WORDS, PART_WORDS = 13, 3, 1_000_000, 100_000
+_FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 RANGES = "array<struct<start: int, end: int>>"
@@ -37,29 +40,32 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Block:
-    """Windows of some items over small word numbers. 0 stands for words that no item has."""
+    """Windows of some items over small word numbers. 0 stands for words that no item has.
 
-    def __init__(self, items: list[tuple]):
+    A shingle's code is a hash of its word numbers, modulo 2**64: two shingles of one code would only make a candidate
+    more, which the comparison of all words drops.
+    """
+
+    def __init__(self, items: list[tuple], number: int = 0):
+        self.name = f"before-{number}"
         self.vocabulary: dict[bytes, int] = {}
-        number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
+        numbered = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
         found: dict[tuple[int, ...], set[str]] = {}  # an item without an id has windows but no name
         for item, text in items:
-            ids = [number(w) for w in words_of(text.encode() if text is not None else None)]
+            ids = [numbered(w) for w in words_of(text.encode() if text is not None else None)]
             for i in range(max(len(ids) - WINDOW, 0) + 1):
                 if ids:
                     found.setdefault(tuple(ids[i : i + WINDOW]), set()).update([str(item)] if item is not None else [])
-        self.name = f"before-{id(self)}"
         self.windows = list(found)
         self.items = [sorted(x) for x in found.values()]
-        self.base = len(self.vocabulary) + 1
         self.sizes = sorted({min(SHINGLE, len(w)) for w in self.windows})
         self.codes = {g: np.unique([self.code(w[i : i + g]) for w in self.windows if min(SHINGLE, len(w)) == g for i in range(len(w) - g + 1)]).astype(np.int64) for g in self.sizes}
 
     def code(self, ids: tuple[int, ...]) -> int:
         out = 0
         for x in ids:
-            out = out * self.base + x
-        return out
+            out = (out * _FACTOR + x) & _MASK
+        return out - (1 << 64) if out >> 63 else out
 
     def choose(self, counts: dict[tuple[int, int], int]) -> None:
         """For each window its rarest shingle and where in the window that stands, grouped by shingle."""
@@ -94,10 +100,10 @@ class Block:
         for k in range(1, g):
             ok &= known[k : len(ids) - g + 1 + k]
         at = np.flatnonzero(ok)
-        code = ids[at]
+        code = ids[at].view(np.uint64)
         for k in range(1, g):
-            code = code * self.base + ids[at + k]
-        return at, code
+            code = code * np.uint64(_FACTOR) + ids[at + k].view(np.uint64)
+        return at, code.view(np.int64)
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, window) of every occurrence."""
@@ -191,30 +197,41 @@ def _mark(docs: DataFrame, block: Block, rest: list[str], first: bool) -> DataFr
     return in_batches(docs).mapInArrow(mark, schema)
 
 
-def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The benchmark's items in blocks, each bounded, by a hash of the item."""
-    rows = benchmark.select("item_id", "text")
+def parts_of(benchmark: DataFrame, part_words: int = PART_WORDS) -> DataFrame:
+    """Rows (item_id, at, text) of benchmark (item_id, text): items of up to part_words windows as they are, longer ones in parts."""
+    n = F.coalesce(F.length("text"), F.lit(0))
+    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0)).alias("words")
+    cut = f"transform(sequence(0, greatest(size(words) - {WINDOW}, 0), {part_words}), i -> array_join(slice(words, i + 1, {part_words + WINDOW - 1}), ' '))"
+    short = benchmark.where(n <= part_words).select("item_id", F.lit(0).alias("at"), "text")
+    long = benchmark.where(n > part_words).select("item_id", words).select("item_id", F.posexplode(F.expr(cut)).alias("at", "text"))
+    return short.unionByName(long)
+
+
+def blocks_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS, part_words: int = PART_WORDS) -> Iterator[Block]:
+    """The benchmark's parts of items in blocks, each bounded, by a hash of what the part is of."""
+    rows = parts_of(benchmark.select("item_id", "text"), min(part_words, block_words))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = total // (2 * block_words) + 1  # a word has a separator
     for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
-        block = Block([tuple(r) for r in part.collect()])
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "at", "text"), F.lit(n)) == k)
+        block = Block([tuple(r) for r in part.select("item_id", "text").collect()], k)
         if block.windows or (k == n - 1):
             yield block
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def annotate(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, part_words: int = PART_WORDS) -> DataFrame:
     """docs with n_words, hit_ranges (disjoint within a block, by words) and hit_items (sorted as strings)."""
     added = ("n_words", "hit_ranges", "hit_items")
     rest = [c for c in docs.columns if c not in ("text", *added)]
-    rows, first, scratch = docs.select("text", *rest), True, None
-    for block in blocks_of(benchmark, block_words):
+    rows, scratch, last = docs.select("text", *rest), None, None
+    for block in blocks_of(benchmark, block_words, part_words):
         block.choose(shingle_counts(docs, block) if block.windows else {})
-        if not first:
+        if last:
             scratch = scratch or Scratch(docs.sparkSession, "blocks")
             rows = scratch.write(rows, block.name)
-        rows = _mark(rows, block, rest, first)
-        first = False
+            scratch.drop(last)  # read by the table just written; the last one is read by what is returned
+        rows = _mark(rows, block, rest, not last)
+        last = block.name
     return rows
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from keyflow.llm import minhash, negatives, ngrams, tries
+from keyflow.llm import decontaminate, minhash, negatives, ngrams, tries
 from tests.llm.test_llm import groups
 from tools.compare import compare
 
@@ -144,3 +144,24 @@ def test_rows_without_ids_and_with_several_texts(spark, module):
 
 def test_agreeing_bound():
     assert 100 < minhash.least_agreeing(85) < 136 and minhash.least_agreeing(100) == minhash.MINIMA
+
+
+def test_decontamination_with_many_blocks(spark):
+    """More blocks than memory addresses had been told apart by; parts of items in different blocks."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(40).coalesce(1).cache()
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    show = lambda x: sorted((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["hit_items"])) for r in x.withColumn("n_hit", decontaminate.n_hit()).collect())
+    words = bench.select(decontaminate.F.sum(decontaminate.F.length("text"))).first()[0]
+    few = words // 120
+    assert len(list(decontaminate.blocks_of(bench, few))) >= 25
+    assert show(decontaminate.annotate(docs, bench, block_words=few)) == show(decontaminate.annotate(docs, bench)) == show(decontaminate.annotate(docs, bench, part_words=20))
+
+
+def test_decontamination_by_a_long_item(spark):
+    n = 250_000
+    text = " ".join(f"Q{i:x}" for i in range(n))
+    bench = spark.createDataFrame([("long", text), (None, "a b"), (None, "c d")], "item_id string, text string")
+    some = " ".join(f"q{i:x}" for i in range(99_990, 100_010))
+    docs = spark.createDataFrame([(1, some), (2, "x a b y"), (3, "q1 q3 q5"), (4, f"a {some[:30]}")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["hit_items"]) for r in decontaminate.annotate(docs, bench).withColumn("n_hit", decontaminate.n_hit()).collect()}
+    assert got == {1: (20, ["long"]), 2: (2, []), 3: (0, []), 4: (0, [])}
