@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyflow.sources import topics
+
 UNKNOWN = "unknown"
 HEADERS = ("domainId", "traceparent", "tracestate", "baggage")
 
@@ -22,9 +24,12 @@ def topic_options(cfg: dict) -> dict[str, str]:
 
 
 def read_raw(spark: SparkSession, cfg: dict, stream: bool = True) -> DataFrame:
-    """Rows of a topic, or of any other format named in cfg (``format``, ``path``, ``schema``, ``options``)."""
+    """Rows of a topic, of one kept as files (``format`` topic_files: path, topic, starting_offsets), or of any other format named in cfg (``format``, ``path``, ``schema``, ``options``)."""
     reader = spark.readStream if stream else spark.read
     fmt = cfg.get("format", "kafka")
+    if fmt == topics.NAME:
+        options = {"path": cfg["path"], "topic": cfg.get("topic", ""), "startingOffsets": cfg.get("starting_offsets", "earliest")} | cfg.get("options", {})
+        return reader.format(topics.registered(spark)).options(**options).load()
     if fmt == "kafka":
         return reader.format(fmt).options(**topic_options(cfg)).load()
     reader = reader.format(fmt).options(**cfg.get("options", {}))
