@@ -124,9 +124,9 @@ def _(s, d):
     return m.select("event_id", "message.id", "message.code", F.coalesce(F.size("message.d"), F.lit(0)).alias("n_d"), (F.size("errors") > 0).alias("bad"))
 
 
-@query("xml_single_or_list", "select event_id, case when event_id % 2 = 0 then 'a' else 'a,b' end as items from events where event_id % 7 <> 0")
+@query("xml_single_or_list", "select event_id, case when event_id % 7 = 0 then null when event_id % 2 = 0 then 'a' else 'a,b' end as items from events")
 def _(s, d):
-    return P.parse_xml(xml(s, d), "d array<string>").where("size(errors) = 0").select("event_id", F.array_join("message.d", ",").alias("items"))
+    return P.parse_xml(xml(s, d), "d array<string>").select("event_id", F.array_join("message.d", ",").alias("items"))
 
 
 @query("xml_extract_id", "select event_id, case when event_id % 7 <> 0 then event_id::varchar end as id, case when event_id % 7 = 0 then 'malformed or invalid XML' end as error, case when event_id % 7 = 0 then 'malformed or invalid XML' else 'not found' end as missing from events")
@@ -175,9 +175,9 @@ def _(s, d):
     return e.select("event_id", cols["click"], cols["view"], error.alias("error")).select("event_id", F.col("click.k").alias("click_k"), F.col("view.k").alias("view_k"), "error")
 
 
-@query("lines_codec", "select doc_id, len(string_split(regexp_replace(text, '\\n$', ''), chr(10))) as n, text as again from (select doc_id, regexp_replace(text, '\\n$', '') as text from documents where text <> '')")
+@query("lines_codec", "select doc_id, case when coalesce(text, '') = '' then 0 else len(string_split(regexp_replace(text, '\\n$', ''), chr(10))) end as n, regexp_replace(coalesce(text, ''), '\\n$', '') as again from documents")
 def _(s, d):
-    x = t(s, d, "documents").where("text <> ''").withColumn("items", P.decode_lines("text"))
+    x = t(s, d, "documents").withColumn("items", P.decode_lines("text"))
     return x.select("doc_id", F.size("items").cast("long").alias("n"), P.encode_lines("items").alias("again"))
 
 
@@ -187,11 +187,10 @@ def _(s, d):
     return e.withColumn("c", P.decode_log("raw")).select("event_id", "c.type", F.array_join("c.path", ".").alias("path"), "c.value")
 
 
-@query("out_explode", "select conv_id, turn - lo as out_at, role as record from (select *, row_number() over (partition by conv_id order by turn) - 1 - turn + turn as n, min(turn) over (partition by conv_id) as lo from conversations) where turn - lo = n")
+@query("out_explode", "select conv_id, (row_number() over (partition by conv_id order by turn, role) - 1)::bigint as out_at, turn, role as record from conversations")
 def _(s, d):
-    c = t(s, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("o")).select("conv_id", F.col("o.role").alias("out"), F.col("o.turn").alias("turns"))
-    x = P.explode_out(c)
-    return x.where(F.expr("get(turns, out_at) - get(turns, 0) = out_at")).select("conv_id", F.col("out_at").cast("long").alias("out_at"), "record")
+    c = t(s, d, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("out"))
+    return P.explode_out(c).select("conv_id", F.col("out_at").cast("long").alias("out_at"), "record.turn", F.col("record.role").alias("record"))
 
 
 CONFIGS = [("view:0", "view"), ("view:1", "view"), ("all:0", "click"), ("all:1", "purchase"), ("all:2", "signup")]
@@ -565,10 +564,10 @@ def failed(s, d):
     return R.schedule_retries(r, s.createDataFrame(STAGES, "retry int, timeout_ms long, jitter_ms long"), 100)
 
 
-@query("retry_schedule", "select event_id, retries > 2 as give_up, case when retries <= 2 then acquired_ms + 500 * (1 << retries) end as least_ms from (select event_id, epoch_us(ts) // 1000 as acquired_ms, least(row_number() over (partition by user_id order by ts, event_id) - 1, 3) as retries from events where event_type = 'error')")
+@query("retry_schedule", "select event_id, retries > 2 as give_up, case when retries <= 2 then acquired_ms + 500 * (1 << retries) end as least_ms, true as within from (select event_id, epoch_us(ts) // 1000 as acquired_ms, least(row_number() over (partition by user_id order by ts, event_id) - 1, 3) as retries from events where event_type = 'error')")
 def _(s, d):
     base = F.when(~F.col("give_up"), F.col("acquired_ms") + 500 * F.pow(F.lit(2), F.col("retries")).cast("long"))
-    return failed(s, d).where(F.col("give_up") | F.col("due_ms").between(base, base + 100)).select("event_id", "give_up", base.alias("least_ms"))
+    return failed(s, d).select("event_id", "give_up", base.alias("least_ms"), (F.col("give_up") | F.col("due_ms").between(base, base + 100)).alias("within"))
 
 
 @query("retry_dedupe", "select user_id::varchar as domain_id, 1::bigint as n from events where event_type = 'error' group by user_id")
@@ -631,9 +630,9 @@ def _(s, d):
     return M.throughput(t(s, d, "events"), "ts")
 
 
-@query("quantile_summary", "select q, round(avg(v), 4) as avg, round(max(v), 4) as max from (select user_id % 4 as k, 'p50' as q, quantile_cont(value, 0.5) as v from events group by all union all select user_id % 4, 'p95', quantile_cont(value, 0.95) from events group by all) group by q")
+@query("quantile_summary", "select q, round(avg(v), 4) as avg, round(max(v), 4) as max from (select user_id % 4 as k, 'p50' as q, quantile_cont(greatest(0, value), 0.5) as v from events group by all union all select user_id % 4, 'p95', quantile_cont(greatest(0, value), 0.95) from events group by all) group by q")
 def _(s, d):
-    each = M.latency_quantiles(t(s, d, "events").withColumn("k", F.col("user_id") % 4).where("value >= 0"), "k", "value")
+    each = M.latency_quantiles(t(s, d, "events").withColumn("k", F.col("user_id") % 4), "k", "value")
     return M.quantile_summary(each.select(F.expr("stack(2, 'p50', p50, 'p95', p95) as (q, v)")), "q", "v").select("q", F.round("avg", 4).alias("avg"), F.round("max", 4).alias("max"))
 
 
