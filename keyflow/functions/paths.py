@@ -25,36 +25,58 @@ def parse_xml(df: DataFrame, schema: str, raw: str = "raw_value", xsd: str | Non
     return parsed.select("*", F.when(~bad, F.col("__m").dropFields("__bad")).alias("message"), F.when(bad, F.array(F.lit(MALFORMED))).otherwise(F.expr("cast(array() as array<string>)")).alias("errors")).drop("__m")
 
 
-@F.arrow_udf(T.BooleanType())
-def well_formed(raw: pa.Array) -> pa.Array:
-    """Whether a text is one whole XML document without a document type. from_xml stops at the end of the root and does not see what follows."""
+def _first(text: str, path: list[str]) -> tuple[str | None, str | None]:
+    """(text, error) of the first element below each other as in path, with others between, in one parse of a whole document."""
+    parser, open_, inside, found = expat.ParserCreate("utf-8"), [], 0, None
 
     def refused(*_):
         raise ValueError("document type")
 
-    def ok(text: str) -> bool:
-        parser = expat.ParserCreate("utf-8")
-        parser.StartDoctypeDeclHandler = refused
-        try:
-            parser.Parse(text.encode(), True)
-        except (expat.ExpatError, ValueError):
-            return False
-        return True
-
-    return pa.array([None if x is None else ok(x) for x in raw.to_pylist()], pa.bool_())
+    def start(name: str, _: dict) -> None:
+        nonlocal inside, found
+        open_.append(name.rpartition(":")[2])
+        if inside:
+            inside += 1
+        elif found is None and open_[-1] == path[-1]:
+            above = iter(open_)
+            if all(p in above for p in path):
+                inside, found = 1, []
+
+    def end(_: str) -> None:
+        nonlocal inside
+        open_.pop()
+        inside -= inside > 0
+
+    def chars(data: str) -> None:
+        if inside:
+            found.append(data)
+
+    parser.StartDoctypeDeclHandler = refused
+    if path:
+        parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, chars
+    try:
+        parser.Parse(text.encode(), True)
+    except (expat.ExpatError, ValueError):
+        return None, "no path" if not path else MALFORMED
+    if not path:
+        return None, "no path"
+    value = "".join(found or ()).strip(" ")
+    return (value, None) if value else (None, "not found" if found is None else "empty")
 
 
 def extract_id(raw: str, path: list[str]) -> Column:
     """Struct (id, error): trimmed text of the first match of an element path in XML text, elements between allowed.
 
-    XPath fails the whole query on text that is not XML, so it is given none of it: such a row has an error of its own.
+    Names are compared without prefixes. Each text is parsed once, to its end, so what is not one whole document without a
+    document type has an error of its own.
     """
-    nothing = F.col(raw).isNull() | (F.trim(raw) == "")
-    good = well_formed(F.col(raw))
-    xml, at = F.when(good & ~nothing, F.col(raw)), F.lit("//" + "//".join(path) if path else "/*")
-    found = F.trim(F.xpath_string(xml, at))
-    error = F.when(nothing, "no xml").when(F.lit(not path), "no path").when(~good, MALFORMED).when(~F.xpath_boolean(xml, at), "not found").when(found == "", "empty")
-    return F.struct(F.when(error.isNull(), found).alias("id"), error.alias("error"))
+
+    @F.arrow_udf(T.StructType().add("id", "string").add("error", "string"))
+    def found(texts: pa.Array) -> pa.Array:
+        rows = [_first(x, path) if x is not None and x.strip(" ") else (None, "no xml") for x in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["id", "error"])
+
+    return found(F.col(raw))
 
 
 def at_path(value: Column, path: list[str]) -> Column:

@@ -74,6 +74,11 @@ def attempted(kept: Column, kind: T.DataType | str) -> Column:
     return F.from_json(F.decode(kept, "utf-8"), f"struct<v: {name}>", _KEPT)["v"]
 
 
+def with_rule_input(df: DataFrame, columns: list[str], prefix: str = "input_") -> DataFrame:
+    """df with the message and the state that rules are about to see under names of their own; rows do not change, so no copy is made."""
+    return df.withColumns({f"{prefix}{c}": F.col(c) for c in columns})
+
+
 def eval_each(df: DataFrame, compiled: dict[str, Column], data: str = "data", key: str = "rule_key") -> DataFrame:
     """As eval_rules, with stage and errors: a row whose rule fails keeps its data and has the stage and a text; others have null and no errors."""
     kind, kept = df.schema[data].dataType, F.lit(None).cast("binary")

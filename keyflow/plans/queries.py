@@ -132,8 +132,7 @@ def _(s, d):
 @query("xml_extract_id", "select event_id, case when event_id % 7 <> 0 then event_id::varchar end as id, case when event_id % 7 = 0 then 'malformed or invalid XML' end as error, case when event_id % 7 = 0 then 'malformed or invalid XML' else 'not found' end as missing from events")
 @query("xml_extract_id_all", "select event_id, case when event_id % 7 <> 0 then event_id::varchar end as id, case when event_id % 7 = 0 then 'malformed or invalid XML' end as error, case when event_id % 7 = 0 then 'malformed or invalid XML' else 'not found' end as missing from events")
 def _(s, d):
-    plain = xml(s, d).withColumn("raw_value", F.regexp_replace("raw_value", "(?<=[</])m:| xmlns:m=\"u\"", ""))
-    rows = plain.select("event_id", P.extract_id("raw_value", ["MPE", "id"]).alias("x"), P.extract_id("raw_value", ["MPE", "nope"]).alias("y"))
+    rows = xml(s, d).select("event_id", P.extract_id("raw_value", ["MPE", "id"]).alias("x"), P.extract_id("raw_value", ["MPE", "nope"]).alias("y"))
     return rows.select("event_id", "x.id", "x.error", F.col("y.error").alias("missing"))
 
 
@@ -498,10 +497,12 @@ def _(s, d):
     return R.split(records(s, d))["value"].groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("remember_rule_input", "select event_id, event_type as rule_input, 'seen ' || event_type as data from events")
+@query("remember_rule_input", "select event_id, event_type as input_data, last_value(case when event_type = 'purchase' then value end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as input_state_bought, case when event_type = 'error' then event_type else 'seen ' || event_type end as data, case when event_type = 'error' then 'ValueEnvelope.map' end as stage from events")
 def _(s, d):
-    rows = t(s, d, "events").withColumns({"data": F.col("event_type"), "rule_input": F.col("event_type"), "rule_key": F.lit("k")})
-    return RU.eval_rules(rows, {"k": F.concat(F.lit("seen "), F.col("data"))}).select("event_id", "rule_input", "data")
+    """Message and state as they were before the rule, also of rows whose rule fails."""
+    e = t(s, d, "events").withColumns({"data": F.col("event_type"), "rule_key": F.lit("k"), "bought": F.when(F.col("event_type") == "purchase", F.col("value"))})
+    rows = RU.with_rule_input(S.running_state(e, "user_id", ["ts", "event_id"], ["bought"]), ["data", "state_bought"])
+    return RU.eval_each(rows, {"k": F.expr("if(data = 'error', raise_error('failed'), concat('seen ', data))")}).select("event_id", "input_data", "input_state_bought", "data", "stage")
 
 
 @query("split_kinds", f"select kind, count(*) as n from {REC} group by kind")
