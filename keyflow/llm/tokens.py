@@ -36,13 +36,23 @@ OTHER_SPACE = re.compile(r"[^\S\n]")
 MAGIC = b"KFTOKEN1"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones themselves, others from 256 on, in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(sorted(set(range(256)).difference(plain)))}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordTokenizer:
     """Encodes texts with the tokenizers library, once for each unit of a bounded cache.
 
     A byte-level pre-tokenizer never joins what stands before a single blank or line end with what stands behind it, so
     a text is units one after another: a word with the blank before it, or a line end and the word behind it. Other
-    tokenizers, texts with other runs of white space, or with a special token in a unit, are encoded whole. New units
-    are encoded together, with line ends between them.
+    tokenizers, texts with other runs of white space, or with a special token in a unit, are encoded whole. A new unit of
+    letters alone is one part to the pre-tokenizer, so it goes to the library's model as it is; other new units are
+    encoded together, with line ends between them.
     """
 
     def __init__(self, path: str):
@@ -60,13 +70,13 @@ class WordTokenizer:
         self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_units = self.by_units and len(self.line_end) == 1
         self.tails = dict(zip(TAILS, self._ids(list(TAILS)), strict=True))
+        self.end = np.array(self.line_end, self.wide).tobytes()
+        self.model = self.tokenizer.model
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, units: set[str]) -> None:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
         # a mark behind a letter or digit starts a part of its own
         marked = [u for u in units if u[-1:] in self.tails and u[-2:-1].isalnum()]
         units = units.difference(marked) | {u[:-1] for u in marked}
@@ -83,7 +93,9 @@ class WordTokenizer:
             self.cache.update(dict.fromkeys(bad, False))
             others = sorted(set(others).difference(bad))
             self.cache.update(zip(others, self._ids([u if u[0] == "\n" else " " + u for u in others]), strict=True))
-        end, k, plain = np.array(self.line_end, self.wide).tobytes(), self.wide.itemsize, list(units)
+        letters = [u for u in units if u.isalpha() or u[0] == "\n" and u[1:].isalpha()]
+        self.cache.update(zip(letters, map(self._of_letters, letters), strict=True))
+        end, k, plain = self.end, self.wide.itemsize, list(units.difference(letters))
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
             text = "\n".join([u[1:] if u[0] == "\n" else " " + u for u in some])
@@ -95,35 +107,50 @@ class WordTokenizer:
             ids = self.cache[u[:-1]]
             self.cache[u] = ids + self.tails[u[-1]] if ids else False
 
+    def _of_letters(self, unit: str) -> bytes:
+        head, part = (self.end, unit[1:]) if unit[0] == "\n" else (b"", " " + unit)
+        part = part.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return head + array(self.code, [t.id for t in self.model.tokenize(part)]).tobytes()
+
     @staticmethod
     def units(text: str) -> list[str]:
         return ("\n" + text.replace("\n", " \n")).split(" ")
 
-    def meet(self, texts: list[str | None]) -> list[list[str]]:
-        """The units of texts, of which the new ones are learnt together."""
-        if not self.by_units:
-            return [[] for _ in texts]
-        units = [self.units(text) if text else [] for text in texts]
-        self._learn(set(itertools.chain.from_iterable(units)) - self.cache.keys())
-        return units
-
-    def encode(self, text: str | None, units: list[str] | None = None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_units:
-            return self._ids([text])[0]
-        units = units or self.units(text)
-        parts = list(map(self.cache.get, units))
-        if None in parts:
-            self._learn({u for u, p in zip(units, parts, strict=True) if p is None})
-            parts = list(map(self.cache.get, units))
-            if None in parts:  # the cache was emptied
-                return self._ids([text])[0]
+    def _joined(self, text: str, parts: list[bytes | bool | None]) -> bytes:
         try:
             return b"".join(parts)[self.wide.itemsize :]
-        except TypeError:  # a unit that is none of its own
+        except TypeError:  # a unit that is none of its own, or that the cache has lost
             return self._ids([text])[0]
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text. Units are looked up once; those that are new are learnt together, and their texts looked up again."""
+        if not self.by_units:
+            return [self._ids([text])[0] if text else b"" for text in texts]
+        get, out, again, new = self.cache.get, [], [], set()
+        for text in texts:
+            if not text:
+                out.append(b"")
+                continue
+            units = self.units(text)
+            parts = list(map(get, units))
+            if None in parts:
+                new.update(u for u, p in zip(units, parts, strict=True) if p is None)
+                again.append((len(out), text, units))
+                out.append(b"")
+            else:
+                out.append(self._joined(text, parts))
+        if again:
+            if len(self.cache) > CACHE_WORDS:
+                self.cache.clear()
+                new.update(u for _, _, units in again for u in units)
+            self._learn(new)
+            for at, text, units in again:
+                out[at] = self._joined(text, list(map(get, units)))
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
+
 
 def tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker, which Spark uses again for other tasks."""
@@ -145,7 +172,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = part.column(1).to_pylist()
-                ids = [t.encode(x, units) + end for x, units in zip(texts, t.meet(texts), strict=True)]
+                ids = [x + end for x in t.encode_all(texts)]
                 seen = np.bincount(np.frombuffer(b"".join(ids), t.wide), minlength=len(total))
                 seen[: len(total)] += total
                 total = seen
