@@ -1,10 +1,12 @@
 """License scan: exact set-similarity join between license notices and the text blocks of documents.
 
-A text block is a line, or up to ``WRAP`` adjacent lines of ``WRAP_WORDS`` words together, as notices are often wrapped.
-Notices that differ in a word or two have words that a block needs or must not have. Tokens of notices are ordered by their frequency in the whole corpus, rarest first. A block
+A text block is a run of words, wherever lines end: for a notice of n words every run of up to ``SPREAD`` * n of a text's
+words is one. Notices that differ in a word or two have words that a block needs or must not have; a block ends where
+such a word would come in. Tokens of notices are ordered by their frequency in the whole corpus, rarest first. A block
 can only hold ``need = ceil(threshold * size)`` of a notice's tokens if it holds one of its first
-``size - need + 1``, so these prefix tokens are the join key; a length and a positional bound drop pairs that cannot
-reach ``need``, and what is left is verified exactly.
+``size - need + 1``, so these prefix tokens are the join key: around each place where one stands, the words that a block
+could reach are looked at. A length and a positional bound drop places that cannot reach ``need``, and of what is left
+each block that begins with one of the notice's tokens is verified exactly.
 
 Only the notices' own tokens can match, so all others share the front of the order and need no count: the frequency
 table has a row for each token of the notices, however large the corpus. (Arrays are exploded by the outer form: for
@@ -55,8 +57,8 @@ NOTICES = {
 NEEDED = {"lgpl-3.0": ["lesser"], "agpl-3.0": ["affero"], "cc-by-4.0": ["by"], "cc-by-nc-4.0": ["nc"], "cc-by-sa-4.0": ["sa"]}
 BARRED = {"gpl-3.0": ["affero", "lesser"], "lgpl-3.0": ["affero"], "agpl-3.0": ["lesser"], "cc-by-4.0": ["nc", "nd", "sa"], "cc-by-nc-4.0": ["nd", "sa"], "cc-by-sa-4.0": ["nc", "nd"]}
 THRESHOLD = 0.9
-#: A notice may be wrapped over so many lines, which have so many words together at most (twice the longest notice's).
-WRAP, WRAP_WORDS = 4, 40
+#: A block has so many times a notice's words at most.
+SPREAD = 2
 
 
 def words_of(text: str) -> Column:
@@ -80,8 +82,9 @@ def token_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
 
 
 def find_notices(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows (doc_id, text, line, label, containment): each line (from 0) from which on a block holds at least
-    ``threshold`` of a notice's tokens. text is a hash of the row's text, which tells rows of one doc_id apart.
+    """Rows (doc_id, text, label, word, containment): where (words from 0) the first block begins that holds at least
+    ``threshold`` of a notice's tokens, and the most that a block holds. text is a hash of the row's text, which tells rows
+    of one doc_id apart.
 
     docs: doc_id, text.
     """
@@ -91,40 +94,36 @@ def find_notices(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold:
     counts = token_frequencies(docs, vocabulary)
     order = sorted(vocabulary, key=lambda w: (counts[w], w))
     rank = {w: i for i, w in enumerate(order)}
-    index = []
+    index, longest = [], max(SPREAD * len(n.split()) for n in notices.values())
     for label, words in sets.items():
         words = sorted(words, key=rank.get)
         need = math.ceil(threshold * len(words) - 1e-9)
         more = ([rank[x] for x in NEEDED.get(label, []) if x in words], [rank[x] for x in BARRED.get(label, []) if x not in words])
-        index += [(rank[w], label, i, len(words), need, [rank[x] for x in words], *more) for i, w in enumerate(words[: len(words) - need + 1])]
-    prefix = spark.createDataFrame(index, "token int, label string, at int, size int, need int, ranks array<int>, needed array<int>, barred array<int>")
-    keys = sorted({order[r[0]] for r in index})
+        index += [(rank[w], label, i, len(words), need, SPREAD * len(notices[label].split()), [rank[x] for x in words], *more) for i, w in enumerate(words[: len(words) - need + 1])]
+    prefix = spark.createDataFrame(index, "token int, label string, at int, size int, need int, reach int, ranks array<int>, needed array<int>, barred array<int>")
+    keys = _quoted(sorted({order[r[0]] for r in index}))
     ranks = "map_from_arrays(" + _quoted(order) + ", sequence(0, " + str(len(order) - 1) + "))"
-    least = min(r[4] for r in index)
-    run = f"named_struct('line', i, 'block', array_join(slice(lines, i + 1, k), ' '))"
-    short = f"k = 1 or i + k <= size(lines) and aggregate(slice(n, i + 1, k), 0, (a, x) -> a + x) <= {WRAP_WORDS}"
-    runs = f"flatten(transform(sequence(0, size(lines) - 1), i -> transform(filter(sequence(1, if(n[i] between 1 and {WRAP_WORDS}, {WRAP}, 1)), k -> {short}), k -> {run})))"
-    blocks = (
-        docs.where(F.arrays_overlap(words_of("text"), F.array(*map(F.lit, keys))))
-        .select("doc_id", F.xxhash64("text").alias("text"), F.split("text", "\n").alias("lines"))
-        .withColumn("n", F.expr(f"transform(lines, x -> regexp_count(x, '{WORD_SQL}'))"))
-        .select("doc_id", "text", F.explode_outer(F.expr(runs)).alias("b"))
-        .select("doc_id", "text", "b.line", "b.block")
-        .where(F.arrays_overlap(words_of("block"), F.array(*map(F.lit, keys))))
-        .select("doc_id", "text", "line", F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("block")), F.lit(WORD), F.lit(0))).alias("words"))
-        .withColumn("ranks", F.expr(f"array_sort(filter(transform(words, w -> {ranks}[w]), r -> r is not null))"))
-        .where(F.size("ranks") >= least)
-        .select("doc_id", "text", "line", "ranks", F.posexplode_outer("ranks").alias("block_at", "token"))
+    low = f"greatest(i - {longest - 1}, 0)"
+    near = f"filter(transform(slice(words, {low} + 1, i - {low} + {longest}), (w, k) -> named_struct('pos', {low} + k, 'rank', {ranks}[w])), x -> x.rank is not null)"
+    places = f"transform(filter(transform(words, (w, i) -> if(array_contains({keys}, w), i, null)), i -> i is not null), i -> named_struct('hit', i, 'token', {ranks}[words[i]], 'near', {near}))"
+    rows = (
+        docs.select("doc_id", F.xxhash64("text").alias("text"), words_of("text").alias("words"))
+        .where(F.expr(f"arrays_overlap(words, {keys})"))
+        .select("doc_id", "text", F.explode_outer(F.expr(places)).alias("p"))
+        .select("doc_id", "text", "p.hit", "p.token", "p.near")
+        .join(F.broadcast(prefix), "token")  # a few rows for each notice
+        .withColumn("near", F.expr("filter(near, x -> x.pos > hit - reach and x.pos < hit + reach and (array_contains(ranks, x.rank) or array_contains(barred, x.rank)))"))
     )
-    left = F.least(F.col("size") - F.col("at"), F.size("b.ranks") - F.col("block_at"))
-    found = (
-        blocks.alias("b")
-        .join(F.broadcast(prefix.alias("p")), "token")  # a few rows for each notice
-        .where((F.size("b.ranks") >= F.col("need")) & (left >= F.col("need") - F.col("at")))
-        .withColumn("overlap", F.size(F.array_intersect("b.ranks", "p.ranks")))
-        .where((F.col("overlap") >= F.col("need")) & ~F.arrays_overlap("b.ranks", "barred") & (F.size(F.array_except("needed", "b.ranks")) == 0))
-    )
-    return found.groupBy("doc_id", "text", "line", "label").agg(F.max(F.col("overlap") / F.col("size")).alias("containment"))
+    own = "array_distinct(transform(filter(near, x -> array_contains(ranks, x.rank)), x -> x.rank))"
+    rows = rows.where(F.expr(f"size({own}) >= need and size(filter({own}, r -> r >= token)) >= need - at"))
+    # a block that begins at b ends at its reach, or before the first word that it must not have
+    end = "least(b.pos + reach, coalesce(array_min(transform(filter(near, x -> x.pos > b.pos and array_contains(barred, x.rank)), x -> x.pos)), b.pos + reach))"
+    begins = "filter(near, b -> b.pos <= hit and b.pos > hit - reach and array_contains(ranks, b.rank))"
+    held = f"transform({begins}, b -> named_struct('pos', b.pos, 'end', {end}))"
+    blocks = f"transform({held}, b -> named_struct('pos', b.pos, 'end', b.end, 'held', array_distinct(transform(filter(near, x -> x.pos >= b.pos and x.pos < b.end), x -> x.rank))))"
+    good = F.expr(f"filter({blocks}, b -> b.end > hit and size(b.held) >= need and size(array_except(needed, b.held)) = 0)")
+    found = rows.select("doc_id", "text", "label", "size", F.explode_outer(good).alias("b")).where("b is not null")
+    return found.groupBy("doc_id", "text", "label").agg(F.min("b.pos").alias("word"), F.max(F.size("b.held") / F.col("size")).alias("containment"))
 
 
 def find_phrases(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFrame:
@@ -141,8 +140,8 @@ def find_phrases(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFram
 
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, threshold: float = THRESHOLD, phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """Per row of docs: doc_id, n_words, hits (see find_phrases), notices: array of (line, label, containment)."""
-    found = find_notices(docs, notices, threshold).groupBy(F.col("doc_id").alias("of"), F.col("text").alias("of_text")).agg(F.array_sort(F.collect_list(F.struct("line", "label", "containment"))).alias("notices"))
+    """Per row of docs: doc_id, n_words, hits (see find_phrases), notices: array of (word, label, containment)."""
+    found = find_notices(docs, notices, threshold).groupBy(F.col("doc_id").alias("of"), F.col("text").alias("of_text")).agg(F.array_sort(F.collect_list(F.struct("word", "label", "containment"))).alias("notices"))
     base = find_phrases(docs, phrases)
     return base.join(found, base["doc_id"].eqNullSafe(found["of"]) & (base["text"] == found["of_text"]), "left").drop("of", "of_text", "text")
 
@@ -166,7 +165,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     word = f"'{WORD}'"
-    lists = ", ".join(f"('{label}', {words!r}, {[w for w in NEEDED.get(label, []) if w in words]!r}::varchar[], {[w for w in BARRED.get(label, []) if w not in words]!r}::varchar[])" for label, words in notice_tokens(NOTICES).items())
+    lists = ", ".join(f"('{label}', {words!r}, {[w for w in NEEDED.get(label, []) if w in words]!r}::varchar[], {[w for w in BARRED.get(label, []) if w not in words]!r}::varchar[], {SPREAD * len(NOTICES[label].split())})" for label, words in notice_tokens(NOTICES).items())
     phrases = " union all ".join(
         f"select doc_id, i - 1 as start, '{label}' as label from w, unnest(range(1, len(words) + 1)) as t(i) where words[i:i + {len(p.split()) - 1}] = {p.split()!r}"
         for p, label in PHRASES.items()
@@ -176,11 +175,11 @@ with d as (select doc_id, translate(coalesce(text, ''), '{UPPER_}', '{LOWER_}')
 w as (select doc_id, regexp_extract_all(text, {word}) as words from d),
 p as ({phrases}),
 hits as (select doc_id, count(*) as n_base, min(start) as first_word, max(start) as last_word, list_sort(list(distinct label)) as base from p group by doc_id),
-notices as (select * from (values {lists}) as t(label, words, needed, barred)),
-split as (select doc_id, list_transform(string_split(text, chr(10)), lambda x: regexp_extract_all(x, {word})) as lines from d),
-runs as (select doc_id, k, flatten(lines[i:i + k - 1]) as words from split, unnest(range(1, len(lines) + 1)) as t(i), (select unnest(range(1, {WRAP} + 1)) as k) where i + k - 1 <= len(lines)),
-lines as (select doc_id, list_distinct(words) as words from runs where k = 1 or len(words) <= {WRAP_WORDS}),
-found as (select doc_id, label, len(list_intersect(l.words, n.words)) / len(n.words) as share from lines l, notices n where len(list_intersect(l.words, n.words)) >= ceil({THRESHOLD} * len(n.words) - 1e-9) and list_has_all(l.words, n.needed) and not list_has_any(l.words, n.barred)),
+notices as (select * from (values {lists}) as t(label, words, needed, barred, reach)),
+maybe as (select doc_id, w.words as text, n.* from w, notices n where len(list_intersect(w.words, n.words)) >= ceil({THRESHOLD} * len(n.words) - 1e-9)),
+runs as (select doc_id, label, words, needed, barred, text[i:i + reach - 1] as run from maybe, unnest(range(1, len(text) + 1)) as t(i) where list_contains(words, text[i])),
+cut as (select doc_id, label, words, needed, run[1:coalesce(list_min(list_filter(list_transform(barred, lambda x: list_position(run, x)), lambda p: p > 0)), len(run) + 1) - 1] as run from runs),
+found as (select doc_id, label, len(list_intersect(run, words)) / len(words) as share from cut where len(list_intersect(run, words)) >= ceil({THRESHOLD} * len(words) - 1e-9) and list_has_all(run, needed)),
 method as (select doc_id, list(distinct label) as labels, max(share) as share, count(distinct label) as n from found group by doc_id)
 select w.doc_id, len(w.words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
   array_to_string(coalesce(base, []::varchar[]), ',') as base_labels,

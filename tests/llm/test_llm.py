@@ -364,7 +364,7 @@ def test_all_n_best_come_out(spark):
 
 def test_license_labels(spark):
     """Notices that differ in a word are told apart, wrapped ones are found, rows of one doc_id keep their own."""
-    mit = licenses.NOTICES["mit-text"].split()
+    mit, bsd = licenses.NOTICES["mit-text"].split(), licenses.NOTICES["bsd"].split()
     rows = [
         (1, "Licensed under the GNU General Public License version 3"),
         (2, "This work is licensed under the GNU Lesser General Public License version 3"),
@@ -373,9 +373,15 @@ def test_license_labels(spark):
         (5, "Licensed under CC BY 4.0"),
         (6, "intro\n" + "\n".join(" ".join(mit[i : i + 7]) for i in range(0, len(mit), 7)) + "\nend"),
         (6, "nothing"),
+        (7, "\n".join(" ".join(mit[i : i + 4]) for i in range(0, len(mit), 4))),
+        (8, "Licensed under the\nApache License, Version 2.0 " + " ".join(f"w{i}" for i in range(60))),
+        (9, "/*\n * " + "\n * ".join(" ".join(bsd[i : i + 3]) for i in range(0, len(bsd), 3)) + "\n */"),
+        (10, " and ".join(mit)),
+        (11, " and then ".join(mit)),
+        (12, "Licensed under CC BY-NC 4.0. " + "Licensed under CC BY 4.0."),
     ]
     got = sorted((r["doc_id"], sorted({x["label"] for x in r["notices"] or ()})) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    assert got == [(1, []), (2, ["lgpl-3.0"]), (3, ["gpl-3.0"]), (4, ["cc-by-nc-4.0"]), (5, ["cc-by-4.0"]), (6, []), (6, ["mit-text"])]
+    assert got == [(1, []), (2, ["lgpl-3.0"]), (3, ["gpl-3.0"]), (4, ["cc-by-nc-4.0"]), (5, ["cc-by-4.0"]), (6, []), (6, ["mit-text"]), (7, ["mit-text"]), (8, ["apache-2.0"]), (9, ["bsd"]), (10, ["mit-text"]), (11, []), (12, ["cc-by-4.0", "cc-by-nc-4.0"])]
 
 
 def test_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
