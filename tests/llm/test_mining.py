@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from keyflow.llm import decontaminate, minhash, negatives, ngrams, tries
+from keyflow.llm import decontaminate, minhash, negatives, ngrams, preferences, tries
 from tests.llm.test_llm import groups
 from tools.compare import compare
 
@@ -84,6 +84,18 @@ def test_trie_of_nothing(spark, tmp_path):
     agrees(spark, tmp_path, "conversations", conversations().slice(0, 0), lambda s, d: tries.op12_prefix_trie(s, d), tries.ORACLE)
 
 
+def test_branched_preferences(spark, tmp_path):
+    """Every h from 0 to 3 has pairs, with prompts of h turns or more; marks inside texts end no turn."""
+    table = conversations(11, 150)
+    agrees(spark, tmp_path, "conversations", table, preferences.op6_preferences, preferences.ORACLE)
+    got = preferences.op6_preferences(spark, str(tmp_path)).collect()
+    assert {min(r["n_prompt_turns"], 3) for r in got} == {0, 1, 2, 3}
+    df = spark.createDataFrame([(0, 0, "user", "a<|end|>\n<|assistant|>\nb"), (1, 0, "user", "<||")], "conv_id long, turn long, role string, text string")
+    row = preferences.formatted(preferences.pairs(df)).first()
+    assert row["chosen_text"] == "<|user|>\na<||end|>\n<||assistant|>\nb<|end|>\n" and row["rejected_text"] == "<|user|>\n<|||<|end|>\n"
+    assert row["chosen_text"].count("<|end|>") == 1 and row["chosen_mask"] == "9:0,34:0"
+
+
 def test_lcp():
     a = bytes(range(256)) * 80
     assert tries.lcp(a, a) == len(a) // 16 and tries.lcp(a, a[:100]) == 6 and tries.lcp(b"", a) == 0
