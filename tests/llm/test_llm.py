@@ -104,22 +104,44 @@ def test_ngrams_odd(odd, none):
     assert ngrams.classes(none).count() == 0
 
 
+def alike(x: str, y: str) -> bool:
+    """The definition of lines, with its own numbers."""
+    def near(k):
+        s, t = ({z[i : i + k] for i in range(len(z) - k + 1)} for z in (x, y))
+        return bool(s and t) and 100 * len(s & t) >= lines.PERCENT * len(s | t)
+
+    return x == y or near(lines.K) or (max(len(x), len(y)) <= lines.SHORT and near(lines.K_SHORT))
+
+
+def edited(rng, text):
+    """text with a character or a word changed, put in or left out."""
+    if rng.random() < 0.6:
+        at = rng.randrange(len(text))
+        return text[:at] + rng.choice(["", "#", text[at] + "q"]) + text[at + 1 :]
+    words = text.split(" ")
+    words[rng.randrange(len(words))] = rng.choice(["omega", "pi"])
+    return " ".join(words)
+
+
 def test_lines_against_brute_force(spark):
+    """Short and long lines, each with copies of one to three edits: links as by comparing all, but for what bands miss."""
     rng, rows = random.Random(5), []
-    for i in range(60):
-        text = " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(rng.randrange(50)) for _ in range(25))
-        rows.append((i, f"{text}\nshort\n\n  {text[:-1]}z\nunique {i} {rng.random()}"))
-        rows.append((100 + i, text + "!"))
+    vocabulary = [rng.choice("bcdfgklmnprst") + "".join(rng.choice("aeioubcdlmnrst") for _ in range(rng.randrange(1, 8))) for _ in range(400)]
+    for i in range(150):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.choice([2, 3, 4, 5, 6, 8, 12, 16, 20, 30])))
+        copies = [text]
+        for _ in range(3):
+            copies.append(edited(rng, copies[-1]))
+        rows += [(10 * i + k, f"{c}\nshort\n\n  {c} \nunique {i} {k} {rng.random()}" if k == 0 else f"head {rng.random()}\n{c}") for k, c in enumerate(copies)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     all_ = [(d, i, x.strip()) for d, text in rows for i, x in enumerate(text.split("\n")) if x.strip()]
-    sets = [{x[i : i + 8] for i in range(len(x) - 7)} for _, _, x in all_]
-    links = [(a, b) for a, b in itertools.combinations(range(len(all_)), 2) if all_[a][2] == all_[b][2] or (sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))]
+    links = [(a, b) for a, b in itertools.combinations(range(len(all_)), 2) if abs(len(all_[a][2]) - len(all_[b][2])) < 60 and alike(all_[a][2], all_[b][2])]
     members = defaultdict(list)
     for i, g in groups(range(len(all_)), links).items():
         members[g].append(all_[i][:2])
     want = {x for m in members.values() for x in sorted(m)[1:]}
     got = {tuple(r) for r in lines.duplicates(df).collect()}
-    assert got <= want and len(got) >= 0.99 * len(want)
+    assert got <= want and len(want) > 500 and len(got) >= 0.985 * len(want), (len(got), len(want), sorted(got - want)[:3])
 
 
 def test_lines_odd(odd, none):
