@@ -15,15 +15,17 @@ def _print(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch | None = None, name: str = "components") -> DataFrame:
     """Rows (id, component): each id of links (a, b) with the smallest id that it is linked to, however far.
 
+    The rounds' tables go to the caller's scratch, under names that begin with name, and stay as long as it does.
+
     Alternating large-star and small-star steps, which need a number of rounds that grows with the logarithm of the
     longest chain. Every round is written as a table, so lineage stays short and a lost executor costs one round.
     Links are grouped by their smaller or larger end and only minima are kept of a group: no group is collected.
     """
-    scratch = Scratch(links.sparkSession, "components")
-    edges = scratch.write(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "0")
+    scratch = scratch or Scratch(links.sparkSession, "components")
+    edges = scratch.write(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-0")
     old, n = _print(edges), 0
     while True:
         # large star: the larger neighbours of a node are linked to its smallest neighbour
@@ -33,8 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: the smaller neighbours of a node and itself are linked to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = scratch.write(small, str(n + 1))
-        scratch.drop(str(n))
+        edges = scratch.write(small, f"{name}-{n + 1}")
+        scratch.drop(f"{name}-{n}")
         new, n = _print(edges), n + 1
         if new == old:
             break
@@ -96,8 +98,8 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
     spark, sketched = index.sparkSession, "sketch" in about.columns
     of = "sketch" if sketched else "size"
     # min and max instead of a distinct count: both combine before the shuffle and need no sort
-    some = index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket")
-    shared = scratch.write(index.join(some, "bucket", "left_semi").dropDuplicates(["bucket", "node"]), "shared")
+    some = scratch.write(index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket"), "some")
+    shared = scratch.write(semi(index, some, "bucket").dropDuplicates(["bucket", "node"]), "shared")
     none = spark.createDataFrame([], "a long, b long")
     if is_empty(shared):
         return none
@@ -110,7 +112,7 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
     led = known.drop("weight").join(leads, "bucket").withColumn("far", distance("sketch", "lead_sketch") if sketched else F.lit(0))
     able = F.col("far") <= MOST if sketched else fits("size", "lead_size", percent)
     led = scratch.write(led.withColumn("able", able).drop(f"lead_{of}"), "led")
-    scratch.drop("shared", "weight", "mine")
+    scratch.drop("some", "shared", "weight", "mine")
     members = scratch.write(led.where((F.col("node") != F.col("lead")) & (F.col("far") <= FAR)).select("lead", "node", "able").distinct(), "members")
     star = members.where("able").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
     links, parts, deltas = none, None, None
@@ -118,7 +120,7 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
         verify, deltas = verifier(members.select("node").union(members.select("lead")).distinct())
         links = scratch.write(verify(star), "star-links")
     if not is_empty(links):
-        parts = scratch.write(components(links), "parts")
+        parts = components(links, scratch, "parts")
 
     def component(df: DataFrame, node: str, name: str) -> DataFrame:
         if parts is None:

@@ -38,6 +38,8 @@ _EMPTY = np.uint64((1 << 64) - 1)
 _RANDOM = np.random.Generator(np.random.PCG64(20240611))
 _PLACES = _RANDOM.integers(0, BINS, (64, BINS))
 _SALT = _RANDOM.integers(0, 1 << 63, BINS, dtype=np.uint64)
+#: How much of what goes is broadcast.
+GONE_ROWS, GONE_NUMBERS = 300_000, 4_000_000
 SPACES = "\t\n\x0b\x0c\r "
 
 
@@ -228,13 +230,15 @@ def duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def links_of(lines: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between nodes of line_table(), as many as components need."""
+    made: list[str] = []
     node = F.col("node").bitwiseOR(F.when(F.col("set.kind") == K_SHORT, 1).otherwise(0).cast("long"))
     sets = lines.select("node", F.explode_outer("sets").alias("set")).where("set is not null").withColumn("node", node)
     index = sets.select(F.explode_outer("set.bands").alias("bucket"), "node").where("bucket is not null")
     about = sets.select("node", F.struct("set.low", "set.high").alias("sketch"))
 
     def verifier(nodes: DataFrame):
-        texts = Scratch(lines.sparkSession, "line-texts").write(line_texts(lines, nodes), "texts")
+        made.append(f"texts-{len(made)}")
+        texts = scratch.write(line_texts(lines, nodes), made[-1])
 
         def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
             return pairs.join(texts.select(F.col("node").alias(a), F.col("text").alias("x")), a).join(texts.select(F.col("node").alias(b), F.col("text").alias("y")), b).select(a, b, "x", "y")
@@ -246,19 +250,21 @@ def links_of(lines: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
 
 def not_staying(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """duplicates() with own(), by which rows of one doc_id are told apart."""
-    scratch = Scratch(docs.sparkSession, "lines")
+    """duplicates() with own(), by which rows of one doc_id are told apart. All tables on the way to this one are dropped."""
+    stays, scratch = Scratch(docs.sparkSession, "lines-gone"), Scratch(docs.sparkSession, "lines")
     lines = scratch.write(line_table(docs), "lines")
-    links = links_of(lines, percent, Scratch(docs.sparkSession, "line-pairs"))
+    links = links_of(lines, percent, scratch)
     each = lines.select("doc_id", "own", "line", "key", "node")
     if is_empty(links):
         grouped = each.withColumn("group", F.col("key"))
     else:
-        of = components(links).select(F.col("id").alias("node"), "component")
+        of = components(links, scratch).select(F.col("id").alias("node"), "component")
         grouped = with_few(each, of, "node", "left").withColumn("group", F.coalesce(F.col("component").cast("string").cast("binary"), "key"))
     at = F.struct("doc_id", "own", "line")
     first = grouped.groupBy("group").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("group", "first")
-    return grouped.join(first, "group").where(at != F.col("first")).select("doc_id", "own", "line").distinct()
+    gone = stays.write(grouped.join(first, "group").where(at != F.col("first")).select("doc_id", "own", "line").distinct(), "gone")
+    scratch.drop()
+    return gone
 
 
 def kept_text(text: str, dropped: str) -> Column:
@@ -269,6 +275,9 @@ def kept_text(text: str, dropped: str) -> Column:
 def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with their lines of duplicates() taken out of text, and dropped, the numbers of these (null: none)."""
     gone = not_staying(docs, percent).groupBy(F.col("doc_id").alias("__of"), F.col("own").alias("__own")).agg(F.array_sort(F.collect_list("line")).alias("dropped"))
+    n, numbers = gone.agg(F.count(F.lit(1)), F.sum(F.size("dropped"))).first()
+    if n <= GONE_ROWS and (numbers or 0) <= GONE_NUMBERS:
+        gone = F.broadcast(gone)  # so the texts need no shuffle; 24 bytes a row and 4 a number
     rest = docs.drop("dropped")
     both = rest.join(gone, rest["doc_id"].eqNullSafe(gone["__of"]) & (own() == gone["__own"]), "left").drop("__of", "__own")
     return both.withColumn("text", kept_text("text", "dropped"))

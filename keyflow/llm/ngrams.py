@@ -201,7 +201,7 @@ def joined(docs: DataFrame, rows: DataFrame, n: int, percent: int, screen: Calla
     links = linked(index, about, percent, verifier, scratch)
     told = found.select("doc_id", "key", F.col("size").cast("long").alias("n_shingles")).join(nodes, "key", "left")
     if not is_empty(links):
-        told = told.join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
+        told = told.join(components(links, scratch).withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))
     out = stays.write(told.select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("component_id")), "classes")
     scratch.drop()
     return out
