@@ -233,3 +233,43 @@ def test_a_quiet_source(spark, tmp_path, policy, closed):
     assert bool(got) == closed
     with pytest.raises(ValueError, match="min or max"):
         logs.with_policy(spark, "mean")
+
+
+def test_rules_that_fail(spark):
+    """Every kind of value survives being attempted; a failing row keeps its data; a rule of another type is refused."""
+    from keyflow.operators import rules
+
+    df = spark.createDataFrame([(1, "a", 0), (2, "b", 1), (3, None, 2), (4, "none", 3)], "i int, rule_key string, d int")
+    kinds = {"timestamp": "timestamp'2024-01-02 03:04:05.123456'", "date": "date'2024-01-02'", "decimal(20,4)": "cast(1.2345 as decimal(20,4))", "double": "cast('NaN' as double)", "binary": "cast('x\\u00fc' as binary)", "map<string,int>": "map('k', cast(null as int))", "array<struct<x:int>>": "array(named_struct('x', 1))", "string": "'q\"uo\\'te'", "boolean": "true", "bigint": "9007199254740993"}
+    for kind, text in kinds.items():
+        rows = df.withColumn("data", F.lit(None).cast(kind))
+        compiled = rules.compile_rules(spark, {"a": f"if(1 div d > 0, {text}, null)", "b": text}, rows.schema, kind)
+        got = {r["i"]: r for r in rules.eval_each(rows, compiled).collect()}
+        want = spark.sql(f"select {text} as x").first()["x"]
+        assert str(got[2]["data"]) == str(want) and got[2]["stage"] is None and got[2]["errors"] == [], kind
+        assert (got[1]["data"], got[1]["stage"], got[1]["errors"]) == (None, rules.RULE_STAGE, [f"{rules.RULE_TEXT}rule a failed"])
+        assert got[3]["stage"] is None and got[4]["stage"] is None
+    with pytest.raises(ValueError, match="a: the result is of type int, not string"):
+        rules.compile_rules(spark, {"a": "1", "b": "null", "c": "'x'"}, df.schema, "string")
+
+
+def test_running_totals_over_days(spark):
+    from keyflow.operators import metrics
+
+    rows = [(i, i * 7000) for i in range(200)]
+    df = spark.createDataFrame(rows, "n long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    out = metrics.running_totals(df, "ts", ["n"]).orderBy("ts").collect()
+    assert [r["total_n"] for r in out] == [sum(range(i + 1)) for i in range(200)]
+    plan = metrics.running_totals(df, "ts", ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__day" in plan
+
+
+def test_sketches_merge(spark):
+    from keyflow.operators import metrics
+
+    df = spark.range(100_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 50).alias("part"), (F.col("id") - 10).cast("double").alias("ms"))
+    got = {r["k"]: r for r in metrics.merged_quantiles(metrics.latency_sketches(df, ["k", "part"], "ms"), ["k"]).collect()}
+    assert sum(r["n"] for r in got.values()) == 100_000
+    for r in got.values():
+        for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            assert abs(r[name] / 100_000 - q) < metrics.RANK_ERROR
