@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyflow.llm.common import Scratch, is_empty
 
 #: Sketches of 128 bits: the most bits that differ in a candidate pair, and in nodes that count as close to and far from a leader.
 MOST, CLOSE, FAR = 30, 15, 45
+#: Of a leader with so many members or fewer, each two are looked at by their marks; beyond that, differences are joined.
+GROUP = 128
 
 
 def _print(edges: DataFrame):
@@ -71,7 +74,23 @@ def fits(n_a: str, n_b: str, percent: int) -> Column:
     return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
 
 
-def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch: Scratch) -> DataFrame:
+def odd_bits(rows: np.ndarray, hashes: np.ndarray, n: int, words: int) -> np.ndarray:
+    """For each of n sets, 64 * words bits (int64, n x words): whether it has an odd number of elements at that place.
+
+    hashes are the sets' distinct elements, rows the set of each. Two sets differ in as many elements as bits, or more.
+    """
+    size = 64 * words
+    odd = np.bincount(rows.astype(np.int64) * size + (hashes.view(np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=n * size) & 1
+    return np.packbits(odd.reshape(n, size).astype(np.uint8), axis=1).view(np.int64)
+
+
+def may_link(x: str, y: str, words: int, percent: int) -> Column:
+    """Whether two sets can meet the threshold by size and odd_bits(). No pair that meets it is left out."""
+    bits = F.expr(" + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(words)))
+    return fits(f"{x}.size", f"{y}.size", percent) & ((100 + percent) * bits <= (100 - percent) * (F.col(f"{x}.size") + F.col(f"{y}.size")))
+
+
+def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch: Scratch, words: int) -> DataFrame:
     """All links (a, b) that the components of an exact similarity need, without pairs that they make needless.
 
     index: bucket, node; similar nodes share a bucket. about: node and the size of its set, or a sketch (low, high) of it;
@@ -86,39 +105,46 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
        one order of all elements, a like pair shares one of the first few of dx and dy (prefix and positional filter).
        The order is by how many members of L have the element in their difference, rarest first: of a group of near
        copies, first come those that each has of its own. So a group whose members all differ from its leader gives few
-       pairs, however large it is.
+       pairs, however large it is. Of a leader with ``GROUP`` members or fewer each two are looked at instead.
     3. With sketches, only pairs that differ in ``MOST`` bits or fewer are candidates. Nodes far from their leader are
        held against others of the bucket that are not close to it; by the triangle inequality of the number of bits no
        close one can be a candidate. Step 2 has the rest.
 
-    verifier(nodes) prepares what is needed to compare any of these nodes and returns two functions: one keeps the
-    linked ones of pairs (a, b), one gives for pairs (lead, node) the rows (lead, node, lead_size, size, elements), the
-    elements of the difference.
+    Pairs are compared only if size and odd_bits() of their sets allow a link, which drops none that is one.
+
+    verifier(nodes) prepares what is needed to compare any of these nodes and returns two functions and a table: one keeps
+    the linked ones of pairs (a, b), one gives for pairs (lead, node) the rows (lead, node, lead_size, size, elements), the
+    elements of the difference. The table has node, size of its set and bits, its odd_bits() of so many words.
     """
     spark, sketched = index.sparkSession, "sketch" in about.columns
     of = "sketch" if sketched else "size"
-    # min and max instead of a distinct count: both combine before the shuffle and need no sort
-    some = scratch.write(index.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("bucket"), "some")
-    shared = scratch.write(semi(index, some, "bucket").dropDuplicates(["bucket", "node"]), "shared")
+    bucket = Window.partitionBy("bucket")
+    ends = index.select("bucket", "node", F.min("node").over(bucket).alias("lo"), F.max("node").over(bucket).alias("hi")).where("lo <> hi")
+    # dealt by bucket already, so neither distinct rows nor their number need another shuffle
+    shared = scratch.write(ends.select("bucket", "node").dropDuplicates(["bucket", "node"]).withColumn("n", F.count(F.lit(1)).over(bucket)), "shared")
     none = spark.createDataFrame([], "a long, b long")
     if is_empty(shared):
         return none
-    counts = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    weight = scratch.write(shared.join(counts, "bucket").groupBy("node").agg(F.sum("n").alias("weight")), "weight")
+    weight = scratch.write(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weight")
     mine = scratch.write(with_few(about, weight, "node").groupBy("node").agg(*[F.first(c).alias(c) for c in ("weight", of)]), "mine")
-    known = with_few(shared, mine, "node")
-    best = F.max(F.struct("weight", (-F.col("node")).alias("minus"), of)).alias("lead")
-    leads = known.groupBy("bucket").agg(best).select("bucket", (-F.col("lead.minus")).alias("lead"), F.col(f"lead.{of}").alias(f"lead_{of}"))
-    led = known.drop("weight").join(leads, "bucket").withColumn("far", distance("sketch", "lead_sketch") if sketched else F.lit(0))
+    lead = F.max(F.struct("weight", (-F.col("node")).alias("minus"), of)).over(bucket)
+    known = with_few(shared.drop("n"), mine, "node").withColumn("lead", lead).drop("weight")
+    led = known.withColumn(f"lead_{of}", F.col(f"lead.{of}")).withColumn("lead", -F.col("lead.minus"))
+    led = led.withColumn("far", distance("sketch", "lead_sketch") if sketched else F.lit(0))
     able = F.col("far") <= MOST if sketched else fits("size", "lead_size", percent)
     led = scratch.write(led.withColumn("able", able).drop(f"lead_{of}"), "led")
-    scratch.drop("some", "shared", "weight", "mine")
+    scratch.drop("shared", "weight", "mine")
     members = scratch.write(led.where((F.col("node") != F.col("lead")) & (F.col("far") <= FAR)).select("lead", "node", "able").distinct(), "members")
     star = members.where("able").select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
     links, parts, deltas = none, None, None
+
+    def possible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+        x, y = (marks.select(F.col("node").alias(node), F.struct("size", "bits").alias(name)) for node, name in (("a", "x"), ("b", "y")))
+        return pairs.join(x, "a").join(y, "b").where(may_link("x", "y", words, percent)).select("a", "b")
+
     if not is_empty(members):
-        verify, deltas = verifier(members.select("node").union(members.select("lead")).distinct())
-        links = scratch.write(verify(star), "star-links")
+        verify, deltas, marks = verifier(members.select("node").union(members.select("lead")).distinct())
+        links = scratch.write(verify(scratch.write(possible(star, marks), "star")), "star-links")
     if not is_empty(links):
         parts = components(links, scratch, "parts")
 
@@ -130,20 +156,33 @@ def linked(index: DataFrame, about: DataFrame, percent: int, verifier, scratch:
     pairs = none
     if deltas is not None:
         told = component(component(members.select("lead", "node"), "node", "component"), "lead", "lead_component")
-        mixed = told.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("lead")
-        told = scratch.write(told.join(mixed, "lead", "left_semi"), "mixed")
-        if not is_empty(told):
-            pairs = _by_deltas(scratch.write(told.join(deltas(told.select("lead", "node")), ["lead", "node"]), "deltas"), percent)
+        mixed = told.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("lead", "n")
+        told = scratch.write(told.join(mixed, "lead"), "mixed")
+        few, many = told.where(F.col("n") <= GROUP), scratch.write(told.where(F.col("n") > GROUP).drop("n"), "large")
+        pairs = _by_marks(few.join(marks, "node"), words, percent)
+        if not is_empty(many):
+            by_deltas = _by_deltas(scratch.write(many.join(deltas(many.select("lead", "node")), ["lead", "node"]), "deltas"), percent)
+            pairs = pairs.unionByName(possible(by_deltas.distinct(), marks))
     if sketched:
         pairs = pairs.unionByName(_by_sketches(component(led, "node", "component")))
     pairs = scratch.write(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     if is_empty(pairs):
         return links
     if sketched or deltas is None:  # nodes far from all leaders come in only here
-        verify = verifier(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())[0]
+        verify, _, marks = verifier(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        pairs = scratch.write(possible(pairs, marks), "possible")
     return scratch.write(links.unionByName(verify(pairs)), "links")
 
 
+def _by_marks(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Candidates (a, b) of members (lead, node, component, lead_component, size, bits): of each leader, two of different components of which one is not in the leader's."""
+    own = F.col("component") != F.col("lead_component")
+    x, y = rows.where(own).alias("x"), rows.withColumn("own", own).alias("y")
+    once = ~F.col("y.own") | (F.col("x.node") < F.col("y.node"))
+    on = (F.col("x.lead") == F.col("y.lead")) & (F.col("x.component") != F.col("y.component")) & once & may_link("x", "y", words, percent)
+    return x.join(y, on).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def _by_deltas(rows: DataFrame, percent: int) -> DataFrame:
     """Candidates (a, b) of members (lead, node, component, lead_component, lead_size, size, elements); see linked()."""
     single = rows.select("lead", "node", F.explode_outer("elements").alias("element")).where("element is not null")

@@ -30,9 +30,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.llm.common import Scratch, held, in_batches, is_empty, table
-from keyflow.llm.graph import components, linked, with_few
+from keyflow.llm.graph import components, linked, odd_bits, with_few
 
 K, K_SHORT, SHORT, BANDS, ROWS, BINS, PERCENT = 5, 3, 100, 12, 5, 128, 80
+#: Of graph.odd_bits() of a line.
+WORDS = 2
 _BASE = 0x9E3779B97F4A7C15
 _EMPTY = np.uint64((1 << 64) - 1)
 _RANDOM = np.random.Generator(np.random.PCG64(20240611))
@@ -186,6 +188,32 @@ def line_texts(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     return with_few(texts, nodes.select(base("node").alias("line"), "node"), "line").select("node", "text").dropDuplicates(["node"])
 
 
+def marks_of(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the shingle sets of up to 1,024 lines of k characters or more, and their odd_bits()."""
+    sizes = np.array([len(x) for x in lines], np.int64)
+    h, row = shingle_hashes(codes("".join(lines)), k), np.repeat(np.arange(len(lines)), sizes)
+    # shingles that reach into the next line are none
+    whole = (np.repeat(np.cumsum(sizes), sizes) - np.arange(len(row)) >= k)[: len(h)]
+    found = np.unique(row[: len(h)][whole].astype(np.uint64) << np.uint64(54) | h[whole] >> np.uint64(10))
+    row = (found >> np.uint64(54)).astype(np.int64)
+    return np.bincount(row, minlength=len(lines)), odd_bits(row, found, len(lines), WORDS)
+
+
+def marked(texts: DataFrame) -> DataFrame:
+    """Rows (node, text) with size and bits of their shingle sets; see graph.linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind in (K, K_SHORT):
+                part = batch.filter(pa.array([kind_of(n) == kind for n in batch.column(0).to_pylist()], pa.bool_()))
+                if part.num_rows:
+                    sizes, bits = marks_of(part.column(1).to_pylist(), kind)
+                    lists = pa.ListArray.from_arrays(np.arange(0, (len(bits) + 1) * WORDS, WORDS, dtype=np.int32), pa.array(bits.ravel()))
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes.astype(np.int32)), lists], ["node", "text", "size", "bits"])
+
+    return in_batches(texts.select("node", "text")).mapInArrow(run, "node long, text string, size int, bits array<long>")
+
+
 def kind_of(node: int) -> int:
     return K_SHORT if node & 1 else K
 
@@ -238,14 +266,14 @@ def links_of(lines: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
     def verifier(nodes: DataFrame):
         made.append(f"texts-{len(made)}")
-        texts = scratch.write(line_texts(lines, nodes), made[-1])
+        texts = scratch.write(marked(line_texts(lines, nodes)), made[-1])
 
         def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
             return pairs.join(texts.select(F.col("node").alias(a), F.col("text").alias("x")), a).join(texts.select(F.col("node").alias(b), F.col("text").alias("y")), b).select(a, b, "x", "y")
 
-        return lambda pairs: similar(both(pairs, "a", "b"), percent), lambda pairs: differences(both(pairs, "lead", "node"))
+        return lambda pairs: similar(both(pairs, "a", "b"), percent), lambda pairs: differences(both(pairs, "lead", "node")), texts.select("node", "size", "bits")
 
-    found = linked(index, about, percent, verifier, scratch)
+    found = linked(index, about, percent, verifier, scratch, WORDS)
     return found.select(base("a").alias("a"), base("b").alias("b"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.llm.common import held, in_batches, table
-from keyflow.llm.ngrams import Hasher, joined, key_of, normalized
+from keyflow.llm.ngrams import Hasher, bits_of, joined, key_of, normalized
 
 N, PERCENT, BANDS, ROWS = 3, 85, 32, 5
 MINIMA = BANDS * ROWS
@@ -68,7 +68,7 @@ def least_agreeing(percent: int, chance: float = 1e-9) -> int:
 
 
 def features(docs: DataFrame, n: int = N) -> DataFrame:
-    """Per row of docs (doc_id, text): key of its words, size of its set, signatures (the bands' keys) and minima."""
+    """Per row of docs (doc_id, text): key of its words, size of its set, signatures (the bands' keys), minima and odd_bits()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = held("ngrams", Hasher)
@@ -80,9 +80,9 @@ def features(docs: DataFrame, n: int = N) -> DataFrame:
                 mins = minima([sets[i] for i in some])
                 for i, b, m in zip(some, band_keys(mins), mins, strict=True):
                     bands[i], raw[i] = b, m.tobytes()
-            columns = (ids, keys, [len(s) for s in sets], bands, raw)
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "key", "size", "signatures", "minima"])
+            columns = (ids, keys, [len(s) for s in sets], bands, raw, [bits_of(s) for s in sets])
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["doc_id", "key", "size", "signatures", "minima", "bits"])
 
         for batch in batches:
             ids, keys, sets, size = [], [], [], 0
@@ -97,7 +97,7 @@ def features(docs: DataFrame, n: int = N) -> DataFrame:
             if ids:
                 yield told(ids, keys, sets)
 
-    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>, minima binary")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>, minima binary, bits array<long>")
 
 
 def agreeing(pairs: DataFrame, percent: int) -> DataFrame:

@@ -30,9 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.llm.common import Scratch, held, in_batches, is_empty, table
-from keyflow.llm.graph import components, fits, linked, semi, with_few
+from keyflow.llm.graph import components, linked, odd_bits, semi, with_few
 
 N, PERCENT, FRAGMENTS = 4, 85, 8
+#: Of graph.odd_bits() of a document.
+WORDS = 16
 _BYTES = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -112,8 +114,12 @@ def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out).astype(np.int64)
 
 
+def bits_of(grams: np.ndarray) -> np.ndarray:
+    return odd_bits(np.zeros(len(grams), np.int64), grams, 1, WORDS)[0]
+
+
 def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """Per row of docs (doc_id, text): key of its words, size of its set, signatures."""
+    """Per row of docs (doc_id, text): key of its words, size of its set, signatures, odd_bits()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = held("ngrams", Hasher)
@@ -123,13 +129,13 @@ def features(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
                 for text in part.column(1).cast(pa.binary()).to_pylist():
                     data = normalized(text)
                     grams = hasher.grams(data, n)
-                    rows.append((key_of(data), len(grams), signatures(grams, percent)))
+                    rows.append((key_of(data), len(grams), signatures(grams, percent), bits_of(grams)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.list_(pa.int64())), strict=True))],
-                    ["doc_id", "key", "size", "signatures"],
+                    [part.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True))],
+                    ["doc_id", "key", "size", "signatures", "bits"],
                 )
 
-    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>")
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(run, "doc_id long, key binary, size int, signatures array<long>, bits array<long>")
 
 
 def segments(docs: DataFrame, n: int = N) -> DataFrame:
@@ -157,7 +163,7 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
 
 def joined(docs: DataFrame, rows: DataFrame, n: int, percent: int, screen: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
-    """classes() by the signatures of rows (doc_id, key, size, signatures ...), which like documents share.
+    """classes() by the signatures of rows (doc_id, key, size, signatures, bits ...), which like documents share.
 
     screen(pairs, features) may leave out pairs (a, b) of doc_ids before their sets are compared; features has, of rows,
     the one that stands for each doc_id, as node.
@@ -174,13 +180,19 @@ def joined(docs: DataFrame, rows: DataFrame, n: int, percent: int, screen: Calla
     index = chosen.select(F.explode_outer("signatures").alias("bucket"), F.col("doc_id").alias("node")).where("bucket is not null")
     about = chosen.select(F.col("doc_id").alias("node"), "size")
 
+    compared: list[str] = []
+
     def verifier(ids: DataFrame):
-        texts = semi(docs.select("doc_id", "text"), ids.withColumnRenamed("node", "doc_id"), "doc_id")
-        # of a doc_id that has several texts only the fragments of the one that stands for it
-        mine = with_few(segments(texts, n), others.withColumnRenamed("doc_id", "node"), ["node", "key"], "left_anti").drop("key")
-        parts = scratch.write(mine.dropDuplicates(["node", "fragment"]), "segments")
+        marks = scratch.write(with_few(chosen.select(F.col("doc_id").alias("node"), "size", "bits"), ids, "node").dropDuplicates(["node"]), f"marks-{len(compared)}")
 
         def both(pairs: DataFrame, a: str, b: str) -> DataFrame:
+            """Pairs with the fragments of both, which only the documents of these pairs are cut into."""
+            compared.append(f"segments-{len(compared)}")
+            nodes = pairs.select(F.col(a).alias("doc_id")).union(pairs.select(b)).distinct()
+            texts = semi(docs.select("doc_id", "text"), nodes, "doc_id")
+            # of a doc_id that has several texts only the fragments of the one that stands for it
+            mine = with_few(segments(texts, n), others.withColumnRenamed("doc_id", "node"), ["node", "key"], "left_anti").drop("key")
+            parts = scratch.write(mine.dropDuplicates(["node", "fragment"]), compared[-1])
             x, y = parts.select(F.col("node").alias(a), "fragment", F.col("grams").alias("x")), parts.select(F.col("node").alias(b), "fragment", F.col("grams").alias("y"))
             return pairs.join(x, a).join(y, [b, "fragment"])
 
@@ -196,9 +208,9 @@ def joined(docs: DataFrame, rows: DataFrame, n: int, percent: int, screen: Calla
             lists = [F.flatten(F.collect_list(c)) for c in ("more", "less")]
             return partial.groupBy("lead", "node").agg(F.sum("n_x").alias("lead_size"), F.sum("n_y").alias("size"), F.concat(*lists).alias("elements"))
 
-        return verify, deltas
+        return verify, deltas, marks
 
-    links = linked(index, about, percent, verifier, scratch)
+    links = linked(index, about, percent, verifier, scratch, WORDS)
     told = found.select("doc_id", "key", F.col("size").cast("long").alias("n_shingles")).join(nodes, "key", "left")
     if not is_empty(links):
         told = told.join(components(links, scratch).withColumnRenamed("id", "node"), "node", "left").withColumn("node", F.coalesce("component", "node"))

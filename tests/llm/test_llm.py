@@ -423,6 +423,39 @@ def test_group_of_near_copies_gives_few_pairs(spark, monkeypatch):
     assert dict(made)["pairs"] < 2000
 
 
+def test_small_groups_need_no_differences(spark, monkeypatch):
+    """The index of buckets is dealt out once, and small groups are searched by marks: exact links, no table of differences."""
+    rng, rows, made = random.Random(8), [], []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(100)]
+        for i in range(9):
+            w = list(base)
+            for k in rng.sample(range(100), rng.randrange(6)):
+                w[k] = f"x{g}y{i}z{k}"
+            rows.append((10 * g + i, " ".join(w)))
+    write = graph.Scratch.write
+    monkeypatch.setattr(graph.Scratch, "write", lambda self, df, name: (made.append(name), write(self, df, name))[1])
+    got = sorted(tuple(r) for r in ngrams.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute_ngrams(rows) and len({r[2] for r in got}) > 12
+    assert "mixed" in made and "deltas" not in made and "some" not in made
+
+
+def test_odd_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(9)
+    for size in (1, 5, 40, 300, 3000):
+        x = np.unique(rng.integers(0, 1 << 63, size))
+        y = np.unique(np.concatenate([x[size // 8 :], rng.integers(0, 1 << 63, size // 6)]))
+        bits = np.bitwise_count((ngrams.bits_of(x) ^ ngrams.bits_of(y)).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(x, y)) and (size > 300 or size < 5 or bits > 0)
+    texts = ["abcabcabcabc abc", "one line", "one lines and more of them"]
+    for k in (lines.K, lines.K_SHORT):
+        sizes, bits = lines.marks_of(texts, k)
+        sets = [lines.shingles(x, k) for x in texts]
+        assert sizes.tolist() == [len(s) for s in sets]
+        for i, j in itertools.combinations(range(3), 2):
+            assert np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)).sum() <= len(sets[i] ^ sets[j])
+
+
 def test_lines_of_two_texts_under_one_id(spark):
     rows = [(1, "a line that is the same in both of these texts\nfirst text only, with words of its own"), (1, "a line that is the same in both of these texts\nother text zero has another line here")]
     out = sorted(r["text"] for r in lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
