@@ -198,7 +198,7 @@ def joined(docs: DataFrame, rows: DataFrame, n: int, percent: int, screen: Calla
 
         def verify(pairs: DataFrame) -> DataFrame:
             if screen is not None:
-                pairs = screen(pairs, chosen.withColumnRenamed("doc_id", "node"))
+                pairs = scratch.write(screen(pairs, chosen.withColumnRenamed("doc_id", "node")), f"screened-{len(compared)}")
             partial = both(pairs, "a", "b").select("a", "b", F.size("x").alias("n_a"), F.size("y").alias("n_b"), F.size(F.array_intersect("x", "y")).alias("common"))
             total = partial.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n_a", "n_b", "common")])
             return total.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
